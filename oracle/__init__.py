@@ -1,8 +1,9 @@
 """DuckDB SQL that states each query independently, in plain join-and-aggregate form."""
 
 from .ctes import AS_OF
+from .listings import listing_sql
 from .reports import report_sql
 
 
 def all_sql() -> dict[str, str]:
-    return {**report_sql(AS_OF)}
+    return {**report_sql(AS_OF), **listing_sql(AS_OF)}

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .functions import lookups as F
+from .operators import listings as L
 from .operators import reports as R
+from .operators import views as V
 from .sources.star import AS_OF, star_tables
 
 START, END = "1995-01-01", "2001-12-31"
 YEAR, MONTH = 1998, 3
+REFUND_AS_OF = "1998-06-15 09:30:00"
 NOTICE_START, NOTICE_END = "2024-01-01", "2024-01-31"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,5 +60,47 @@ def report_queries() -> dict[str, Query]:
     return q
 
 
+def listing_queries() -> dict[str, Query]:
+    return {
+        "l01_users": _on(L.list_users),
+        "l01_users_filtered": _on(L.list_users, "Customer", True, "customer%1"),
+        "l02a_user_cards": _on(L.user_cards),
+        "l02b_user_bookings": _on(L.user_bookings),
+        "l03_stations": _on(L.list_stations),
+        "l03_stations_filtered": _on(L.list_stations, True, "nation_1"),
+        "l04_trains": _on(L.list_trains, AS_OF),
+        "l04_trains_filtered": _on(L.list_trains, AS_OF, True, "SE"),
+        "l05_routes": _on(L.list_routes, AS_OF, True),
+        "l06_schedules": _on(L.list_schedules),
+        "l07_bookings": _on(L.list_bookings),
+        "l07_bookings_filtered": _on(
+            L.list_bookings, "Active", "Paid", "1996-01-01", "2000-06-30", "bk199"
+        ),
+        "l08_user_notifications": _on(L.user_notifications),
+        "l09_user_tickets": _on(L.user_tickets),
+        "l10_user_payments": _on(L.user_payments),
+        "l11_booking_history": _on(L.booking_history),
+        "l12a_booking_headers": _on(L.booking_headers, REFUND_AS_OF),
+        "l12b_booking_tickets": _on(L.booking_tickets),
+        "l12c_booking_payments": _on(L.booking_payments),
+        "l13_search_trips": _on(L.search_trips),
+        "l13_search_trips_by_class": _on(L.search_trips, seat_class=3),
+        "l14_seat_map": _on(L.seat_map, 725),
+        "v01_available_schedules": _on(V.available_schedules, AS_OF),
+        "v02_customer_bookings": _on(V.customer_bookings),
+        "v03_ticket_details": _on(V.ticket_details),
+        "v04_seat_availability": _on(V.seat_availability),
+        "v05_payment_history": _on(V.payment_history),
+        "v06_unread_notifications": _on(V.unread_notifications),
+        "f01_price_list": _on(F.price_list),
+        "f01_ticket_price": _on(F.ticket_prices),
+        "f02_refund_percentage": _on(F.refund_percentages, REFUND_AS_OF),
+        "f03_travel_time": _on(F.schedules_with_travel_time),
+        "f04_seat_available": _on(lambda t: F.with_seat_available(t, F.seats_asked_for(t))),
+        "f05_route_names": _on(F.route_names),
+        "f06_admins": _on(F.admin_flags),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**report_queries()}
+    return {**report_queries(), **listing_queries()}

@@ -48,6 +48,18 @@ def price_list(t: Tables) -> DataFrame:
     return with_ticket_price(t, pairs.drop("TrainID"))
 
 
+def ticket_prices(t: Tables) -> DataFrame:
+    """List price of every ticket's class on its schedule."""
+    sold = (
+        t["Tickets"]
+        .select("TicketID", "BookingID", "SeatID")
+        .join(t["Bookings"].select("BookingID", "ScheduleID"), "BookingID")
+        .join(t["Seats"].select("SeatID", "CoachID"), "SeatID")
+        .join(t.hint(t["Coaches"].select("CoachID", "SeatClassID"), "Coaches"), "CoachID")
+    )
+    return with_ticket_price(t, sold).select("TicketID", "ScheduleID", "SeatClassID", "Price")
+
+
 def refund_by_schedule(t: Tables, as_of) -> DataFrame:
     """Refund percentage per schedule: the policy with the greatest threshold that is
     not above the hours left, 0 without one.
@@ -81,6 +93,11 @@ def with_refund_percentage(t: Tables, bookings: DataFrame, as_of) -> DataFrame:
     )
 
 
+def refund_percentages(t: Tables, as_of) -> DataFrame:
+    bookings = t["Bookings"].select("BookingID", "ScheduleID")
+    return with_refund_percentage(t, bookings, as_of).drop("ScheduleID")
+
+
 def travel_time(departure: Column, arrival: Column) -> Column:
     """Text such as ``8 giờ 0 phút``; both parts count unit boundaries."""
     return F.concat(
@@ -147,6 +164,11 @@ def admins(t: Tables) -> DataFrame:
     )
 
 
+def admin_flags(t: Tables) -> DataFrame:
+    is_admin = (F.col("UserType") == "Admin") & F.col("IsActive")
+    return t["Users"].select("UserID", F.coalesce(is_admin, F.lit(False)).alias("IsAdmin"))
+
+
 def split_authorised(t: Tables, commands: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(commands that may run, refused ones). A NULL ``admin_id`` marks the plain form of
     a command, which needs no rights."""

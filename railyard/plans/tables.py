@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
@@ -15,18 +15,22 @@ BROADCAST_ROWS = 200_000
 
 @dataclass(frozen=True)
 class Tables(Mapping):
-    """Immutable name -> DataFrame mapping.
+    """Name -> DataFrame mapping. A frame may be given as a function, which is called on
+    first use, so that a query only plans the tables it touches.
 
     ``bounds`` holds measured upper bounds of row counts. They are facts about the
     data, so a replaced frame loses its bound unless a new one is given.
     """
 
-    frames: dict[str, DataFrame]
+    frames: dict[str, DataFrame | Callable[[], DataFrame]]
     bounds: dict[str, int] = field(default_factory=dict)
     broadcast_rows: int = BROADCAST_ROWS
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.frames[name]
+        frame = self.frames[name]
+        if not isinstance(frame, DataFrame):
+            frame = self.frames[name] = frame()
+        return frame
 
     def __iter__(self) -> Iterator[str]:
         return iter(self.frames)
@@ -34,12 +38,14 @@ class Tables(Mapping):
     def __len__(self) -> int:
         return len(self.frames)
 
-    def is_small(self, name: str) -> bool:
-        return self.bounds.get(name, self.broadcast_rows + 1) <= self.broadcast_rows
-
-    def hint(self, df: DataFrame, bounded_by: str) -> DataFrame:
-        """Broadcast ``df`` if it has at most the rows of a table known to be small."""
-        return F.broadcast(df) if self.is_small(bounded_by) else df
+    def hint(self, df: DataFrame, *bounded_by: str) -> DataFrame:
+        """Broadcast ``df`` if the product of these tables' row bounds is known and small."""
+        rows = 1
+        for name in bounded_by:
+            if name not in self.bounds:
+                return df
+            rows *= max(self.bounds[name], 1)
+        return F.broadcast(df) if rows <= self.broadcast_rows else df
 
     def small(self, name: str) -> DataFrame:
         return self.hint(self[name], name)
@@ -51,7 +57,7 @@ class Tables(Mapping):
         )
 
     def register_views(self, prefix: str = "") -> None:
-        for name, df in self.frames.items():
+        for name, df in self.items():
             df.createOrReplaceTempView(prefix + name)
 
 

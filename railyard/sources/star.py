@@ -7,14 +7,16 @@ schedules and coaches there can be. Those numbers are the broadcast bounds.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import instant, padded, password_hash
-from ..plans.tables import Tables
+from ..plans.tables import BROADCAST_ROWS, Tables
 
 LONG, INT, STR, DBL, NTZ = (
     T.LongType(),
@@ -150,17 +152,35 @@ def _measure(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     return _MEASURED[memo]
 
 
-def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
-    """The thirteen tables over the star files in ``sf_dir``, seen at ``as_of``."""
-    region, nation, customer, supplier, part, orders, lineitem, events = (
-        read_star(spark, sf_dir, n) for n in STAR
-    )
-    sizes = _measure(spark, sf_dir)
-    suppliers = F.lit(max(sizes["supplier"], 1)).cast("bigint")
-    key = F.col("c_custkey")
-    null_str, null_ts = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+@dataclass(frozen=True)
+class Star:
+    """The star files and the numbers measured on them."""
+
+    spark: SparkSession
+    sf_dir: str
+    as_of: str
+    sizes: dict[str, int]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in STAR:
+            raise AttributeError(name)
+        return read_star(self.spark, self.sf_dir, name)
+
+    @property
+    def suppliers(self):
+        return F.lit(max(self.sizes["supplier"], 1)).cast("bigint")
+
+    def small(self, df: DataFrame, bound: str) -> DataFrame:
+        return F.broadcast(df) if self.sizes[bound] <= BROADCAST_ROWS else df
+
 
-    users = customer.select(
+def _null(kind: str):
+    return F.lit(None).cast(kind)
+
+
+def _users(star: Star) -> DataFrame:
+    key = F.col("c_custkey")
+    return star.customer.select(
         key.alias("UserID"),
         F.col("c_name").alias("FullName"),
         F.concat(F.lower("c_name"), F.lit("@example.com")).alias("Email"),
@@ -177,24 +197,28 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         ).alias("CreatedAt"),
     )
 
+
+def _stations(star: Star) -> DataFrame:
     n = F.col("n_nationkey").cast("bigint")
-    stations = nation.join(
-        F.broadcast(region) if sizes["nation"] <= 200_000 else region,
-        F.col("n_regionkey") == F.col("r_regionkey"),
+    return star.nation.join(
+        star.region, F.col("n_regionkey") == F.col("r_regionkey")
     ).select(
         n.alias("StationID"),
         F.concat(F.lit("N"), n.cast("string")).alias("StationCode"),
         F.col("n_name").alias("StationName"),
         F.col("n_name").alias("City"),
         F.col("r_name").alias("Province"),
-        null_str.alias("Address"),
+        _null("string").alias("Address"),
         (n % 10 != 9).alias("IsActive"),
     )
 
-    k = F.col("k").cast("bigint")
+
+def _routes(star: Star) -> DataFrame:
+    n, k = F.col("n_nationkey").cast("bigint"), F.col("k").cast("bigint")
     arrival = (n + k * 7) % 25
     distance = F.lit(100) + n * 10 + k * 50
-    routes = nation.select("n_nationkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("k")).select(
+    twice = star.nation.select("n_nationkey", F.explode(F.array(F.lit(1), F.lit(2))).alias("k"))
+    return twice.select(
         (n * 2 + k - 1).alias("RouteID"),
         F.concat(F.lit("N"), n.cast("string"), F.lit("-N"), arrival.cast("string")).alias(
             "RouteCode"
@@ -207,8 +231,10 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         F.lit(True).alias("IsActive"),
     )
 
+
+def _trains(star: Star) -> DataFrame:
     s = F.col("s_suppkey")
-    trains = supplier.select(
+    return star.supplier.select(
         s.alias("TrainID"),
         F.concat(F.lit("T"), s.cast("string")).alias("TrainCode"),
         F.col("s_name").alias("TrainName"),
@@ -217,49 +243,61 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         (F.col("s_acctbal") >= 0).alias("IsActive"),
     )
 
+
+def _classes(star: Star) -> DataFrame:
     # one row per class: the unpartitioned window only ever sees the distinct types
-    classes = (
-        part.select("p_type")
+    return (
+        star.part.select("p_type")
         .distinct()
         .withColumn("id", F.row_number().over(Window.orderBy("p_type")).cast("bigint"))
         .select(
             F.col("id").alias("SeatClassID"),
             F.col("p_type").alias("ClassName"),
-            null_str.alias("Description"),
+            _null("string").alias("Description"),
             ((F.col("id") * 3 + 7) / F.lit(10)).cast("decimal(4,2)").alias("PriceMultiplier"),
         )
     )
-    class_ids = classes.select("SeatClassID", F.col("ClassName").alias("p_type"))
-    if sizes["coaches"] <= 200_000:
-        class_ids = F.broadcast(class_ids)
-    brand_no = F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint")
-    coach_id = brand_no * 10 + F.col("SeatClassID")
-    coaches = (
-        part.groupBy("p_brand", "p_type")
+
+
+def _class_ids(star: Star) -> DataFrame:
+    ids = _classes(star).select("SeatClassID", F.col("ClassName").alias("p_type"))
+    return star.small(ids, "coaches")
+
+
+def _coach_id():
+    brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint")
+    return brand * 10 + F.col("SeatClassID")
+
+
+def _coaches(star: Star) -> DataFrame:
+    return (
+        star.part.groupBy("p_brand", "p_type")
         .agg(F.count(F.lit(1)).alias("seats"))
-        .join(class_ids, "p_type")
+        .join(_class_ids(star), "p_type")
         .select(
-            coach_id.alias("CoachID"),
-            (coach_id % suppliers).alias("TrainID"),
-            coach_id.cast("int").alias("CoachNumber"),
+            _coach_id().alias("CoachID"),
+            (_coach_id() % star.suppliers).alias("TrainID"),
+            _coach_id().cast("int").alias("CoachNumber"),
             "SeatClassID",
             F.col("seats").cast("int").alias("TotalSeats"),
         )
     )
+
+
+def _seats(star: Star) -> DataFrame:
     p = F.col("p_partkey")
-    seats = part.join(class_ids, "p_type").select(
+    return star.part.join(_class_ids(star), "p_type").select(
         p.alias("SeatID"),
-        coach_id.alias("CoachID"),
+        _coach_id().alias("CoachID"),
         # the key itself numbers the seat: unique in the coach without ranking its seats
         padded(p, 4).alias("SeatNumber"),
         _cases(p % 3, [(1, "Lower"), (2, "Middle")], "Upper").alias("SeatType"),
     )
 
-    at = instant(as_of)
-    sid = F.col("ScheduleID")
-    duration = routes.select("RouteID", "EstimatedDuration")
-    if sizes["nation"] <= 100_000:
-        duration = F.broadcast(duration)
+
+def _schedules(star: Star) -> DataFrame:
+    at, sid = instant(star.as_of), F.col("ScheduleID")
+    duration = _routes(star).select("RouteID", "EstimatedDuration")
     departs = (
         _month_start_after(sid).cast("timestamp_ntz")
         + F.make_dt_interval((sid % 28).cast("int"), (sid % 24).cast("int"))
@@ -270,11 +308,11 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         .when(F.col("ArrivalTime") < at, "Completed")
         .otherwise("Scheduled")
     )
-    schedules = (
-        orders.select(_schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"))
+    return (
+        star.orders.select(_schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"))
         .distinct()
         .withColumn("RouteID", sid % 50)
-        .join(duration, "RouteID")
+        .join(star.small(duration, "nation"), "RouteID")
         .withColumn("DepartureTime", departs)
         .withColumn(
             "ArrivalTime",
@@ -283,7 +321,7 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         )
         .select(
             "ScheduleID",
-            (sid % suppliers).alias("TrainID"),
+            (sid % star.suppliers).alias("TrainID"),
             "RouteID",
             "DepartureTime",
             "ArrivalTime",
@@ -294,30 +332,40 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         )
     )
 
+
+def _booked_at():
+    return F.col("o_orderdate") + _hours(F.col("o_orderkey") % 24)
+
+
+def _amount():
+    return (F.col("o_totalprice").cast("decimal(10,2)") * F.lit(3)).cast("decimal(10,2)")
+
+
+def _bookings(star: Star) -> DataFrame:
     o = F.col("o_orderkey")
-    booked = F.col("o_orderdate") + _hours(o % 24)
-    amount = (F.col("o_totalprice").cast("decimal(10,2)") * F.lit(3)).cast("decimal(10,2)")
-    bookings = orders.select(
+    return star.orders.select(
         o.alias("BookingID"),
         F.concat(F.lit("BK"), F.date_format("o_orderdate", "yyyyMMdd"), padded(o, 8)).alias(
             "BookingCode"
         ),
         F.col("o_custkey").alias("UserID"),
         _schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"),
-        booked.alias("BookingDate"),
-        amount.alias("TotalAmount"),
+        _booked_at().alias("BookingDate"),
+        _amount().alias("TotalAmount"),
         _cases(o % 10, [(7, "Pending"), (8, "Refunded"), (9, "Failed")], "Paid").alias(
             "PaymentStatus"
         ),
         _cases(
             F.col("o_orderstatus"), [("O", "Active"), ("F", "Completed")], "Cancelled"
         ).alias("BookingStatus"),
-        null_ts.alias("CancelledAt"),
-        null_str.alias("CancellationReason"),
+        _null("timestamp_ntz").alias("CancelledAt"),
+        _null("string").alias("CancellationReason"),
     )
 
+
+def _tickets(star: Star) -> DataFrame:
     flag, line = F.col("l_returnflag"), F.col("l_linestatus")
-    tickets = lineitem.select(
+    return star.lineitem.select(
         F.concat_ws(
             "-",
             "l_orderkey",
@@ -329,8 +377,8 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         F.col("l_orderkey").alias("BookingID"),
         F.col("l_partkey").alias("SeatID"),
         F.concat(F.lit("Passenger "), F.col("l_suppkey").cast("string")).alias("PassengerName"),
-        null_str.alias("PassengerIDNumber"),
-        null_str.alias("PassengerPhone"),
+        _null("string").alias("PassengerIDNumber"),
+        _null("string").alias("PassengerPhone"),
         F.col("l_extendedprice").cast("decimal(10,2)").alias("TicketPrice"),
         F.when(flag == "R", "Refunded")
         .when((flag == "A") & (line == "F"), "Used")
@@ -339,6 +387,9 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         .alias("TicketStatus"),
     )
 
+
+def _payments(star: Star) -> DataFrame:
+    o = F.col("o_orderkey")
     method = F.when(o % 6 == 0, "Cash").otherwise(
         _cases(
             F.col("o_orderpriority"),
@@ -348,20 +399,22 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         )
     )
     outcome = _cases(o % 10, [(7, "Pending"), (9, "Failed")], "Success")
-    payments = orders.select(
+    return star.orders.select(
         o.alias("PaymentID"),
         o.alias("BookingID"),
         method.alias("PaymentMethod"),
         F.concat(F.lit("TX"), o.cast("string")).alias("TransactionID"),
-        amount.alias("Amount"),
-        F.when(outcome != "Failed", booked + _hours(F.lit(1))).alias("PaymentDate"),
+        _amount().alias("Amount"),
+        F.when(outcome != "Failed", _booked_at() + _hours(F.lit(1))).alias("PaymentDate"),
         outcome.alias("PaymentStatus"),
         _cases(o % 10, [(7, None), (9, "05")], "00").alias("ResponseCode"),
-        null_str.alias("ResponseMessage"),
+        _null("string").alias("ResponseMessage"),
     )
 
+
+def _notifications(star: Star) -> DataFrame:
     e = F.col("event_id")
-    notifications = events.select(
+    return star.events.select(
         e.alias("NotificationID"),
         F.col("user_id").alias("UserID"),
         F.when(e % 3 == 0, e).alias("BookingID"),
@@ -375,25 +428,32 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         F.col("props").alias("Message"),
         (F.col("value") >= 5).alias("IsRead"),
         F.col("ts").alias("SentAt"),
-        null_ts.alias("ScheduledFor"),
+        _null("timestamp_ntz").alias("ScheduledFor"),
     )
 
+
+def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
+    """The thirteen tables over the star files in ``sf_dir``, seen at ``as_of``."""
+    sizes = _measure(spark, sf_dir)
+    star = Star(spark, sf_dir, as_of, sizes)
+    makers = {
+        "Users": _users,
+        "Stations": _stations,
+        "Routes": _routes,
+        "Trains": _trains,
+        "SeatClasses": _classes,
+        "Coaches": _coaches,
+        "Seats": _seats,
+        "Schedules": _schedules,
+        "Bookings": _bookings,
+        "Tickets": _tickets,
+        "Payments": _payments,
+        "Notifications": _notifications,
+    }
+    frames = {name: partial(make, star) for name, make in makers.items()}
+    frames["RefundPolicies"] = partial(policies, spark)
     return Tables(
-        {
-            "Users": users,
-            "Stations": stations,
-            "Routes": routes,
-            "Trains": trains,
-            "SeatClasses": classes,
-            "Coaches": coaches,
-            "Seats": seats,
-            "Schedules": schedules,
-            "Bookings": bookings,
-            "Tickets": tickets,
-            "Payments": payments,
-            "RefundPolicies": policies(spark),
-            "Notifications": notifications,
-        },
+        frames,
         bounds={
             "Stations": sizes["nation"],
             "Routes": 2 * sizes["nation"],

@@ -5,16 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as SF
 
 from .functions import lookups as F
+from .operators import booking_jobs as B
+from .operators import lifecycle_jobs as C
 from .operators import listings as L
+from .operators import master_data as D
+from .operators import payment_jobs as P
+from .operators import quality as Q
 from .operators import reports as R
 from .operators import views as V
+from .sources import commands as K
 from .sources.star import AS_OF, star_tables
 
 START, END = "1995-01-01", "2001-12-31"
 YEAR, MONTH = 1998, 3
-REFUND_AS_OF = "1998-06-15 09:30:00"
+REFUND_AS_OF = JOB_AS_OF = "1998-06-15 09:30:00"
+REMIND_AS_OF = "1998-07-01 00:00:00"
+# seen from here every trip is still ahead
+EARLY = "1990-01-01 00:00:00"
 NOTICE_START, NOTICE_END = "2024-01-01", "2024-01-31"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,5 +112,122 @@ def listing_queries() -> dict[str, Query]:
     }
 
 
+def _job(part: str, fn, as_of: str = JOB_AS_OF) -> Query:
+    """One named result of a job; ``fn`` is called with (tables, spark, sf_dir)."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(star_tables(spark, sf_dir, as_of), spark, sf_dir)[part]
+
+    return run
+
+
+def _without_hash(df: DataFrame) -> DataFrame:
+    return df.drop("PasswordHash")
+
+
+def _hash_as_text(df: DataFrame) -> DataFrame:
+    text = SF.lower(SF.hex("PasswordHash"))
+    return df.withColumn("PasswordHex", text).drop("PasswordHash")
+
+
+def job_queries() -> dict[str, Query]:
+    def create(t, spark, sf_dir):
+        return B.create_bookings(t, K.booking_requests(spark, sf_dir), EARLY)
+
+    def cancel(t, spark, sf_dir):
+        return B.cancel_bookings(t, K.cancel_commands(spark, sf_dir), JOB_AS_OF)
+
+    def cancel_trips(t, spark, sf_dir):
+        return B.cancel_schedules(t, K.cancel_schedule_commands(t), JOB_AS_OF)
+
+    def pay(t, spark, sf_dir):
+        return P.process_payments(t, K.payment_attempts(spark, sf_dir), JOB_AS_OF)
+
+    def roll(t, spark, sf_dir):
+        return C.roll_statuses(t, JOB_AS_OF)
+
+    def sign_up(t, spark, sf_dir):
+        return D.append_rows(t, "Users", K.new_users(spark, sf_dir), JOB_AS_OF)
+
+    def add_trips(t, spark, sf_dir):
+        return D.append_rows(t, "Schedules", K.new_schedules(spark, sf_dir), JOB_AS_OF)
+
+    def edit_users(t, spark, sf_dir):
+        return D.update_rows(t, "Users", K.user_changes(spark, sf_dir))
+
+    def edit_trips(t, spark, sf_dir):
+        return D.update_rows(t, "Schedules", K.schedule_changes(t))
+
+    def delete(table: str, as_of: str = JOB_AS_OF):
+        return lambda t, spark, sf_dir: D.soft_delete(t, table, K.delete_commands(t, table), as_of)
+
+    def free_trips(t):
+        active = t["Bookings"].filter(SF.col("BookingStatus") == "Active")
+        return t["Schedules"].select("ScheduleID").join(active, "ScheduleID", "left_anti")
+
+    def then(change, query: Query) -> Query:
+        return lambda spark, sf_dir: change(query(spark, sf_dir))
+
+    q: dict[str, Query] = {}
+    for part in ("bookings", "tickets", "payments", "schedules", "rejects"):
+        q[f"m01_{part}"] = _job(part, create, EARLY)
+    for part in ("bookings", "refunds", "tickets", "schedules", "notifications", "rejects"):
+        q[f"m02_{part}"] = _job(part, cancel)
+    for part in ("schedules", "bookings", "notifications", "rejects"):
+        q[f"m03_{part}"] = _job(part, cancel_trips)
+    for part in ("payments", "bookings", "tickets", "notifications", "rejects"):
+        q[f"m04_{part}"] = _job(part, pay)
+    q["m05_departure_reminders"] = _on(
+        C.departure_reminders, REMIND_AS_OF, as_of=JOB_AS_OF
+    )
+    for part in ("schedules", "bookings", "tickets"):
+        q[f"m06_{part}"] = _job(part, roll, EARLY)
+    q["m06_counts"] = _on(lambda t: C.roll_counts(C.roll_statuses(t, JOB_AS_OF)), as_of=EARLY)
+    q["m07_users"] = then(_hash_as_text, _job("rows", sign_up))
+    q["m07_user_rejects"] = _job("rejects", sign_up)
+    q["m07_schedules"] = _job("rows", add_trips)
+    q["m07_schedule_rejects"] = _job("rejects", add_trips)
+    q["m08_users"] = then(_without_hash, _job("rows", edit_users))
+    q["m08_users_affected"] = _job("affected", edit_users)
+    q["m08_schedules"] = _job("rows", edit_trips)
+    q["m09_users"] = then(_without_hash, _job("rows", delete("Users")))
+    q["m09_stations"] = _job("rows", delete("Stations"))
+    q["m09_trains"] = _job("rows", delete("Trains", "2001-07-15 00:00:00"), AS_OF)
+    q["m10_delete_blocked"] = _job(
+        "schedules", lambda t, spark, sf_dir: C.delete_schedules(t, None)
+    )
+    q["m10_delete_free"] = _job(
+        "schedules", lambda t, spark, sf_dir: C.delete_schedules(t, free_trips(t))
+    )
+    q["m11_payment_notices"] = _on(
+        lambda t: P.payment_notices(t, t["Payments"], JOB_AS_OF), as_of=JOB_AS_OF
+    )
+    q["m11_payment_notices_per_row"] = _on(
+        lambda t: P.payment_notices(t, t["Payments"], JOB_AS_OF, per_row=True), as_of=JOB_AS_OF
+    )
+    q["m12_generated_seats"] = _on(lambda t: C.generate_seats(t["Coaches"]))
+    q["m13_double_booked_seats"] = _on(B.double_booked_seats)
+    q["m14_cancelled_tickets"] = _on(B.cancelled_tickets)
+    q["m15_late_bookings"] = _on(
+        lambda t: B.split_late(t, t["Bookings"], JOB_AS_OF)[1], as_of=JOB_AS_OF
+    )
+    q["f06_authorised"] = lambda spark, sf_dir: F.split_authorised(
+        star_tables(spark, sf_dir, JOB_AS_OF), K.cancel_commands(spark, sf_dir)
+    )[0].select("request_id")
+    return q
+
+
+def quality_queries() -> dict[str, Query]:
+    names = {
+        "c01_unique_keys": "keys",
+        "c02_composite_keys": "composite",
+        "c03_foreign_keys": "foreign",
+        "c04_domains": "domains",
+        "c05_row_checks": "rows",
+        "c06_required_and_length": "required",
+    }
+    return {name: _on(Q.summary, families=(family,)) for name, family in names.items()}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**report_queries(), **listing_queries()}
+    return {**report_queries(), **listing_queries(), **job_queries(), **quality_queries()}

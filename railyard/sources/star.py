@@ -117,7 +117,7 @@ def _hours(n) -> F.Column:
     return F.make_dt_interval(F.lit(0), n.cast("int"))
 
 
-def _schedule_of(date, custkey):
+def schedule_of(date, custkey):
     """One schedule per calendar month and last digit of the customer key."""
     months = (F.year(date) - F.lit(1995)) * F.lit(12) + F.month(date) - F.lit(1)
     return months.cast("bigint") * F.lit(10) + custkey % F.lit(10)
@@ -309,7 +309,7 @@ def _schedules(star: Star) -> DataFrame:
         .otherwise("Scheduled")
     )
     return (
-        star.orders.select(_schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"))
+        star.orders.select(schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"))
         .distinct()
         .withColumn("RouteID", sid % 50)
         .join(star.small(duration, "nation"), "RouteID")
@@ -349,7 +349,7 @@ def _bookings(star: Star) -> DataFrame:
             "BookingCode"
         ),
         F.col("o_custkey").alias("UserID"),
-        _schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"),
+        schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"),
         _booked_at().alias("BookingDate"),
         _amount().alias("TotalAmount"),
         _cases(o % 10, [(7, "Pending"), (8, "Refunded"), (9, "Failed")], "Paid").alias(

@@ -7,7 +7,7 @@ from .listings import refund
 
 
 JOB_AS_OF = "1998-06-15 09:30:00"
-REMIND_AS_OF = "1998-07-01 00:00:00"
+REMIND_AS_OF = "1998-07-18 12:00:00"
 EARLY = "1990-01-01 00:00:00"
 CANCEL = """
 commands AS (

@@ -7,6 +7,8 @@ request gives nothing away, so whether a claim holds depends on all earlier deci
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,13 +21,17 @@ GROUP_ROWS = 100_000
 
 def _replay(rows: pd.DataFrame) -> pd.DataFrame:
     """Winners of one group, by replaying its requests in order."""
-    given: set = set()
-    winners = []
-    for request, items in rows.groupby("request_id", sort=True)["item"]:
-        wanted = set(items)
+    rows = rows.sort_values("request_id")
+    requests, items = rows["request_id"].tolist(), rows["item"].tolist()
+    given, winners, start = set(), [], 0
+    for end in range(1, len(requests) + 1):
+        if end < len(requests) and requests[end] == requests[start]:
+            continue
+        wanted = items[start:end]
         if given.isdisjoint(wanted):
-            given |= wanted
-            winners.append(request)
+            given.update(wanted)
+            winners.append(requests[start])
+        start = end
     return pd.DataFrame({"request_id": pd.Series(winners, dtype="int64")})
 
 
@@ -62,18 +68,18 @@ def first_come(claims: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     nearly all of them. A group that has shrunk enough is replayed.
     """
     open_claims = cut(claims.select("request_id", "grp", "item"))
-    won = None
+    won: list[DataFrame] = []
     while True:
         sizes = open_claims.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
-        large = cut(sizes.filter(F.col("rows") > group_rows).select("grp"))
-        small_rows = open_claims.join(large, "grp", "left_anti")
-        replayed = small_rows.groupBy("grp").applyInPandas(_replay, "request_id bigint")
-        won = replayed if won is None else won.unionByName(replayed)
+        large = sizes.filter(F.col("rows") > group_rows).select("grp")
         if large.isEmpty():
-            return cut(won)
-        rest = cut(open_claims.join(large, "grp", "left_semi"))
-        winners, rest = _one_round(rest)
-        won = cut(won.unionByName(winners))
+            won.append(open_claims.groupBy("grp").applyInPandas(_replay, "request_id bigint"))
+            return cut(reduce(DataFrame.unionByName, won))
+        large = cut(large)
+        small_rows = open_claims.join(large, "grp", "left_anti")
+        won.append(cut(small_rows.groupBy("grp").applyInPandas(_replay, "request_id bigint")))
+        winners, rest = _one_round(cut(open_claims.join(large, "grp", "left_semi")))
+        won.append(cut(winners))
         open_claims = cut(rest)
 
 

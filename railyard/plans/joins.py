@@ -26,6 +26,10 @@ def _station(t: Tables, role: str) -> DataFrame:
 
 def route_dims(t: Tables) -> DataFrame:
     """Routes with both station names (Stations plays two roles)."""
+    return t.once("route_dims", _route_dims)
+
+
+def _route_dims(t: Tables) -> DataFrame:
     return (
         t["Routes"]
         .join(_station(t, "Departure"), "DepartureStationID")
@@ -35,6 +39,10 @@ def route_dims(t: Tables) -> DataFrame:
 
 def trip_dims(t: Tables) -> DataFrame:
     """Schedules with train, route and stations; one row per complete schedule."""
+    return t.once("trip_dims", _trip_dims)
+
+
+def _trip_dims(t: Tables) -> DataFrame:
     trains = t["Trains"].select("TrainID", "TrainCode", "TrainName")
     routes = route_dims(t).select(
         "RouteID",

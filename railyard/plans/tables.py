@@ -25,6 +25,7 @@ class Tables(Mapping):
     frames: dict[str, DataFrame | Callable[[], DataFrame]]
     bounds: dict[str, int] = field(default_factory=dict)
     broadcast_rows: int = BROADCAST_ROWS
+    derived: dict[str, DataFrame] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         frame = self.frames[name]
@@ -38,6 +39,12 @@ class Tables(Mapping):
     def __len__(self) -> int:
         return len(self.frames)
 
+    def once(self, name: str, make: Callable[[Tables], DataFrame]) -> DataFrame:
+        """A frame derived from these tables, planned once and reused by later queries."""
+        if name not in self.derived:
+            self.derived[name] = make(self)
+        return self.derived[name]
+
     def hint(self, df: DataFrame, *bounded_by: str) -> DataFrame:
         """Broadcast ``df`` if the product of these tables' row bounds is known and small."""
         rows = 1
@@ -53,7 +60,10 @@ class Tables(Mapping):
     def with_frames(self, bounds: dict[str, int] | None = None, **frames: DataFrame) -> Tables:
         kept = {n: b for n, b in self.bounds.items() if n not in frames}
         return replace(
-            self, frames={**self.frames, **frames}, bounds={**kept, **(bounds or {})}
+            self,
+            frames={**self.frames, **frames},
+            bounds={**kept, **(bounds or {})},
+            derived={},
         )
 
     def register_views(self, prefix: str = "") -> None:

@@ -1,13 +1,14 @@
 """Reads a star schema of order data as the ticketing tables.
 
-The tables are derived lazily; the only work done up front is counting rows of the two
-small dimensions (Parquet footers) and measuring the value sets that fix how many
-schedules and coaches there can be. Those numbers are the broadcast bounds.
+The fact tables, users, trains and seats are projections of star files and are derived
+lazily. The small dimensions that the star has no table for are found once per session
+and written to the shared folder, so later queries read them as the tables they are, with
+a size that the optimizer knows. Their row numbers are the broadcast bounds.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from decimal import Decimal
 from functools import partial
 
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import instant, padded, password_hash
-from ..plans.tables import BROADCAST_ROWS, Tables
+from ..plans.checkpoints import cut, shared_dir
+from ..plans.tables import Tables
 
 LONG, INT, STR, DBL, NTZ = (
     T.LongType(),
@@ -129,37 +131,15 @@ def _month_start_after(schedule_id):
     return F.make_date(year, months % F.lit(12) + F.lit(1), F.lit(1))
 
 
-_MEASURED: dict[tuple[str, str], dict[str, int]] = {}
-
-
-def _measure(spark: SparkSession, sf_dir: str) -> dict[str, int]:
-    """Row numbers that fix the size of the derived dimensions; once per session."""
-    memo = (spark.sparkContext.applicationId, sf_dir)
-    if memo not in _MEASURED:
-        months = (
-            read_star(spark, sf_dir, "orders")
-            .agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
-            .select((F.floor(F.months_between("b", "a")) + F.lit(2)).alias("m"))
-            .first()["m"]
-        )
-        kinds = read_star(spark, sf_dir, "part").select("p_brand", "p_type").distinct().count()
-        _MEASURED[memo] = {
-            "nation": read_star(spark, sf_dir, "nation").count(),
-            "supplier": read_star(spark, sf_dir, "supplier").count(),
-            "schedules": 10 * int(months or 0),
-            "coaches": kinds,
-        }
-    return _MEASURED[memo]
-
-
 @dataclass(frozen=True)
 class Star:
-    """The star files and the numbers measured on them."""
+    """The star files, and the dimensions written from them so far."""
 
     spark: SparkSession
     sf_dir: str
-    as_of: str
-    sizes: dict[str, int]
+    as_of: str = AS_OF
+    written: dict[str, DataFrame] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in STAR:
@@ -168,10 +148,30 @@ class Star:
 
     @property
     def suppliers(self):
-        return F.lit(max(self.sizes["supplier"], 1)).cast("bigint")
+        return F.lit(max(self.sizes["Trains"], 1)).cast("bigint")
+
+
+_WRITTEN: dict[tuple[str, str, str], tuple[dict[str, DataFrame], dict[str, int]]] = {}
 
-    def small(self, df: DataFrame, bound: str) -> DataFrame:
-        return F.broadcast(df) if self.sizes[bound] <= BROADCAST_ROWS else df
+
+def _write_dimensions(spark: SparkSession, sf_dir: str):
+    """The written dimensions and all known row numbers, once per session."""
+    memo = (spark.sparkContext.applicationId, shared_dir(spark), sf_dir)
+    if memo not in _WRITTEN:
+        star = Star(spark, sf_dir)
+        star.sizes["Trains"] = star.supplier.count()
+        makers = {
+            "Stations": _stations,
+            "Routes": _routes,
+            "SeatClasses": _classes,
+            "Coaches": _coaches,
+            "Schedules": _timetable,
+        }
+        for name, make in makers.items():
+            star.written[name] = cut(make(star))
+            star.sizes[name] = star.written[name].count()
+        _WRITTEN[memo] = star.written, star.sizes
+    return _WRITTEN[memo]
 
 
 def _null(kind: str):
@@ -260,8 +260,7 @@ def _classes(star: Star) -> DataFrame:
 
 
 def _class_ids(star: Star) -> DataFrame:
-    ids = _classes(star).select("SeatClassID", F.col("ClassName").alias("p_type"))
-    return star.small(ids, "coaches")
+    return star.written["SeatClasses"].select("SeatClassID", F.col("ClassName").alias("p_type"))
 
 
 def _coach_id():
@@ -295,44 +294,55 @@ def _seats(star: Star) -> DataFrame:
     )
 
 
-def _schedules(star: Star) -> DataFrame:
-    at, sid = instant(star.as_of), F.col("ScheduleID")
-    duration = _routes(star).select("RouteID", "EstimatedDuration")
-    departs = (
-        _month_start_after(sid).cast("timestamp_ntz")
-        + F.make_dt_interval((sid % 28).cast("int"), (sid % 24).cast("int"))
-    )
-    status = (
-        F.when(sid % 20 == 0, "Cancelled")
-        .when(sid % 20 == 1, "Delayed")
-        .when(F.col("ArrivalTime") < at, "Completed")
-        .otherwise("Scheduled")
+def _timetable(star: Star) -> DataFrame:
+    """Schedules without their status, which depends on the time of the query."""
+    sid = F.col("ScheduleID")
+    duration = star.written["Routes"].select("RouteID", "EstimatedDuration")
+    departs = _month_start_after(sid).cast("timestamp_ntz") + F.make_dt_interval(
+        (sid % 28).cast("int"), (sid % 24).cast("int")
     )
+    takes = F.make_dt_interval(F.lit(0), F.lit(0), F.col("EstimatedDuration"))
+    ids = schedule_of(F.col("o_orderdate"), F.col("o_custkey"))
     return (
-        star.orders.select(schedule_of(F.col("o_orderdate"), F.col("o_custkey")).alias("ScheduleID"))
+        star.orders.select(ids.alias("ScheduleID"))
         .distinct()
         .withColumn("RouteID", sid % 50)
-        .join(star.small(duration, "nation"), "RouteID")
+        .join(duration, "RouteID")
         .withColumn("DepartureTime", departs)
-        .withColumn(
-            "ArrivalTime",
-            F.col("DepartureTime")
-            + F.make_dt_interval(F.lit(0), F.lit(0), F.col("EstimatedDuration")),
-        )
         .select(
             "ScheduleID",
             (sid % star.suppliers).alias("TrainID"),
             "RouteID",
             "DepartureTime",
-            "ArrivalTime",
+            (F.col("DepartureTime") + takes).alias("ArrivalTime"),
             (F.lit(300000) + sid % 10 * 50000).cast("decimal(10,2)").alias("BasePrice"),
-            status.alias("Status"),
             (F.lit(350) - sid % 100).cast("int").alias("AvailableSeats"),
             (F.col("DepartureTime") - F.make_dt_interval(F.lit(60))).alias("CreatedAt"),
         )
     )
 
 
+def _schedules(star: Star) -> DataFrame:
+    sid = F.col("ScheduleID")
+    status = (
+        F.when(sid % 20 == 0, "Cancelled")
+        .when(sid % 20 == 1, "Delayed")
+        .when(F.col("ArrivalTime") < instant(star.as_of), "Completed")
+        .otherwise("Scheduled")
+    )
+    return star.written["Schedules"].select(
+        "ScheduleID",
+        "TrainID",
+        "RouteID",
+        "DepartureTime",
+        "ArrivalTime",
+        "BasePrice",
+        status.alias("Status"),
+        "AvailableSeats",
+        "CreatedAt",
+    )
+
+
 def _booked_at():
     return F.col("o_orderdate") + _hours(F.col("o_orderkey") % 24)
 
@@ -432,17 +442,24 @@ def _notifications(star: Star) -> DataFrame:
     )
 
 
+# plans only, no data: building the same frames again would cost planning time
+_TABLES: dict[tuple[str, str, str, str], Tables] = {}
+
+
 def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
     """The thirteen tables over the star files in ``sf_dir``, seen at ``as_of``."""
-    sizes = _measure(spark, sf_dir)
-    star = Star(spark, sf_dir, as_of, sizes)
+    memo = (spark.sparkContext.applicationId, shared_dir(spark), sf_dir, as_of)
+    if memo not in _TABLES:
+        _TABLES[memo] = _star_tables(spark, sf_dir, as_of)
+    return _TABLES[memo]
+
+
+def _star_tables(spark: SparkSession, sf_dir: str, as_of: str) -> Tables:
+    written, sizes = _write_dimensions(spark, sf_dir)
+    star = Star(spark, sf_dir, as_of, written, sizes)
     makers = {
         "Users": _users,
-        "Stations": _stations,
-        "Routes": _routes,
         "Trains": _trains,
-        "SeatClasses": _classes,
-        "Coaches": _coaches,
         "Seats": _seats,
         "Schedules": _schedules,
         "Bookings": _bookings,
@@ -450,17 +467,6 @@ def star_tables(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> Tables:
         "Payments": _payments,
         "Notifications": _notifications,
     }
-    frames = {name: partial(make, star) for name, make in makers.items()}
+    frames = {**written, **{name: partial(make, star) for name, make in makers.items()}}
     frames["RefundPolicies"] = partial(policies, spark)
-    return Tables(
-        frames,
-        bounds={
-            "Stations": sizes["nation"],
-            "Routes": 2 * sizes["nation"],
-            "Trains": sizes["supplier"],
-            "SeatClasses": sizes["coaches"],
-            "Coaches": sizes["coaches"],
-            "Schedules": sizes["schedules"],
-            "RefundPolicies": len(POLICIES),
-        },
-    )
+    return Tables(frames, bounds={**sizes, "RefundPolicies": len(POLICIES)})

@@ -409,4 +409,12 @@ WHERE b.BookingStatus = 'Cancelled' AND tk.TicketStatus <> 'Cancelled'""",
 WHERE date_diff('hour', TIMESTAMP '{at}', s.DepartureTime) < 2""",
     )
     add("f06_authorised", "SELECT request_id FROM judged WHERE may", cancel)
+    # the streams see the same rows as the batch jobs
+    out["s01_payment_notices"] = out["m11_payment_notices"]
+    out["s02_departure_reminders"] = out["m05_departure_reminders"]
+    add(
+        "s03_first_claims",
+        """SELECT DISTINCT ((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1)::BIGINT * 10
+  + o_custkey % 10 AS ScheduleID, o_orderkey % 40 AS SeatID FROM orders""",
+    )
     return {n: with_tables(body, as_of, extra) for n, (body, as_of, extra) in out.items()}

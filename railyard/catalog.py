@@ -16,9 +16,12 @@ from .operators import payment_jobs as P
 from .operators import quality as Q
 from .operators import reports as R
 from .operators import views as V
-from .plans.checkpoints import shared_dir
+from .operators.notices import NOTICE_COLUMNS
+from .plans.checkpoints import scratch_dir, shared_dir
+from .plans.tables import Tables
 from .sources import commands as K
-from .sources.star import AS_OF, star_tables
+from .sources.star import AS_OF, star_tables, stream_star, stream_table
+from .streaming import jobs as S
 
 START, END = "1995-01-01", "2001-12-31"
 YEAR, MONTH = 1998, 3
@@ -236,5 +239,61 @@ def quality_queries() -> dict[str, Query]:
     return {name: _on(Q.summary, families=(family,)) for name, family in names.items()}
 
 
+def stream_queries() -> dict[str, Query]:
+    """Each stream reads its file to the end and stops; the query returns what it stored."""
+
+    def run(start, part: str, schema: Callable[[Tables], object]) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            as_of = EARLY if part in ("bookings", "rejects") else JOB_AS_OF
+            t = star_tables(spark, sf_dir, as_of)
+            out = scratch_dir(spark, "stream")
+            start(t, spark, sf_dir, f"{out}/result", f"{out}/progress").awaitTermination()
+            return S.read_results(spark, f"{out}/result", part, schema(t))
+
+        return query
+
+    def pay(t, spark, sf_dir, out, progress):
+        changes = stream_table(spark, sf_dir, "Payments")
+        return S.payment_notice_stream(t, changes, out, progress, JOB_AS_OF)
+
+    def remind(t, spark, sf_dir, out, progress):
+        arriving = stream_table(spark, sf_dir, "Bookings")
+        return S.reminder_stream(t, arriving, out, progress, REMIND_AS_OF)
+
+    def book(t, spark, sf_dir, out, progress):
+        arriving = K.booking_requests(spark, sf_dir, stream_star)
+        return S.booking_request_stream(t, arriving, out, progress, EARLY)
+
+    def claim(t, spark, sf_dir, out, progress):
+        first = S.first_claims(K.seat_claims(spark, sf_dir, stream_star), "ClaimedAt", "1 day")
+        return (
+            first.select("ScheduleID", "SeatID")
+            .writeStream.format("parquet")
+            .option("path", f"{out}/claims")
+            .option("checkpointLocation", progress)
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    def notice_schema(t: Tables):
+        return t["Notifications"].select(*NOTICE_COLUMNS).schema
+
+    return {
+        "s01_payment_notices": run(pay, "notifications", notice_schema),
+        "s02_departure_reminders": run(remind, "notifications", notice_schema),
+        "s03_bookings": run(book, "bookings", lambda t: t["Bookings"].schema),
+        "s03_rejects": run(
+            book, "rejects", lambda t: "request_id bigint, code int, reason string"
+        ),
+        "s03_first_claims": run(claim, "claims", lambda t: "ScheduleID bigint, SeatID bigint"),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**report_queries(), **listing_queries(), **job_queries(), **quality_queries()}
+    return {
+        **report_queries(),
+        **listing_queries(),
+        **job_queries(),
+        **quality_queries(),
+        **stream_queries(),
+    }

@@ -55,6 +55,14 @@ def _parsed(requests: DataFrame) -> DataFrame:
     )
 
 
+def first_new_ids(t: Tables) -> dict[str, int]:
+    return {
+        "bookings": next_id(t["Bookings"], "BookingID"),
+        "tickets": next_id(t["Tickets"], "TicketID"),
+        "payments": next_id(t["Payments"], "PaymentID"),
+    }
+
+
 def create_bookings(
     t: Tables,
     requests: DataFrame,
@@ -64,6 +72,8 @@ def create_bookings(
     check_train: bool = False,
     refuse_late: bool = False,
     group_rows: int = GROUP_ROWS,
+    held: DataFrame | None = None,
+    first_ids: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
     """Books requests (request_id, user_id, schedule_id, seat_ids, passenger_names,
     payment_method) in the order of ``request_id``.
@@ -71,7 +81,8 @@ def create_bookings(
     A request is refused when its schedule is not Scheduled, its lists differ in length, a
     seat is held already or is asked for twice, or a user, seat or payment method is
     unknown. ``check_train`` also refuses seats of another train, ``refuse_late`` trips
-    that leave within two hours.
+    that leave within two hours. A caller that knows them can give the held seats
+    (SeatID, ScheduleID) and the first new ids, which otherwise come from the tables.
     """
     asked = _parsed(requests)
     open_trips = t.hint(
@@ -103,7 +114,8 @@ def create_bookings(
     coaches = class_of_coach(t, F.col("TrainID").alias("seat_train"), "PriceMultiplier")
     places = t["Seats"].select("SeatID", "CoachID").join(coaches, "CoachID", "left")
     places = places.select("SeatID", "seat_train", "PriceMultiplier", F.lit(True).alias("known"))
-    taken = taken_seats(t).withColumn("taken", F.lit(True))
+    held = taken_seats(t) if held is None else held
+    taken = held.withColumn("taken", F.lit(True))
     rows = cut(
         sound.select(
             "request_id",
@@ -158,14 +170,11 @@ def create_bookings(
         .select("request_id", "UserID", "ScheduleID", "PaymentMethod", "TotalAmount"),
         "request_id",
     )
-    first_booking, first_payment = (
-        next_id(t["Bookings"], "BookingID"),
-        next_id(t["Payments"], "PaymentID"),
-    )
+    ids = first_ids or first_new_ids(t)
     today = F.lit(str(as_of)[:10].replace("-", ""))
     # the number grows past five digits instead of losing its first ones
     number = padded(F.col("_n") + F.lit(first_code - 1), 5)
-    booked = accepted.withColumn("BookingID", F.col("_n") + F.lit(first_booking - 1))
+    booked = accepted.withColumn("BookingID", F.col("_n") + F.lit(ids["bookings"] - 1))
     amount = F.coalesce("TotalAmount", F.lit(0).cast("decimal(10,2)")).alias("TotalAmount")
     bookings = booked.select(
         "BookingID",
@@ -180,7 +189,7 @@ def create_bookings(
         F.lit(None).cast("string").alias("CancellationReason"),
     )
     payments = booked.select(
-        (F.col("_n") + F.lit(first_payment - 1)).alias("PaymentID"),
+        (F.col("_n") + F.lit(ids["payments"] - 1)).alias("PaymentID"),
         "BookingID",
         "PaymentMethod",
         F.lit(None).cast("string").alias("TransactionID"),
@@ -190,12 +199,11 @@ def create_bookings(
         F.lit(None).cast("string").alias("ResponseCode"),
         F.lit(None).cast("string").alias("ResponseMessage"),
     )
-    first_ticket = next_id(t["Tickets"], "TicketID")
     ticket_type = t["Tickets"].schema["TicketID"].dataType
     tickets = number_rows(
         sold.join(booked.select("request_id", "BookingID"), "request_id"), "BookingID", "pos"
     ).select(
-        (F.col("_n") + F.lit(first_ticket - 1)).cast(ticket_type).alias("TicketID"),
+        (F.col("_n") + F.lit(ids["tickets"] - 1)).cast(ticket_type).alias("TicketID"),
         "BookingID",
         "SeatID",
         "PassengerName",

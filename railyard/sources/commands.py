@@ -18,12 +18,12 @@ def _nobody():
     return F.lit(None).cast("bigint")
 
 
-def booking_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_requests(spark: SparkSession, sf_dir: str, read=read_star) -> DataFrame:
     """Every order asks for two of the first forty seats on the trip it was made for, so
     a trip sees many requests for few seats. Some ask for one seat twice."""
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     pair = F.array(o % 40, F.floor(c / 10) % 40).cast("array<string>")
-    return read_star(spark, sf_dir, "orders").select(
+    return read(spark, sf_dir, "orders").select(
         o.alias("request_id"),
         c.alias("user_id"),
         schedule_of(F.col("o_orderdate"), c).alias("schedule_id"),
@@ -33,6 +33,17 @@ def booking_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def seat_claims(spark: SparkSession, sf_dir: str, read=read_star) -> DataFrame:
+    """Every order claims one of the first forty seats on its trip."""
+    o, at = F.col("o_orderkey"), F.col("o_orderdate")
+    return read(spark, sf_dir, "orders").select(
+        schedule_of(at, F.col("o_custkey")).alias("ScheduleID"),
+        (o % 40).alias("SeatID"),
+        o.alias("BookingID"),
+        at.cast("timestamp").alias("ClaimedAt"),
+    )
+
+
 def _with_events(spark: SparkSession, sf_dir: str, first: DataFrame, event_columns) -> DataFrame:
     early = F.when(F.col("value") < 50, 0).otherwise(2)
     events = read_star(spark, sf_dir, "events").select(

@@ -99,6 +99,12 @@ def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(star_schema(name)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stream_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same file as a stream; further files of that name would be further input."""
+    reader = spark.readStream.schema(star_schema(name)).option("pathGlobFilter", f"{name}.parquet")
+    return reader.parquet(sf_dir)
+
+
 def _cases(column, pairs, otherwise):
     out = F.lit(otherwise)
     for value, result in reversed(pairs):
@@ -140,11 +146,13 @@ class Star:
     as_of: str = AS_OF
     written: dict[str, DataFrame] = field(default_factory=dict)
     sizes: dict[str, int] = field(default_factory=dict)
+    streaming: bool = False
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in STAR:
             raise AttributeError(name)
-        return read_star(self.spark, self.sf_dir, name)
+        read = stream_star if self.streaming else read_star
+        return read(self.spark, self.sf_dir, name)
 
     @property
     def suppliers(self):
@@ -470,3 +478,10 @@ def _star_tables(spark: SparkSession, sf_dir: str, as_of: str) -> Tables:
     frames = {**written, **{name: partial(make, star) for name, make in makers.items()}}
     frames["RefundPolicies"] = partial(policies, spark)
     return Tables(frames, bounds={**sizes, "RefundPolicies": len(POLICIES)})
+
+
+def stream_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Bookings or payments arriving as a stream."""
+    written, sizes = _write_dimensions(spark, sf_dir)
+    star = Star(spark, sf_dir, AS_OF, written, sizes, streaming=True)
+    return {"Bookings": _bookings, "Payments": _payments}[table](star)

@@ -44,7 +44,7 @@ def _parsed(requests: DataFrame) -> DataFrame:
     seats = F.transform(
         F.coalesce(F.split("seat_ids", ","), no_text), lambda s: F.trim(s).try_cast("bigint")
     )
-    names = F.transform(F.coalesce(F.split("passenger_names", ","), no_text), F.trim)
+    names = F.transform(F.coalesce(F.split("passenger_names", ","), no_text), lambda n: F.trim(n))
     return requests.select(
         "request_id",
         F.col("user_id").cast("bigint").alias("UserID"),

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lookups import taken_seats
@@ -40,7 +41,7 @@ def _earlier(spark, out_dir: str, name: str, batch_id: int, like: DataFrame) ->
     path = f"{out_dir.rstrip('/')}/{name}"
     if batch_id == 0:
         return like.limit(0)
-    schema = like.schema.add("batch_id", "bigint")
+    schema = T.StructType([*like.schema.fields, T.StructField("batch_id", T.LongType())])
     return (
         spark.read.schema(schema).parquet(path).filter(F.col("batch_id") < batch_id).drop("batch_id")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 AS_OF = "2001-01-01 00:00:00"
 
 _CTES = """
-WITH n_sup AS (SELECT greatest(count(*), 1) AS n FROM supplier),
+WITH RECURSIVE n_sup AS (SELECT greatest(count(*), 1) AS n FROM supplier),
 Users AS (
   SELECT c_custkey AS UserID, c_name AS FullName,
     lower(c_name) || '@example.com' AS Email,
@@ -110,9 +110,12 @@ Payments AS (
   FROM orders),
 RefundPolicies AS (
   SELECT * FROM (VALUES
-    (1, 72, 90.00::DECIMAL(5,2)), (2, 48, 70.00::DECIMAL(5,2)), (3, 24, 50.00::DECIMAL(5,2)),
-    (4, 12, 30.00::DECIMAL(5,2)), (5, 0, 0.00::DECIMAL(5,2)))
-    v(PolicyID, HoursBeforeDeparture, RefundPercentage)),
+    (1, 72, 90.00::DECIMAL(5,2), 'Hoàn 90% nếu hủy trước 72 giờ'),
+    (2, 48, 70.00::DECIMAL(5,2), 'Hoàn 70% nếu hủy trước 48 giờ'),
+    (3, 24, 50.00::DECIMAL(5,2), 'Hoàn 50% nếu hủy trước 24 giờ'),
+    (4, 12, 30.00::DECIMAL(5,2), 'Hoàn 30% nếu hủy trước 12 giờ'),
+    (5, 0, 0.00::DECIMAL(5,2), 'Không hoàn nếu hủy trong vòng 12 giờ'))
+    v(PolicyID, HoursBeforeDeparture, RefundPercentage, Description)),
 Notifications AS (
   SELECT event_id AS NotificationID, user_id AS UserID,
     CASE WHEN event_id % 3 = 0 THEN event_id END AS BookingID,

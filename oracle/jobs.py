@@ -93,6 +93,45 @@ judged AS (
     WHEN RouteID NOT IN (SELECT RouteID FROM Routes) THEN 'unknown RouteID' END AS reason
   FROM cand c)
 """
+BOOK = """
+asked AS (
+  SELECT o_orderkey AS request_id, o_custkey AS UserID,
+    ((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1)::BIGINT * 10 + o_custkey % 10
+      AS sched, [o_orderkey % 40, (o_custkey // 10) % 40] AS seats FROM orders),
+held AS (SELECT DISTINCT b.ScheduleID AS sched, tk.SeatID FROM Tickets tk
+  JOIN Bookings b ON tk.BookingID = b.BookingID
+  WHERE b.BookingStatus = 'Active' AND tk.TicketStatus = 'Valid'),
+clash AS (SELECT DISTINCT a.request_id FROM asked a JOIN held h ON h.sched = a.sched
+  AND (h.SeatID = a.seats[1] OR h.SeatID = a.seats[2])),
+judged AS (
+  SELECT a.*, s.BasePrice, CASE WHEN s.ScheduleID IS NULL THEN 50001
+    WHEN a.seats[1] = a.seats[2] THEN 50003
+    WHEN a.request_id IN (SELECT request_id FROM clash) THEN 50003 END AS code
+  FROM asked a LEFT JOIN Schedules s ON s.ScheduleID = a.sched AND s.Status = 'Scheduled'),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY sched ORDER BY request_id) AS nth
+  FROM judged WHERE code IS NULL),
+walk AS (
+  SELECT DISTINCT sched, 0::BIGINT AS nth, []::BIGINT[] AS taken, NULL::BIGINT AS request_id,
+    false AS won FROM ranked
+  UNION ALL
+  SELECT w.sched, r.nth, CASE WHEN list_has_any(w.taken, r.seats) THEN w.taken
+      ELSE list_concat(w.taken, r.seats) END, r.request_id, NOT list_has_any(w.taken, r.seats)
+  FROM walk w JOIN ranked r ON r.sched = w.sched AND r.nth = w.nth + 1),
+placed AS (
+  SELECT r.*, unnest([1, 2]) AS pos FROM ranked r
+  WHERE r.request_id IN (SELECT request_id FROM walk WHERE won)),
+sold AS (
+  SELECT p.request_id, p.UserID, p.sched, p.pos, p.seats[p.pos] AS SeatID,
+    CASE p.pos WHEN 1 THEN 'An' ELSE 'Binh' END AS PassengerName,
+    (p.BasePrice * sc.PriceMultiplier)::DECIMAL(10,2) AS price
+  FROM placed p JOIN Seats st ON st.SeatID = p.seats[p.pos]
+  JOIN Coaches c ON st.CoachID = c.CoachID JOIN SeatClasses sc ON c.SeatClassID = sc.SeatClassID),
+new AS (
+  SELECT request_id, UserID, sched, SUM(price)::DECIMAL(10,2) AS total,
+    row_number() OVER (ORDER BY request_id) AS n,
+    (SELECT max(BookingID) FROM Bookings) + row_number() OVER (ORDER BY request_id) AS BookingID
+  FROM sold GROUP BY request_id, UserID, sched)
+"""
 B_COLS = "b.BookingID, b.BookingCode, b.UserID, b.ScheduleID, b.BookingDate, b.TotalAmount"
 T_COLS = """tk.TicketID, tk.BookingID, tk.SeatID, tk.PassengerName, tk.PassengerIDNumber,
   tk.PassengerPhone, tk.TicketPrice"""
@@ -409,7 +448,54 @@ WHERE b.BookingStatus = 'Cancelled' AND tk.TicketStatus <> 'Cancelled'""",
 WHERE date_diff('hour', TIMESTAMP '{at}', s.DepartureTime) < 2""",
     )
     add("f06_authorised", "SELECT request_id FROM judged WHERE may", cancel)
+    add(
+        "m01_bookings",
+        f"""SELECT BookingID, 'BK19900101' || lpad(n::VARCHAR,
+    greatest(5, length(n::VARCHAR))::INTEGER, '0') AS BookingCode, UserID,
+  sched AS ScheduleID, TIMESTAMP '{EARLY}' AS BookingDate, total AS TotalAmount,
+  'Pending' AS PaymentStatus, 'Active' AS BookingStatus, NULL::TIMESTAMP AS CancelledAt,
+  NULL::VARCHAR AS CancellationReason FROM new""",
+        BOOK,
+        EARLY,
+    )
+    add(
+        "m01_tickets",
+        """SELECT (row_number() OVER (ORDER BY n.BookingID, s.pos))::VARCHAR AS TicketID,
+  n.BookingID, s.SeatID, s.PassengerName, NULL::VARCHAR AS PassengerIDNumber,
+  NULL::VARCHAR AS PassengerPhone, s.price AS TicketPrice, 'Valid' AS TicketStatus
+FROM sold s JOIN new n ON s.request_id = n.request_id""",
+        BOOK,
+        EARLY,
+    )
+    add(
+        "m01_payments",
+        f"""SELECT (SELECT max(PaymentID) FROM Payments) + n AS PaymentID, BookingID,
+  'VNPay' AS PaymentMethod, NULL::VARCHAR AS TransactionID, total AS Amount,
+  TIMESTAMP '{EARLY}' AS PaymentDate, 'Pending' AS PaymentStatus,
+  NULL::VARCHAR AS ResponseCode, NULL::VARCHAR AS ResponseMessage FROM new""",
+        BOOK,
+        EARLY,
+    )
+    add(
+        "m01_schedules",
+        f"""SELECT {S_COLS.format(seats='(s.AvailableSeats - x.n)::INTEGER')} FROM Schedules s
+JOIN (SELECT sched, count(*) AS n FROM sold GROUP BY sched) x ON x.sched = s.ScheduleID""",
+        BOOK,
+        EARLY,
+    )
+    add(
+        "m01_rejects",
+        """SELECT request_id, code::INTEGER AS code,
+  CASE code WHEN 50001 THEN 'Lịch trình không tồn tại hoặc đã bị hủy.'
+    ELSE 'Một trong các ghế đã được đặt.' END AS reason
+FROM (SELECT request_id, coalesce(code, 50003) AS code FROM judged
+  WHERE request_id NOT IN (SELECT request_id FROM new))""",
+        BOOK,
+        EARLY,
+    )
     # the streams see the same rows as the batch jobs
+    out["s03_bookings"] = out["m01_bookings"]
+    out["s03_rejects"] = out["m01_rejects"]
     out["s01_payment_notices"] = out["m11_payment_notices"]
     out["s02_departure_reminders"] = out["m05_departure_reminders"]
     add(

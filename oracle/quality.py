@@ -56,6 +56,59 @@ ROWS = [
     ("Routes", "different stations", "DepartureStationID = ArrivalStationID"),
     ("Schedules", "arrival after departure", "ArrivalTime <= DepartureTime"),
 ]
+# per table: columns that must not be NULL, and the greatest lengths of texts
+REQUIRED = {
+    "Users": "UserID FullName PhoneNumber PasswordHash",
+    "Stations": "StationID StationCode StationName City Province",
+    "Routes": "RouteID RouteCode",
+    "Trains": "TrainID TrainCode TrainName TotalCoaches",
+    "SeatClasses": "SeatClassID ClassName",
+    "Coaches": "CoachID CoachNumber TotalSeats",
+    "Seats": "SeatID SeatNumber",
+    "Schedules": "ScheduleID DepartureTime ArrivalTime BasePrice",
+    "Bookings": "BookingID BookingCode TotalAmount",
+    "Tickets": "TicketID PassengerName TicketPrice",
+    "Payments": "PaymentID Amount",
+    "RefundPolicies": "PolicyID HoursBeforeDeparture RefundPercentage",
+    "Notifications": "NotificationID",
+}
+LENGTHS = {
+    "Users": {"FullName": 100, "Email": 100, "PhoneNumber": 20, "UserType": 20},
+    "Stations": {
+        "StationCode": 10, "StationName": 100, "City": 50, "Province": 50, "Address": 200
+    },
+    "Routes": {"RouteCode": 20},
+    "Trains": {"TrainCode": 20, "TrainName": 100, "TrainType": 50},
+    "SeatClasses": {"ClassName": 50, "Description": 200},
+    "Seats": {"SeatNumber": 10, "SeatType": 20},
+    "Schedules": {"Status": 20},
+    "Bookings": {
+        "BookingCode": 20, "PaymentStatus": 20, "BookingStatus": 20, "CancellationReason": 500
+    },
+    "Tickets": {
+        "PassengerName": 100, "PassengerIDNumber": 20, "PassengerPhone": 20, "TicketStatus": 20
+    },
+    "Payments": {
+        "PaymentMethod": 50, "TransactionID": 100, "PaymentStatus": 20, "ResponseCode": 50,
+        "ResponseMessage": 500,
+    },
+    "RefundPolicies": {"Description": 200},
+    "Notifications": {"NotificationType": 50, "Title": 200, "Message": 1000},
+}
+
+
+def _required() -> list[str]:
+    parts = []
+    for table, columns in REQUIRED.items():
+        for c in columns.split():
+            stored = "PasswordHex" if c == "PasswordHash" else c
+            sql = f"SELECT count(*) FROM {table} WHERE {stored} IS NULL"
+            parts.append(_rule(table, f"required {c}", sql))
+    for table, columns in LENGTHS.items():
+        for c, n in columns.items():
+            sql = f"SELECT count(*) FROM {table} WHERE length({c}) > {n}"
+            parts.append(_rule(table, f"length {c}", sql))
+    return parts
 
 
 def _rule(table: str, rule: str, sql: str) -> str:
@@ -87,6 +140,7 @@ def quality_sql(as_of: str) -> dict[str, str]:
             _rule(t, f"domain {c}", f"SELECT count(*) FROM {t} WHERE {c} NOT IN ({v})")
             for t, c, v in DOMAINS
         ),
+        "c06_required_and_length": union(_required()),
         "c05_row_checks": union(
             _rule(t, r, f"SELECT count(*) FROM {t} WHERE {cond}") for t, r, cond in ROWS
         ),

@@ -173,7 +173,8 @@ def job_queries() -> dict[str, Query]:
 
     def free_trips(t):
         active = t["Bookings"].filter(SF.col("BookingStatus") == "Active")
-        return t["Schedules"].select("ScheduleID").join(active, "ScheduleID", "left_anti")
+        booked = active.select("ScheduleID").distinct()
+        return t["Schedules"].select("ScheduleID").join(booked, "ScheduleID", "left_anti")
 
     def then(change, query: Query) -> Query:
         return lambda spark, sf_dir: change(query(spark, sf_dir))

@@ -27,6 +27,7 @@ def departure_reminders(t: Tables, as_of) -> DataFrame:
         t["Notifications"]
         .filter((F.col("NotificationType") == "Reminder") & F.col("BookingID").isNotNull())
         .select("BookingID")
+        .distinct()
     )
     due = (
         t["Bookings"]
@@ -91,7 +92,8 @@ def delete_schedules(t: Tables, ids) -> dict[str, DataFrame]:
     remaining table and the refused ids.
     """
     batch = keep_ids(t["Schedules"].select("ScheduleID"), "ScheduleID", ids)
-    active = t["Bookings"].filter(F.col("BookingStatus") == "Active").select("ScheduleID")
+    active = t["Bookings"].filter(F.col("BookingStatus") == "Active")
+    active = active.select("ScheduleID").distinct()
     blocked = not batch.join(active, "ScheduleID", "left_semi").isEmpty()
     gone = batch.filter(F.lit(not blocked))
     return {

@@ -29,6 +29,7 @@ from .views import (
     seat_rows,
     ticket_rows,
     users_for,
+    with_booking_code,
     with_ticket_number,
 )
 
@@ -36,6 +37,8 @@ USER_CARD = ("UserID", "FullName", "Email", "PhoneNumber", "UserType", "IsActive
 
 
 def _sorted(df: DataFrame, ordered: bool, *keys) -> DataFrame:
+    """Sorts by the listing's column and then by a unique one, so that a date with very
+    many rows is spread over several sort partitions."""
     return df.orderBy(*keys) if ordered else df
 
 
@@ -72,7 +75,7 @@ def list_users(
         _paid().alias("TotalSpent"),
         "LastBookingDate",
     )
-    return _sorted(stats, ordered, F.desc("CreatedAt"))
+    return _sorted(stats, ordered, F.desc("CreatedAt"), "UserID")
 
 
 def user_cards(t: Tables, user_ids=None) -> DataFrame:
@@ -95,7 +98,7 @@ def user_bookings(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
             "BookingStatus",
         )
     )
-    return _sorted(rows, ordered, F.desc("BookingDate"))
+    return _sorted(rows, ordered, F.desc("BookingDate"), "BookingID")
 
 
 def list_stations(t: Tables, is_active=None, search=None) -> DataFrame:
@@ -241,15 +244,13 @@ def list_bookings(
     )
     bookings = keep_days(bookings, "BookingDate", start, end)
     rows = keep_search(customer_bookings(t, bookings), search, "BookingCode", "CustomerName", "Email")
-    return _sorted(rows, ordered, F.desc("BookingDate"))
+    return _sorted(rows, ordered, F.desc("BookingDate"), "BookingID")
 
 
 def user_notifications(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
-    codes = t["Bookings"].select("BookingID", "BookingCode")
+    rows = with_booking_code(t, keep_ids(t["Notifications"], "UserID", user_ids))
     rows = (
-        keep_ids(t["Notifications"], "UserID", user_ids)
-        .join(codes, "BookingID", "left")
-        .select(
+        rows.select(
             "NotificationID",
             "NotificationType",
             "Title",
@@ -260,7 +261,7 @@ def user_notifications(t: Tables, user_ids=None, ordered: bool = True) -> DataFr
             "BookingCode",
         )
     )
-    return _sorted(rows, ordered, F.desc("SentAt"))
+    return _sorted(rows, ordered, F.desc("SentAt"), "NotificationID")
 
 
 def user_tickets(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
@@ -280,7 +281,7 @@ def user_tickets(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
         "CoachNumber",
         "SeatNumber",
     )
-    return _sorted(rows, ordered, F.desc("DepartureTime"))
+    return _sorted(rows, ordered, F.desc("DepartureTime"), "TicketID")
 
 
 def user_payments(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
@@ -300,7 +301,7 @@ def user_payments(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
             "PaymentDate",
         )
     )
-    return _sorted(rows, ordered, F.desc("PaymentDate"))
+    return _sorted(rows, ordered, F.desc("PaymentDate"), "PaymentID")
 
 
 def booking_history(t: Tables, user_ids=None, status=None, ordered: bool = True) -> DataFrame:
@@ -322,7 +323,7 @@ def booking_history(t: Tables, user_ids=None, status=None, ordered: bool = True)
             "NumberOfTickets",
         )
     )
-    return _sorted(rows, ordered, F.desc("BookingDate"))
+    return _sorted(rows, ordered, F.desc("BookingDate"), "BookingID")
 
 
 def booking_headers(t: Tables, as_of, booking_ids=None) -> DataFrame:

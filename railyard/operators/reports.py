@@ -342,8 +342,8 @@ def dashboard_top_routes(t: Tables, as_of, days: int = 30, top_n: int = 5) -> Da
 def dashboard_latest(t: Tables, top_n: int = 10) -> DataFrame:
     """Latest bookings over all dates, by booking date and then booking id.
 
-    Whether a booking qualifies depends on its dimensions being present, so the semi
-    joins come first; only the surviving top rows are widened with names.
+    A booking qualifies only if its customer exists. That is a semi join on the id; names
+    are fetched for the few top rows alone.
     """
     users = t.hint(t["Users"].select("UserID", "FullName"), "Users")
     trips = trips_for(t, "TrainCode", "DepartureStation", "ArrivalStation")

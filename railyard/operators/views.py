@@ -195,13 +195,20 @@ def payment_history(t: Tables) -> DataFrame:
     )
 
 
-def unread_notifications(t: Tables) -> DataFrame:
+def with_booking_code(t: Tables, notes: DataFrame) -> DataFrame:
+    """Adds BookingCode. Notifications without a booking, of which there may be very many,
+    do not take part in the join, where they would all meet in one partition."""
     codes = t["Bookings"].select("BookingID", "BookingCode")
+    about = notes.filter(F.col("BookingID").isNotNull()).join(codes, "BookingID", "left")
+    general = notes.filter(F.col("BookingID").isNull())
+    return about.unionByName(general.withColumn("BookingCode", F.lit(None).cast("string")))
+
+
+def unread_notifications(t: Tables) -> DataFrame:
+    unread = t["Notifications"].filter(~F.col("IsRead"))
     return (
-        t["Notifications"]
-        .filter(~F.col("IsRead"))
+        with_booking_code(t, unread)
         .join(users_for(t, "FullName", "Email"), "UserID")
-        .join(codes, "BookingID", "left")
         .select(
             "NotificationID",
             "UserID",

@@ -7,6 +7,7 @@ request gives nothing away, so whether a claim holds depends on all earlier deci
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -16,23 +17,38 @@ from pyspark.sql import functions as F
 from ..plans.checkpoints import cut
 
 # claim rows of one group that a single task may replay in order
-GROUP_ROWS = 100_000
-
-
-def _replay(rows: pd.DataFrame) -> pd.DataFrame:
-    """Winners of one group, by replaying its requests in order."""
-    rows = rows.sort_values("request_id")
-    requests, items = rows["request_id"].tolist(), rows["item"].tolist()
-    given, winners, start = set(), [], 0
-    for end in range(1, len(requests) + 1):
-        if end < len(requests) and requests[end] == requests[start]:
-            continue
-        wanted = items[start:end]
-        if given.isdisjoint(wanted):
-            given.update(wanted)
-            winners.append(requests[start])
-        start = end
-    return pd.DataFrame({"request_id": pd.Series(winners, dtype="int64")})
+GROUP_ROWS = 1_000_000
+
+
+def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Winners, from claims sorted by group and request. Rows stream through; only the
+    items given away in the current group are kept."""
+    group = request = None
+    wanted: list = []
+    given: set = set()
+    for rows in batches:
+        won = []
+        columns = (rows[c].tolist() for c in ("grp", "request_id", "item"))
+        for grp, req, item in zip(*columns):
+            if req != request or grp != group:
+                if wanted and given.isdisjoint(wanted):
+                    given.update(wanted)
+                    won.append(request)
+                if grp != group:
+                    given = set()
+                group, request, wanted = grp, req, []
+            wanted.append(item)
+        yield pd.DataFrame({"request_id": pd.Series(won, dtype="int64")})
+    if wanted and given.isdisjoint(wanted):
+        yield pd.DataFrame({"request_id": pd.Series([request], dtype="int64")})
+
+
+def _replayed(claims: DataFrame) -> DataFrame:
+    """Groups are spread over tasks whole, several to a task, and replayed in order."""
+    by_group = claims.select("grp", "request_id", "item").repartition("grp")
+    return by_group.sortWithinPartitions("grp", "request_id").mapInPandas(
+        _replay, "request_id bigint"
+    )
 
 
 def _one_round(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -45,7 +61,7 @@ def _one_round(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
     item = ["grp", "item"]
     first = claims.groupBy(*item).agg(F.min("request_id").alias("first"))
     ranked = cut(claims.join(first, item))
-    winners = (
+    winners = cut(
         ranked.groupBy("request_id")
         .agg(F.bool_and(F.col("request_id") == F.col("first")).alias("won"))
         .filter("won")
@@ -62,10 +78,10 @@ def first_come(claims: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Request ids that get all their items.
 
     ``claims`` has ``request_id`` (bigint), ``item`` and ``grp``, none of them NULL; items
-    of different groups never collide. A group within ``group_rows`` is replayed by one task. Larger
-    groups, however large, are settled in rounds over all their rows; each round settles
-    at least one request of every group, and gives away at least one item, and usually
-    nearly all of them. A group that has shrunk enough is replayed.
+    of different groups never collide. A group within ``group_rows`` is replayed by one
+    task. Larger groups, however large, are settled in rounds over all their rows; each
+    round gives away at least one item of every group, and usually nearly all of them. A
+    group that has shrunk enough is replayed.
     """
     open_claims = cut(claims.select("request_id", "grp", "item"))
     won: list[DataFrame] = []
@@ -73,13 +89,12 @@ def first_come(claims: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
         sizes = open_claims.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"))
         large = sizes.filter(F.col("rows") > group_rows).select("grp")
         if large.isEmpty():
-            won.append(open_claims.groupBy("grp").applyInPandas(_replay, "request_id bigint"))
+            won.append(_replayed(open_claims))
             return cut(reduce(DataFrame.unionByName, won))
         large = cut(large)
-        small_rows = open_claims.join(large, "grp", "left_anti")
-        won.append(cut(small_rows.groupBy("grp").applyInPandas(_replay, "request_id bigint")))
+        won.append(cut(_replayed(open_claims.join(large, "grp", "left_anti"))))
         winners, rest = _one_round(cut(open_claims.join(large, "grp", "left_semi")))
-        won.append(cut(winners))
+        won.append(winners)
         open_claims = cut(rest)
 
 

@@ -149,7 +149,7 @@ def test_no_python_and_no_products_in_queries(spark):
     for name in lazy:
         text = physical(all_queries()[name](spark, SF))
         assert "CartesianProduct" not in text, name
-        assert not re.search(r"FlatMapGroupsInPandas|PythonUDF|BatchEvalPython", text), name
+        assert not re.search(r"InPandas|PythonUDF|EvalPython", text), name
         if "BroadcastNestedLoopJoin" in text and name not in by_literal:
             # the refund policies are the only range join
             assert "HoursBeforeDeparture" in text, name

@@ -55,6 +55,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Parquet is compressed: without this, fact tables look small enough to broadcast
+        .config("spark.sql.sources.fileCompressionFactor", "4.0")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

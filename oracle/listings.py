@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .ctes import with_tables
-from .reports import M, PAID, TRIP, total
+from .reports import PAID, TRIP, total
 
 TRAIN = "JOIN Trains t ON s.TrainID = t.TrainID"
 NAMES = "dep.StationName AS DepartureStation, arr.StationName AS ArrivalStation"

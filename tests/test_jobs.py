@@ -170,7 +170,8 @@ def test_paying_a_cancelled_booking(spark, booked):
 
 
 def test_mixed_payment_batch_tells_only_success(spark, booked):
-    states = F.element_at(F.array(F.lit("Success"), F.lit("Failed"), F.lit("Pending")), F.col("PaymentID").cast("int"))
+    three = F.array(F.lit("Success"), F.lit("Failed"), F.lit("Pending"))
+    states = F.element_at(three, F.col("PaymentID").cast("int"))
     changed = booked["Payments"].withColumn("PaymentStatus", states)
     titles = lambda df: sorted(r.Title for r in df.collect())
     notices = payment_jobs.payment_notices

@@ -165,10 +165,12 @@ def parts(spark, df, n, tmp):
 
 
 def test_booking_stream_equals_batch(spark, booked):
-    requests = [
-        (i, 1 + i % 3, 1 if i % 4 else 6, f"{30 + i % 5},{30 + i % 7}" if i % 5 != i % 7 else "40", "x,y" if i % 5 != i % 7 else "x", "Visa")
-        for i in range(10, 40)
-    ]
+    requests = []
+    for i in range(10, 40):
+        seats = sorted({30 + i % 5, 30 + i % 7})
+        names = ",".join("x" for _ in seats)
+        trip = 1 if i % 4 else 6
+        requests.append((i, 1 + i % 3, trip, ",".join(map(str, seats)), names, "Visa"))
     df = spark.createDataFrame(requests, BOOKING_REQUEST)
     batch = booking_jobs.create_bookings(booked, df, AS_OF)
     tmp = scratch_dir(spark, "test")

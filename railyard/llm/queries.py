@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import packing, sharding, syncmers, tokens, url_filter
+from railyard.llm import (
+    decontaminate,
+    extract,
+    packing,
+    pii,
+    quality,
+    sharding,
+    syncmers,
+    tokens,
+    url_filter,
+)
 from railyard.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # fixed values
-BAD_SITES = ("adult-x", "casino-win", "free-bets", "spam-farm")
+BAD_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 SHARD_BYTES = 64 << 20
 WORD_MODEL = "word_bpe_49k.json"
 
@@ -24,6 +34,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(documents, pii.session_key(spark))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page judged; the list holds the canonical URLs of known bad sites."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -37,6 +52,18 @@ def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints_with_edits(read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(quality.labelled_rows(documents, read(spark, sf_dir, "labels")))
+    scored = quality.score(documents, model)
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.GOOD).cast("int").alias("predicted"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(WORD_MODEL))
 
@@ -46,17 +73,39 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents, F.col("doc_id"), F.col("size"), SHARD_BYTES).drop("size")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.count_tokens(documents, tokenizer_path(tokens.MODEL))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    overlaps = decontaminate.find_overlaps(documents, read(spark, sf_dir, "benchmark"))
+    return decontaminate.with_hits(overlaps).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "contaminated",
+        "longest",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
     "op3_syncmers": op3_syncmers,
+    "op4_quality": op4_quality,
     "op5_packing": op5_packing,
     "op6_sharding": op6_sharding,
+    "op7_main_text": op7_main_text,
     "op8_token_counts": op8_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL = {

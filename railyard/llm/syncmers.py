@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.llm.common import text_of
-from railyard.llm.ordering import with_next
+from railyard.llm.ordering import with_neighbours
 
 K, S, LONGEST = 5, 2, 64
 
@@ -84,7 +84,7 @@ def fingerprints_with_edits(documents: DataFrame) -> DataFrame:
     rows = documents.select("doc_id", text_of().alias("text")).withColumn(
         "print", fingerprint(F.col("text"))
     )
-    rows = with_next(rows, "doc_id", ["text", "print"], ["text"])
+    rows = with_neighbours(rows, "doc_id", ["text", "print"], ["text"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(

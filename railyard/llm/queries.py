@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from railyard.llm import (
     decontaminate,
     extract,
+    jaccard,
     packing,
     pii,
     quality,
@@ -82,6 +83,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(documents, tokenizer_path(tokens.MODEL))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
     overlaps = decontaminate.find_overlaps(documents, read(spark, sf_dir, "benchmark"))
@@ -105,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op6_sharding": op6_sharding,
     "op7_main_text": op7_main_text,
     "op8_token_counts": op8_token_counts,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 

@@ -127,6 +127,45 @@ Notifications AS (
   FROM events)
 """
 
+# wide forms that the oracles share: a trip, a place to sit, a booking with its ticket number
+_WIDE = """
+ends AS (
+  SELECT way.* EXCLUDE (DepartureStationID, ArrivalStationID),
+    a.StationID AS from_id, a.StationName AS DepartureStation, a.StationCode AS from_code,
+    z.StationID AS to_id, z.StationName AS ArrivalStation, z.StationCode AS to_code
+  FROM (SELECT * FROM Routes) AS way
+  JOIN (SELECT StationID, StationName, StationCode FROM Stations) a ON a.StationID = DepartureStationID
+  JOIN (SELECT StationID, StationName, StationCode FROM Stations) z ON z.StationID = ArrivalStationID),
+trips AS (
+  SELECT Schedules.* EXCLUDE (CreatedAt), ends.* EXCLUDE (RouteID, IsActive), TrainCode, TrainName
+  FROM Schedules INNER JOIN ends USING (RouteID) INNER JOIN Trains USING (TrainID)),
+places AS (
+  SELECT Seats.*, CoachNumber, TrainID, SeatClassID, ClassName, PriceMultiplier
+  FROM Seats INNER JOIN Coaches USING (CoachID) INNER JOIN SeatClasses USING (SeatClassID)),
+ticket_counts AS (SELECT BookingID, count(*) AS nt FROM Tickets GROUP BY BookingID),
+booked AS (
+  SELECT Bookings.*, BookingDate::DATE AS day, coalesce(nt, 0) AS nt, greatest(nt, 1) AS w,
+    if(PaymentStatus = 'Paid', TotalAmount, 0) AS paid,
+    if(BookingStatus = 'Cancelled', TotalAmount, 0) AS lost
+  FROM Bookings LEFT JOIN ticket_counts USING (BookingID)),
+per_trip AS (
+  SELECT ScheduleID, count(*) AS n, sum(nt) AS nt, sum(w) AS w, sum(TotalAmount) AS amount,
+    sum(TotalAmount * w) AS amount_w, sum(paid) AS paid, sum(paid * w) AS paid_w
+  FROM booked GROUP BY ScheduleID),
+per_user AS (
+  SELECT UserID, count(*) AS n, sum(paid) AS spent, max(BookingDate) AS latest,
+    count(*) FILTER (PaymentStatus = 'Paid') AS paid_n,
+    sum(nt) FILTER (PaymentStatus = 'Paid') AS paid_nt,
+    sum(TotalAmount) FILTER (PaymentStatus = 'Paid') AS paid_sum,
+    sum(TotalAmount * w) FILTER (PaymentStatus = 'Paid') AS paid_sum_w,
+    max(BookingDate) FILTER (PaymentStatus = 'Paid') AS paid_latest
+  FROM booked GROUP BY UserID)
+"""
+
+
+def with_wide(body: str, as_of: str = AS_OF) -> str:
+    return with_tables(body, as_of, _WIDE)
+
 
 def with_tables(body: str, as_of: str = AS_OF, extra: str = "") -> str:
     """``body`` with the table CTEs (and further ones, each ``name AS (...)``) before it."""

@@ -38,7 +38,7 @@ def _recount(changed) -> dict:
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels, accepts."""
-    model = quality.train(quality.labelled_rows(docs, read(spark, sf_dir, "labels")))
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
     scored = quality.score(_apart(docs), model)
     return _back(scored.filter(F.col("score") >= quality.GOOD), docs)
 

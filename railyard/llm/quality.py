@@ -3,7 +3,7 @@
 A text's features are its tokens, pairs of tokens, and pairs and triples that come back to
 their first token whatever it is, hashed to ``DIM`` cells; a feature's value is its share of
 the text times ``SCALE``. Training is iterative parameter mixing: the
-labelled rows, at most ``SAMPLE`` of them (the ones of least hash), are dealt to ``SHARDS``
+labelled documents, at most ``SAMPLE`` of them (those whose ids have the least hashes), are dealt to ``SHARDS``
 groups of bounded size; each runs follow-the-regularised-leader over its rows, and the
 averages of the weights are the model. It is ``DIM`` floats, 1 MB, whatever the corpus.
 """
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from railyard.llm.common import in_worker, text_of, thin_out
 
@@ -83,13 +84,25 @@ def ftrl(rows: list[tuple[np.ndarray, int]], epochs: int) -> tuple[np.ndarray, f
     return every[:DIM], float(every[DIM])
 
 
-def train(labelled: DataFrame) -> tuple[np.ndarray, float]:
-    """The model, from rows of (doc_id, text, label). Null labels are left out."""
-    rows = labelled.filter(F.col("label").isNotNull()).select(
-        F.xxhash64("doc_id", "text").alias("at"), text_of().alias("text"), F.col("label").cast("int")
+def learnable(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of at most ``SAMPLE`` documents that may be learnt from.
+
+    Several labels of one document are averaged; a tie, and a null, gives none.
+    """
+    mean = labels.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.avg("quality").alias("m"))
+    label = F.when(F.col("m") > 0.5, 1).when(F.col("m") < 0.5, 0)
+    named = mean.select("doc_id", label.alias("label")).filter("label is not null")
+    return named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+
+
+def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+    """The model. The labels are sampled first, so that no more than ``SAMPLE`` documents
+    leave the scan; without any, weights and bias are zero."""
+    sample = documents.select("doc_id", text_of().alias("text")).join(
+        F.broadcast(learnable(labels)), "doc_id"
     )
-    sample = rows.orderBy("at", "text").limit(SAMPLE)
-    dealt = sample.withColumn("shard", F.pmod("at", F.lit(SHARDS)).cast("int"))
+    at = F.xxhash64("doc_id", "text")
+    dealt = sample.withColumn("at", at).withColumn("shard", F.pmod("at", F.lit(SHARDS)).cast("int"))
 
     def fit(key, frame):
         import pandas as pd
@@ -99,23 +112,26 @@ def train(labelled: DataFrame) -> tuple[np.ndarray, float]:
         w, b = ftrl([(cells_of(t, held), y) for t, y in zip(frame.text, frame.label)], EPOCHS)
         return pd.DataFrame({"n": [len(frame)], "w": [w.astype("<f4").tobytes()], "b": [b]})
 
-    models = dealt.groupBy("shard").applyInPandas(fit, "n long, w binary, b double").collect()
+    columns = dealt.select("shard", "at", "text", "label")
+    models = columns.groupBy("shard").applyInPandas(fit, "n long, w binary, b double").collect()
     total, weights, bias = 0, np.zeros(DIM), 0.0
-    for m in models:
+    for m in models:  # SHARDS at most
         total += m.n
         weights += m.n * np.frombuffer(bytes(m.w), "<f4")
         bias += m.n * m.b
     return (weights / max(total, 1)).astype(np.float32), bias / max(total, 1)
 
 
-def score(documents: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """``documents`` with score, the model's probability of a good text.
+def score(documents: DataFrame, model: tuple[np.ndarray, float], with_text: bool = True) -> DataFrame:
+    """``documents``, on request without their text, with score, the model's probability of
+    a good text.
 
     A null or empty text gets the bias alone. A column named score is replaced.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in documents.columns if c != "score"]
-    source = documents.select(*keep, text_of().alias("_text"))
+    keep = [c for c in documents.columns if c not in ("score", "text")]
+    source = documents.select(*keep, "text")
+    out = source if with_text else source.drop("text")
 
     def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
@@ -123,26 +139,14 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
         for batch in batches:
             sums = [bias] * batch.num_rows
             for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                cells = cells_of(text, held)
+                cells = cells_of(text or "", held)
                 if len(cells):
                     sums[i] += SCALE * float(weights[cells].mean(dtype=np.float64))
             scores = pa.array(logistic(np.array(sums)), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], scores], [*batch.schema.names[:-1], "score"]
+                [*batch.columns[:width], scores], [*batch.schema.names[:width], "score"]
             )
 
-    from pyspark.sql.types import DoubleType
-
-    return source.mapInArrow(dot, source.drop("_text").schema.add("score", DoubleType()))
-
-
-def labelled_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, label of the rows that may be learnt from.
-
-    Several labels of one document are averaged; a tie, and a null, gives none.
-    """
-    mean = labels.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.avg("quality").alias("m"))
-    label = F.when(F.col("m") > 0.5, 1).when(F.col("m") < 0.5, 0)
-    return documents.select("doc_id", "text").join(
-        mean.select("doc_id", label.alias("label")), "doc_id"
-    )
+    width = len(out.columns)
+    schema = StructType([*out.schema.fields, StructField("score", DoubleType())])
+    return source.mapInArrow(dot, schema)

@@ -55,8 +55,8 @@ def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality.train(quality.labelled_rows(documents, read(spark, sf_dir, "labels")))
-    scored = quality.score(documents, model)
+    model = quality.train(documents, read(spark, sf_dir, "labels"))
+    scored = quality.score(documents, model, with_text=False)
     return scored.select(
         "doc_id",
         quality.held_out(F.col("doc_id")).alias("held_out"),

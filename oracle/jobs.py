@@ -132,6 +132,68 @@ new AS (
     (SELECT max(BookingID) FROM Bookings) + row_number() OVER (ORDER BY request_id) AS BookingID
   FROM sold GROUP BY request_id, UserID, sched)
 """
+CLAIMS = """
+claims AS (
+  SELECT c.*, CASE WHEN coalesce(s.Status, '') <> 'Scheduled' THEN 50001 END::INTEGER AS code,
+    CASE WHEN coalesce(s.Status, '') <> 'Scheduled' THEN 'Lịch trình không tồn tại hoặc đã bị hủy.'
+      WHEN ClaimedAt >= s.DepartureTime
+      THEN 'Không thể đặt vé cho chuyến tàu khởi hành trong vòng 2 giờ' END AS reason
+  FROM (SELECT ((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1)::BIGINT * 10
+      + o_custkey % 10 AS ScheduleID, o_orderkey % 40 AS SeatID, o_orderkey AS BookingID,
+      o_orderdate::TIMESTAMP AS ClaimedAt FROM orders) c
+  LEFT JOIN Schedules s USING (ScheduleID))
+"""
+NO_PAYMENT = "Không tồn tại payment, kiểm tra lại thông tin booking!"
+NEW_MASTER = {
+    "Stations": """
+asked AS (
+  SELECT *, CASE WHEN StationCode IN (SELECT StationCode FROM Stations) THEN 'StationCode exists already'
+    WHEN length(StationName) > 100 THEN 'StationName is too long'
+    WHEN City IS NULL THEN 'City is missing' END AS reason
+  FROM (SELECT n_nationkey::BIGINT * 2 AS request_id,
+      if(n_nationkey % 4 = 0, 'N', 'S') || n_nationkey AS StationCode, 'New ' || n_name AS StationName,
+      if(n_nationkey % 5 <> 0, n_name, NULL) AS City, 'West' AS Province, NULL::VARCHAR AS Address,
+      true AS IsActive FROM nation
+    UNION ALL SELECT n_nationkey::BIGINT * 2 + 1, 'S' || n_nationkey,
+      if(n_nationkey % 3 = 0, repeat('x', 101), n_name), n_name, 'East', NULL, true FROM nation))""",
+    "Trains": """
+asked AS (
+  SELECT *, CASE WHEN TrainCode IN (SELECT TrainCode FROM Trains) THEN 'TrainCode exists already'
+    WHEN TotalCoaches IS NULL THEN 'TotalCoaches is missing' END AS reason
+  FROM (SELECT s_suppkey AS request_id,
+    if(s_suppkey % 5 = 0, 'T' || s_suppkey, 'X' || (s_suppkey // 2)) AS TrainCode, s_name AS TrainName,
+    'SE' AS TrainType, if(s_suppkey % 7 <> 0, 8, NULL)::INTEGER AS TotalCoaches, true AS IsActive
+    FROM supplier))""",
+    "Routes": """
+asked AS (
+  SELECT *, CASE WHEN ArrivalStationID = DepartureStationID
+      THEN 'Departure and arrival stations must be different'
+    WHEN ArrivalStationID >= 100 THEN 'unknown ArrivalStationID' END AS reason
+  FROM (SELECT n::BIGINT AS request_id, 'R' || n AS RouteCode, n::BIGINT AS DepartureStationID,
+    (CASE n % 5 WHEN 0 THEN n WHEN 1 THEN n + 100 ELSE (n + 1) % 25 END)::BIGINT AS ArrivalStationID,
+    100::DECIMAL(8,2) AS Distance, 60 AS EstimatedDuration, true AS IsActive
+    FROM (SELECT n_nationkey AS n FROM nation)))""",
+}
+USER_EDITS = """
+edits AS (
+  SELECT event_id AS request_id, user_id AS UserID, user_id IN (SELECT UserID FROM Users) AS known,
+    CASE event_id % 11 WHEN 0 THEN NULL WHEN 1 THEN repeat('x', 101) ELSE 'Name ' || event_id END AS FullName,
+    if(event_id % 11 = 3, 'shared' || (event_id // 50), 'u' || event_id) || '@example.org' AS Email,
+    if(event_id % 11 = 4, '0900000001',
+      '06' || lpad(event_id::VARCHAR, greatest(8, length(event_id::VARCHAR))::INTEGER, '0')) AS PhoneNumber
+  FROM events),
+judged AS (
+  SELECT *, CASE WHEN NOT known THEN NULL WHEN FullName IS NULL THEN 'FullName is missing'
+    WHEN length(FullName) > 100 THEN 'FullName is too long'
+    WHEN Email IN (SELECT u.Email FROM Users u WHERE u.UserID <> edits.UserID)
+      THEN 'Email đã tồn tại trong hệ thống'
+    WHEN PhoneNumber = '0900000001' AND UserID <> 1 AND 1 IN (SELECT UserID FROM Users)
+      THEN 'Số điện thoại đã tồn tại trong hệ thống' END AS reason FROM edits),
+sound AS (
+  SELECT *, first_value(UserID) OVER (PARTITION BY Email ORDER BY request_id) <> UserID
+    OR first_value(UserID) OVER (PARTITION BY PhoneNumber ORDER BY request_id) <> UserID AS late
+  FROM judged WHERE reason IS NULL AND known)
+"""
 B_COLS = "b.BookingID, b.BookingCode, b.UserID, b.ScheduleID, b.BookingDate, b.TotalAmount"
 T_COLS = """tk.TicketID, tk.BookingID, tk.SeatID, tk.PassengerName, tk.PassengerIDNumber,
   tk.PassengerPhone, tk.TicketPrice"""
@@ -408,14 +470,14 @@ FROM Schedules s JOIN (SELECT *, row_number() OVER (PARTITION BY ScheduleID
         f"""SELECT * FROM Schedules WHERE ScheduleID IN ({booked})""",
     )
     add(
-        "m11_payment_notices",
+        "m11_payment_notices_statement",
         f"""SELECT b.UserID, b.BookingID,
   {_payment_notice('p.Amount', 'b.BookingCode', "p.PaymentStatus = 'Success'", at)}
 FROM Payments p JOIN Bookings b ON p.BookingID = b.BookingID
 WHERE p.PaymentStatus = 'Success'""",
     )
     add(
-        "m11_payment_notices_per_row",
+        "m11_payment_notices",
         f"""SELECT b.UserID, b.BookingID,
   {_payment_notice('p.Amount', 'b.BookingCode', "p.PaymentStatus = 'Success'", at)}
 FROM Payments p JOIN Bookings b ON p.BookingID = b.BookingID
@@ -498,9 +560,112 @@ FROM (SELECT request_id, coalesce(code, 50003) AS code FROM judged
     out["s03_rejects"] = out["m01_rejects"]
     out["s01_payment_notices"] = out["m11_payment_notices"]
     out["s02_departure_reminders"] = out["m05_departure_reminders"]
+    out["m11_payment_notices_per_row"] = out["m11_payment_notices"]
     add(
         "s03_first_claims",
-        """SELECT DISTINCT ((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1)::BIGINT * 10
-  + o_custkey % 10 AS ScheduleID, o_orderkey % 40 AS SeatID FROM orders""",
+        """SELECT ScheduleID, SeatID, ClaimedAt, BookingID FROM (SELECT *, row_number() OVER (
+    PARTITION BY ScheduleID, SeatID ORDER BY ClaimedAt, BookingID) AS place FROM claims
+  WHERE reason IS NULL) WHERE place = 1""",
+        CLAIMS,
+        EARLY,
+    )
+    add("s03_claim_rejects", "SELECT BookingID, code, reason FROM claims WHERE reason IS NOT NULL",
+        CLAIMS, EARLY)
+    add(
+        "m03_cascade_tickets",
+        f"""SELECT {T_COLS}, 'Cancelled' AS TicketStatus FROM Tickets tk
+WHERE TicketStatus <> 'Cancelled' AND BookingID IN (SELECT BookingID FROM Bookings
+  WHERE BookingStatus = 'Active' AND ScheduleID IN (SELECT ScheduleID FROM firsts))""",
+        cancel_s,
+    )
+    add(
+        "m04_new_payments",
+        f"""SELECT (SELECT max(PaymentID) FROM Payments WHERE PaymentID % 7 <> 3) + n AS PaymentID,
+  booking_id AS BookingID, NULL::VARCHAR AS PaymentMethod, last_try.txn AS TransactionID, amount AS Amount,
+  CASE WHEN tries = 1 OR last_try.code = '00' THEN TIMESTAMP '{at}' END AS PaymentDate,
+  CASE WHEN tries > 1 AND last_try.code = '00' THEN 'Success' ELSE 'Failed' END AS PaymentStatus,
+  CASE WHEN tries = 1 THEN '99' ELSE last_try.code END AS ResponseCode,
+  CASE WHEN tries = 1 THEN '{NO_PAYMENT}' WHEN last_try.code = '00' THEN 'Payment successful'
+    ELSE 'Payment failed' END AS ResponseMessage
+FROM (SELECT booking_id, any_value(amount) AS amount, count(*) AS tries,
+    max_by({{'txn': txn, 'code': code}}, request_id) AS last_try,
+    row_number() OVER (ORDER BY min(request_id)) AS n
+  FROM good WHERE booking_id % 7 = 3 GROUP BY booking_id)""",
+        PAY,
+    )
+    refused = out["m04_rejects"][0]
+    add(
+        "m04_unpaid_rejects",
+        f"""{refused} UNION ALL SELECT min(request_id), 54003, '{NO_PAYMENT}' FROM good
+WHERE booking_id % 7 = 3 GROUP BY booking_id""",
+        PAY,
+    )
+    for table, key, code in (("Stations", "StationID", "StationCode"), ("Trains", "TrainID", "TrainCode"),
+                             ("Routes", "RouteID", "RouteCode")):
+        ranked = f"""
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {code} ORDER BY request_id) AS nth
+  FROM asked WHERE reason IS NULL)"""
+        extra = NEW_MASTER[table] + "," + ranked
+        add(
+            f"m07_{table.lower()}",
+            f"""SELECT (SELECT max({key}) FROM {table}) + row_number() OVER (ORDER BY request_id) AS {key},
+  ranked.* EXCLUDE (request_id, reason, nth) FROM ranked WHERE nth = 1""",
+            extra,
+        )
+        add(
+            f"m07_{table.lower()}_rejects",
+            """SELECT request_id, NULL::INTEGER AS code, reason FROM asked WHERE reason IS NOT NULL
+UNION ALL SELECT request_id, NULL, 'an earlier row of the batch has this key' FROM ranked WHERE nth > 1""",
+            extra,
+        )
+    add(
+        "m08_users_rejects",
+        """SELECT request_id, NULL::INTEGER AS code, reason FROM judged WHERE reason IS NOT NULL
+UNION ALL SELECT request_id, NULL, 'an earlier change of the batch has this key' FROM sound WHERE late""",
+        USER_EDITS,
+    )
+    add(
+        "m08_users_fixed",
+        """SELECT u.UserID, coalesce(l.FullName, u.FullName) AS FullName, coalesce(l.Email, u.Email) AS Email,
+  coalesce(l.PhoneNumber, u.PhoneNumber) AS PhoneNumber, u.UserType, u.IsActive, u.CreatedAt
+FROM Users u LEFT JOIN (SELECT UserID, unnest(max_by({'FullName': FullName, 'Email': Email,
+    'PhoneNumber': PhoneNumber}, request_id)) FROM sound WHERE NOT late GROUP BY UserID) l USING (UserID)""",
+        USER_EDITS,
+    )
+    add(
+        "m08_schedules_rejects",
+        """SELECT BookingID AS request_id, NULL::INTEGER AS code, CASE BookingID % 7
+    WHEN 0 THEN 'arrival is not after departure' WHEN 1 THEN 'BasePrice is missing'
+    WHEN 2 THEN 'Status is not an allowed value' ELSE 'unknown RouteID' END AS reason
+FROM Bookings WHERE BookingID % 7 < 4 AND ScheduleID IN (SELECT ScheduleID FROM Schedules)""",
+    )
+    for table, key, used, plain, why, when in (
+        ("Users", "UserID", active, f"UserID % 3 = 0", "Cannot delete user with active bookings", at),
+        ("Stations", "StationID", ends, "false", "Cannot delete station used in routes", at),
+        ("Trains", "TrainID", soon, "false", "Cannot delete train with upcoming schedules",
+         "2001-01-01 00:00:00"),
+    ):
+        add(
+            f"m09_{table.lower()}_rejects",
+            f"""SELECT {key} AS request_id, NULL::INTEGER AS code, CASE WHEN {key} IN ({used}) AND may
+    THEN '{why}' ELSE 'Insufficient permissions' END AS reason
+FROM (SELECT {key}, {key} % 3 = 1 AND 100 IN (SELECT UserID FROM Users
+    WHERE UserType = 'Admin' AND IsActive) AS may FROM {table} WHERE NOT ({plain}))
+WHERE NOT may OR {key} IN ({used})""",
+            as_of=when,
+        )
+    add("m10_rejects", "SELECT ScheduleID, 'Không thể xóa chuyến tàu đã có đặt vé' AS reason FROM Schedules")
+    add(
+        "w01_appended_schedules",
+        f"SELECT * FROM Schedules UNION ALL BY NAME ({out['m07_schedules'][0]})",
+        NEW_SCHEDULES,
+    )
+    out["w02_updated_users"] = out["m08_users"]
+    out["w03_remaining_schedules"] = out["m10_delete_free"]
+    add(
+        "view_scan",
+        """SELECT Status, count(*) AS Trips, len(list_distinct(list(TrainID)))::BIGINT AS Trains
+FROM Schedules SEMI JOIN (FROM Routes WHERE IsActive) USING (RouteID) GROUP BY Status""",
+        as_of="2001-01-01 00:00:00",
     )
     return {n: with_tables(body, as_of, extra) for n, (body, as_of, extra) in out.items()}

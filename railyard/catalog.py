@@ -17,7 +17,7 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators import views as V
 from .operators.notices import NOTICE_COLUMNS
-from .plans.checkpoints import scratch_dir, shared_dir
+from .plans.checkpoints import cut, scratch_dir, shared_dir
 from .plans.tables import Tables
 from .sources import commands as K
 from .sources.star import AS_OF, star_tables, stream_star, stream_table
@@ -74,6 +74,15 @@ def report_queries() -> dict[str, Query]:
     return q
 
 
+def _trips_by_view(t: Tables) -> DataFrame:
+    """A query in SQL over the tables as temporary views."""
+    t.register_views("rail_")
+    return t["Schedules"].sparkSession.sql(
+        "SELECT Status, count(*) AS Trips, count(DISTINCT TrainID) AS Trains FROM rail_Schedules"
+        " WHERE RouteID IN (SELECT RouteID FROM rail_Routes WHERE IsActive) GROUP BY Status"
+    )
+
+
 def listing_queries() -> dict[str, Query]:
     return {
         "l01_users": _on(L.list_users),
@@ -83,6 +92,7 @@ def listing_queries() -> dict[str, Query]:
         "l03_stations": _on(L.list_stations),
         "l03_stations_filtered": _on(L.list_stations, True, "nation_1"),
         "l04_trains": _on(L.list_trains, AS_OF),
+        "l04_trains_once": _on(L.list_trains, AS_OF, fanout="once"),
         "l04_trains_filtered": _on(L.list_trains, AS_OF, True, "SE"),
         "l05_routes": _on(L.list_routes, AS_OF, True),
         "l06_schedules": _on(L.list_schedules),
@@ -106,6 +116,7 @@ def listing_queries() -> dict[str, Query]:
         "v04_seat_availability": _on(V.seat_availability),
         "v05_payment_history": _on(V.payment_history),
         "v06_unread_notifications": _on(V.unread_notifications),
+        "view_scan": _on(_trips_by_view),
         "f01_price_list": _on(F.price_list),
         "f01_ticket_price": _on(F.ticket_prices),
         "f02_refund_percentage": _on(F.refund_percentages, REFUND_AS_OF),
@@ -162,6 +173,27 @@ def job_queries() -> dict[str, Query]:
     def add_trips(t, spark, sf_dir):
         return D.append_rows(t, "Schedules", K.new_schedules(spark, sf_dir), JOB_AS_OF)
 
+    def append(table: str, rows):
+        return lambda t, spark, sf_dir: D.append_rows(t, table, rows(spark, sf_dir), JOB_AS_OF)
+
+    def fix_users(t, spark, sf_dir):
+        return D.update_rows(t, "Users", K.user_edits(spark, sf_dir))
+
+    def fix_trips(t, spark, sf_dir):
+        return D.update_rows(t, "Schedules", K.schedule_edits(t))
+
+    def cascade(t, spark, sf_dir):
+        return B.cancel_schedules(t, K.cancel_schedule_commands(t), JOB_AS_OF, cascade=True)
+
+    def pay_unpaid(t, spark, sf_dir):
+        # three of seven bookings have lost their payment
+        some = t["Payments"].filter(SF.col("PaymentID") % 7 != 3)
+        return pay(t.with_frames(Payments=some), spark, sf_dir)
+
+    def stored(name: str, frame) -> None:
+        """The new state of a table, written and read back."""
+        q[name] = lambda spark, sf_dir: cut(frame(spark, sf_dir))
+
     def edit_users(t, spark, sf_dir):
         return D.update_rows(t, "Users", K.user_changes(spark, sf_dir))
 
@@ -213,9 +245,27 @@ def job_queries() -> dict[str, Query]:
     q["m11_payment_notices"] = _on(
         lambda t: P.payment_notices(t, t["Payments"], JOB_AS_OF), as_of=JOB_AS_OF
     )
-    q["m11_payment_notices_per_row"] = _on(
-        lambda t: P.payment_notices(t, t["Payments"], JOB_AS_OF, per_row=True), as_of=JOB_AS_OF
+    q["m11_payment_notices_per_row"] = q["m11_payment_notices"]
+    q["m11_payment_notices_statement"] = _on(
+        lambda t: P.payment_notices(t, t["Payments"], JOB_AS_OF, per_row=False), as_of=JOB_AS_OF
     )
+    q["m03_cascade_tickets"] = _job("tickets", cascade)
+    q["m04_new_payments"] = _job("new_payments", pay_unpaid)
+    q["m04_unpaid_rejects"] = _job("rejects", pay_unpaid)
+    for table, rows in (("Stations", K.new_stations), ("Trains", K.new_trains), ("Routes", K.new_routes)):
+        q[f"m07_{table.lower()}"] = _job("rows", append(table, rows))
+        q[f"m07_{table.lower()}_rejects"] = _job("rejects", append(table, rows))
+    q["m08_users_rejects"] = _job("rejects", fix_users)
+    q["m08_users_fixed"] = then(_without_hash, _job("rows", fix_users))
+    q["m08_schedules_rejects"] = _job("rejects", fix_trips)
+    for table, as_of in (("Users", JOB_AS_OF), ("Stations", JOB_AS_OF)):
+        q[f"m09_{table.lower()}_rejects"] = _job("rejects", delete(table))
+    q["m09_trains_rejects"] = _job("rejects", delete("Trains", "2001-07-15 00:00:00"), AS_OF)
+    q["m10_rejects"] = _job("rejects", lambda t, spark, sf_dir: C.delete_schedules(t, None))
+    stored("w01_appended_schedules", lambda spark, sf_dir: star_tables(spark, sf_dir, JOB_AS_OF)[
+        "Schedules"].unionByName(q["m07_schedules"](spark, sf_dir)))
+    stored("w02_updated_users", q["m08_users"])
+    stored("w03_remaining_schedules", q["m10_delete_free"])
     q["m12_generated_seats"] = _on(lambda t: C.generate_seats(t["Coaches"]))
     q["m13_double_booked_seats"] = _on(B.double_booked_seats)
     q["m14_cancelled_tickets"] = _on(B.cancelled_tickets)
@@ -265,16 +315,19 @@ def stream_queries() -> dict[str, Query]:
         arriving = K.booking_requests(spark, sf_dir, stream_star)
         return S.booking_request_stream(t, arriving, out, progress, EARLY)
 
-    def claim(t, spark, sf_dir, out, progress):
-        first = S.first_claims(K.seat_claims(spark, sf_dir, stream_star), "ClaimedAt", "1 day")
-        return (
-            first.select("ScheduleID", "SeatID")
-            .writeStream.format("parquet")
-            .option("path", f"{out}/claims")
-            .option("checkpointLocation", progress)
-            .trigger(availableNow=True)
-            .start()
-        )
+    def claims(read) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            out = scratch_dir(spark, "stream")
+            arriving = K.seat_claims(spark, sf_dir, stream_star)
+            t = star_tables(spark, sf_dir, EARLY)
+            for started in S.first_claim_stream(t, arriving, f"{out}/result", f"{out}/progress"):
+                started.awaitTermination()
+            return read(spark, f"{out}/result")
+
+        return query
+
+    def refused_claims(spark: SparkSession, out: str) -> DataFrame:
+        return S.read_results(spark, out, "claim_rejects", "BookingID bigint, code int, reason string")
 
     def notice_schema(t: Tables):
         return t["Notifications"].select(*NOTICE_COLUMNS).schema
@@ -286,7 +339,8 @@ def stream_queries() -> dict[str, Query]:
         "s03_rejects": run(
             book, "rejects", lambda t: "request_id bigint, code int, reason string"
         ),
-        "s03_first_claims": run(claim, "claims", lambda t: "ScheduleID bigint, SeatID bigint"),
+        "s03_first_claims": claims(S.read_first_claims),
+        "s03_claim_rejects": claims(refused_claims),
     }
 
 

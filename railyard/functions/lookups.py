@@ -117,12 +117,15 @@ def schedules_with_travel_time(t: Tables) -> DataFrame:
     )
 
 
-def taken_seats(t: Tables) -> DataFrame:
-    """Distinct (SeatID, ScheduleID) held by a Valid ticket of an Active booking."""
+def taken_seats(t: Tables, trips: DataFrame | None = None) -> DataFrame:
+    """Distinct (SeatID, ScheduleID) held by a Valid ticket of an Active booking, of the
+    given trips (distinct ScheduleID) only."""
     valid = t["Tickets"].filter(F.col("TicketStatus") == "Valid").select("BookingID", "SeatID")
     active = (
         t["Bookings"].filter(F.col("BookingStatus") == "Active").select("BookingID", "ScheduleID")
     )
+    if trips is not None:
+        active = active.join(t.hint(trips, "Schedules"), "ScheduleID", "left_semi")
     return valid.join(active, "BookingID").select("SeatID", "ScheduleID").distinct()
 
 
@@ -174,7 +177,9 @@ def split_authorised(t: Tables, commands: DataFrame) -> tuple[DataFrame, DataFra
     a command, which needs no rights."""
     plain = commands.filter(F.col("admin_id").isNull())
     by_admin = commands.filter(F.col("admin_id").isNotNull())
-    known = admins(t)
+    # the distinct callers come down to few rows before anything meets the commands, so the
+    # commands, of which one caller may have given most, need no shuffle by caller
+    known = admins(t).join(by_admin.select("admin_id").distinct(), "admin_id", "left_semi")
     # the plain commands may be most of the batch and all have the same, missing, key
     allowed = plain.unionByName(by_admin.join(known, "admin_id", "left_semi"))
     return allowed, by_admin.join(known, "admin_id", "left_anti")

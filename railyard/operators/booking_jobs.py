@@ -114,7 +114,8 @@ def create_bookings(
     coaches = class_of_coach(t, F.col("TrainID").alias("seat_train"), "PriceMultiplier")
     places = t["Seats"].select("SeatID", "CoachID").join(coaches, "CoachID", "left")
     places = places.select("SeatID", "seat_train", "PriceMultiplier", F.lit(True).alias("known"))
-    held = taken_seats(t) if held is None else held
+    if held is None:  # of the asked trips only, not of all history
+        held = taken_seats(t, sound.select("ScheduleID").distinct())
     taken = held.withColumn("taken", F.lit(True))
     rows = cut(
         sound.select(

@@ -20,34 +20,35 @@ from ..plans.checkpoints import cut
 GROUP_ROWS = 1_000_000
 
 
-def _replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Winners, from claims sorted by group and request. Rows stream through; only the
-    items given away in the current group are kept."""
-    group = request = None
-    wanted: list = []
-    given: set = set()
-    for rows in batches:
-        won = []
-        columns = (rows[c].tolist() for c in ("grp", "request_id", "item"))
-        for grp, req, item in zip(*columns):
-            if req != request or grp != group:
-                if wanted and given.isdisjoint(wanted):
-                    given.update(wanted)
-                    won.append(request)
-                if grp != group:
-                    given = set()
-                group, request, wanted = grp, req, []
-            wanted.append(item)
-        yield pd.DataFrame({"request_id": pd.Series(won, dtype="int64")})
-    if wanted and given.isdisjoint(wanted):
-        yield pd.DataFrame({"request_id": pd.Series([request], dtype="int64")})
-
-
 def _replayed(claims: DataFrame) -> DataFrame:
     """Groups are spread over tasks whole, several to a task, and replayed in order."""
+
+    # defined here, so that it travels whole and workers need no copy of this package
+    def replay(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Winners, from claims sorted by group and request. Rows stream through; only the
+        items given away in the current group are kept."""
+        group = request = None
+        wanted: list = []
+        given: set = set()
+        for rows in batches:
+            won = []
+            columns = (rows[c].tolist() for c in ("grp", "request_id", "item"))
+            for grp, req, item in zip(*columns):
+                if req != request or grp != group:
+                    if wanted and given.isdisjoint(wanted):
+                        given.update(wanted)
+                        won.append(request)
+                    if grp != group:
+                        given = set()
+                    group, request, wanted = grp, req, []
+                wanted.append(item)
+            yield pd.DataFrame({"request_id": pd.Series(won, dtype="int64")})
+        if wanted and given.isdisjoint(wanted):
+            yield pd.DataFrame({"request_id": pd.Series([request], dtype="int64")})
+
     by_group = claims.select("grp", "request_id", "item").repartition("grp")
     return by_group.sortWithinPartitions("grp", "request_id").mapInPandas(
-        _replay, "request_id bigint"
+        replay, "request_id bigint"
     )
 
 
@@ -98,6 +99,31 @@ def first_come(claims: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
         open_claims = cut(rest)
 
 
+def first_by_key(claims: DataFrame, keys: int) -> DataFrame:
+    """``first_come`` for claims on unique values, of which a request has ``keys`` at most
+    and which are mostly asked for once: joins and aggregates only, over all tasks.
+
+    With one value each the first request of a value gets it. With several the claims are
+    settled in rounds; a round decides every request whose rivals are decided.
+    """
+    first = claims.groupBy("item").agg(F.min("request_id").alias("request_id"))
+    if keys == 1:
+        return first.select("request_id")
+    # most values have one request, and a request with only such values needs no round
+    met = claims.groupBy("item").agg(
+        F.min("request_id").alias("lo"), F.max("request_id").alias("hi")
+    )
+    rivals = claims.join(met.filter("lo < hi").select("item"), "item", "left_semi")
+    contested = rivals.select("request_id").distinct()
+    won = [claims.select("request_id").distinct().join(contested, "request_id", "left_anti")]
+    left = cut(claims.join(contested, "request_id", "left_semi").withColumn("grp", F.lit(0)))
+    while not left.isEmpty():
+        winners, rest = _one_round(left)
+        won.append(winners)
+        left = cut(rest)
+    return cut(reduce(DataFrame.unionByName, won))
+
+
 def distinct_claims(requests: DataFrame, group: str, items: str) -> DataFrame:
     """Of requests with the very same items only the first can win: either it gets them or
     someone before it holds one of them for good. Keeps that one per group and item set."""

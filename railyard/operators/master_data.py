@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from .. import messages as msg
 from ..functions.exprs import instant, password_hash
 from ..functions.ids import next_id, number_rows
-from ..functions.lookups import admins, split_authorised
+from ..functions.lookups import split_authorised
 from ..plans.checkpoints import cut
 from ..plans.tables import Tables
 from ..schemas import AS_OF, TABLES, Table
-from .claims import GROUP_ROWS, first_come
+from .claims import first_by_key
 from .notices import first_failure, reject
 
 MIN_PASSWORD = 8
@@ -53,9 +53,23 @@ def row_faults(spec: Table) -> list[tuple[Column, str]]:
     return checks
 
 
-def append_rows(
-    t: Tables, table: str, rows: DataFrame, as_of, *, group_rows: int = GROUP_ROWS
-) -> dict[str, DataFrame]:
+def _held(t: Tables, table: str, columns) -> DataFrame:
+    """Rows of a table whose unique columns are all given; NULL collides with nothing."""
+    return t[table].dropna(subset=list(columns))
+
+
+def _unique_keys(spec: Table) -> list[Column]:
+    """One text per unique rule, NULL where a column of it is."""
+    return [
+        F.when(
+            F.concat(*[F.col(c).cast("string") for c in columns]).isNotNull(),
+            F.concat_ws("\x1f", F.lit(i), *[F.col(c).cast("string") for c in columns]),
+        )
+        for i, columns in enumerate(spec.unique)
+    ]
+
+
+def append_rows(t: Tables, table: str, rows: DataFrame, as_of) -> dict[str, DataFrame]:
     """Adds rows (request_id, optionally admin_id, columns) that pass every check.
 
     Checked are rights, the declared columns, foreign keys and unique keys. Of rows of the
@@ -93,7 +107,7 @@ def append_rows(
         checks.append((missing, f"unknown {column}"))
     for columns in spec.unique:
         flag = "_" + "_".join(columns)
-        held = t[table].select(*columns, F.lit(True).alias(flag))
+        held = _held(t, table, columns).select(*columns, F.lit(True).alias(flag)).distinct()
         full = full.join(held, list(columns), "left")
         text = _TAKEN.get(columns[0], f"{', '.join(columns)} exists already")
         # existing keys are told before faults of the row itself
@@ -110,21 +124,11 @@ def append_rows(
         refused = refused.unionByName(reject(unauthorised, msg.NO_RIGHTS))
 
     if spec.unique:
-        keys = [
-            F.when(
-                F.concat(*[F.col(c).cast("string") for c in columns]).isNotNull(),
-                F.concat_ws("\x1f", F.lit(i), *[F.col(c).cast("string") for c in columns]),
-            )
-            for i, columns in enumerate(spec.unique)
-        ]
         claims = sound.select(
-            "request_id",
-            F.lit(0).alias("grp"),
-            F.explode(F.array_compact(F.array(*keys))).alias("item"),
+            "request_id", F.explode(F.array_compact(F.array(*_unique_keys(spec)))).alias("item")
         )
-        lost = claims.select("request_id").join(
-            first_come(claims, group_rows), "request_id", "left_anti"
-        ).distinct()
+        winners = first_by_key(claims, len(spec.unique))
+        lost = claims.select("request_id").distinct().join(winners, "request_id", "left_anti")
         refused = refused.unionByName(reject(lost, "an earlier row of the batch has this key"))
         sound = sound.join(lost, "request_id", "left_anti")
     start = next_id(t[table], spec.key) - 1
@@ -138,19 +142,64 @@ def append_rows(
 
 def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFrame]:
     """Overwrites columns by key. ``changes`` has request_id, the key, optionally
-    admin_id, and the columns to set, NULLs included; the last change of a key counts.
+    admin_id, and the columns to set, NULLs included; the last change of a key counts that
+    is not refused.
 
-    Returns the whole new table, the rows affected per request, and the rejects.
+    A change is refused if it breaks a rule of the declared columns, names an unknown foreign
+    key, takes a unique value that another row of the table has, or one that an earlier
+    change of the batch has taken for another row. A refused change affects no row. Returns
+    the whole new table, the rows affected per request, and the rejects.
     """
     spec = TABLES[table]
-    refused = None
+    unauthorised = None
     allowed = changes
     if "admin_id" in changes.columns:
         allowed, unauthorised = split_authorised(t, changes)
-        refused = reject(unauthorised, msg.NO_RIGHTS)
     columns = [c for c in changes.columns if c not in ("request_id", "admin_id", spec.key)]
+    # the row as it would be: given columns from the change, the others from the table
+    kept = [c.name for c in spec.cols[1:] if c.name not in columns]
+    before = t[table].select(spec.key, F.lit(True).alias("_known"), *kept)
+    full = allowed.select("request_id", spec.key, *columns).join(before, spec.key, "left")
+    checks = row_faults(spec)
+    for column, (parent, key) in spec.foreign.items():
+        if column in columns:
+            known = t.hint(
+                t[parent].select(F.col(key).alias(column), F.lit(True).alias(f"_{column}")), parent
+            )
+            full = full.join(known, column, "left")
+            missing = F.col(column).isNotNull() & F.col(f"_{column}").isNull()
+            checks.append((missing, f"unknown {column}"))
+    touched = [u for u in spec.unique if set(u) & set(columns)]
+    for unique in touched:
+        flag = "_" + "_".join(unique)
+        owner = _held(t, table, unique).groupBy(*unique).agg(
+            F.min(spec.key).alias(f"{flag}_lo"), F.max(spec.key).alias(f"{flag}_hi")
+        )
+        full = full.join(owner, list(unique), "left")
+        other = (F.col(f"{flag}_lo") != F.col(spec.key)) | (F.col(f"{flag}_hi") != F.col(spec.key))
+        text = _TAKEN.get(unique[0], f"{', '.join(unique)} exists already")
+        checks.append((F.coalesce(other, F.lit(False)), text))
+    # an unknown key changes nothing, so it breaks no rule
+    checks = [(F.col("_known").isNotNull() & fault, why) for fault, why in checks]
+    code, reason = first_failure(*checks)
+    judged = full.select(
+        "request_id", spec.key, "_known", *columns, *kept, code.alias("code"), reason.alias("reason")
+    )
+    judged = cut(judged)
+    sound = judged.filter(F.col("reason").isNull() & F.col("_known").isNotNull())
+    if touched:
+        item = F.explode(F.array_compact(F.array(*_unique_keys(spec))))
+        claims = sound.select("request_id", spec.key, item.alias("item"))
+        # the first change that takes a value takes it for its row; changes of that row may
+        # take it again, those of others are refused
+        owner = claims.groupBy("item").agg(F.min_by(spec.key, "request_id").alias("_owner"))
+        late = claims.join(owner, "item").filter(F.col("_owner") != F.col(spec.key))
+        late = late.select("request_id").distinct()
+    else:
+        late = sound.select("request_id").limit(0)
+    sound = sound.join(late, "request_id", "left_anti")
     # a max over structs aggregates map-side, so a key changed very often is no hot spot
-    last = allowed.groupBy(spec.key).agg(
+    last = sound.groupBy(spec.key).agg(
         F.max(F.struct("request_id", F.struct(*columns).alias("new"))).alias("_last")
     )
     hit = F.col("_last").isNotNull()
@@ -160,15 +209,18 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
         else F.col(c.name)
         for c in spec.cols
     ]
-    updated = t[table].join(last, spec.key, "left").select(*table_columns)
-    known = t[table].select(spec.key, F.lit(1).alias("_known"))
-    affected = allowed.join(known, spec.key, "left").select(
-        "request_id", F.coalesce("_known", F.lit(0)).alias("RowsAffected")
+    refused = judged.filter("reason is not null").select("request_id", "code", "reason").unionByName(
+        reject(late, "an earlier change of the batch has this key")
     )
-    out = {"rows": updated, "affected": affected}
-    if refused is not None:
-        out["rejects"] = refused
-    return out
+    none = refused.select("request_id", F.lit(0).alias("_none"))
+    count = F.coalesce("_none", F.when(F.col("_known"), 1).otherwise(0))
+    affected = judged.join(none, "request_id", "left").select(
+        "request_id", count.alias("RowsAffected")
+    )
+    if unauthorised is not None:
+        refused = refused.unionByName(reject(unauthorised, msg.NO_RIGHTS))
+    updated = t[table].join(last, spec.key, "left").select(*table_columns)
+    return {"rows": updated, "affected": affected, "rejects": refused}
 
 
 def soft_delete(t: Tables, table: str, commands: DataFrame, as_of) -> dict[str, DataFrame]:
@@ -195,15 +247,17 @@ def soft_delete(t: Tables, table: str, commands: DataFrame, as_of) -> dict[str,
         raise ValueError(f"{table} has no soft delete")
     # distinct first: a user with very many bookings becomes one row per task
     used = used.distinct().withColumn("_used", F.lit(True))
-    known = admins(t).withColumn("_admin", F.lit(True))
+    by_admin, by_others = split_authorised(t, commands)
+    commands = by_admin.withColumn("_admin", F.lit(True)).unionByName(
+        by_others.withColumn("_admin", F.lit(False))
+    )
     plain = F.col("admin_id").isNull() if table == "Users" else F.lit(False)
-    is_admin = F.coalesce("_admin", F.lit(False))
+    is_admin = F.col("admin_id").isNotNull() & F.col("_admin")
     _, reason = first_failure(
         (~plain & ~is_admin, msg.NO_RIGHTS), (~plain & F.col("_used").isNotNull(), why)
     )
     judged = (
-        commands.join(known, "admin_id", "left")
-        .join(used, "id", "left")
+        commands.join(used, "id", "left")
         .select("request_id", "id", reason.alias("reason"))
     )
     ok = judged.filter(F.col("reason").isNull()).select(F.col("id").alias(spec.key))

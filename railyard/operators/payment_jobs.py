@@ -28,14 +28,18 @@ def _texts(amount: Column, ok: Column) -> tuple[Column, Column]:
 
 
 def payment_notices(
-    t: Tables, changed: DataFrame, as_of, per_row: bool = False
+    t: Tables, changed: DataFrame, as_of, per_row: bool = True
 ) -> DataFrame:
-    """Notices for a batch of changed payments. If any of them succeeded, only successes
-    are told; else the failures are. ``per_row`` treats each payment as its own batch."""
+    """Notices for changed payments: each success and each failure is told, however the
+    payments are cut into batches.
+
+    ``per_row=False`` takes the batch for one statement: if any payment of it succeeded,
+    only successes are told; else the failures are."""
     told = changed.filter(F.col("PaymentStatus").isin("Success", "Failed"))
     if not per_row:
-        succeeded = told.filter(F.col("PaymentStatus") == "Success")
-        told = told if succeeded.isEmpty() else succeeded
+        won = F.col("PaymentStatus") == "Success"
+        any_won = told.agg(F.coalesce(F.bool_or(won), F.lit(False)).alias("any")).scalar()
+        told = told.filter(won | ~any_won)
     codes = t["Bookings"].select("BookingID", "BookingCode", "UserID")
     title, text = _texts(F.col("Amount"), F.col("PaymentStatus") == "Success")
     return notices(

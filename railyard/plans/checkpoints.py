@@ -15,13 +15,14 @@ _LOCAL: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach, as the session names it.
 
-    Only a local session without the setting gets a temporary folder; on a cluster a
-    machine-local folder would lose its data with the machine, so that is an error.
+    Only a session in a single process (``local[...]``) without the setting gets a temporary
+    folder; on a cluster a machine-local folder would lose its data with the machine, so that
+    is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL:

@@ -1,7 +1,7 @@
 """The thirteen tables of the ticketing model: types, keys, domains and defaults.
 
 One declaration per table drives the Parquet read schemas, the data-quality job
-(`operators.quality`) and the defaults that `operators.append` fills in.
+(`operators.quality`) and the defaults that `operators.master_data` fills in.
 """
 
 from __future__ import annotations

@@ -40,7 +40,7 @@ def seat_claims(spark: SparkSession, sf_dir: str, read=read_star) -> DataFrame:
         schedule_of(at, F.col("o_custkey")).alias("ScheduleID"),
         (o % 40).alias("SeatID"),
         o.alias("BookingID"),
-        at.cast("timestamp").alias("ClaimedAt"),
+        at.cast("timestamp_ntz").alias("ClaimedAt"),
     )
 
 
@@ -194,3 +194,84 @@ def delete_commands(t: Tables, table: str) -> DataFrame:
     return t[table].select(
         k.alias("request_id"), k.alias("id"), caller.cast("bigint").alias("admin_id")
     )
+
+
+def new_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stations per nation: known codes, codes asked for twice, missing and long names."""
+    n, name = F.col("n_nationkey").cast("bigint"), F.col("n_name")
+    fresh = F.concat(F.lit("S"), n.cast("string"))
+    nations = read_star(spark, sf_dir, "nation")
+    first = nations.select(
+        (n * 2).alias("request_id"),
+        F.when(n % 4 == 0, F.concat(F.lit("N"), n.cast("string"))).otherwise(fresh).alias("StationCode"),
+        F.concat(F.lit("New "), name).alias("StationName"),
+        F.when(n % 5 != 0, name).alias("City"),
+        F.lit("West").alias("Province"),
+    )
+    second = nations.select(
+        (n * 2 + 1).alias("request_id"),
+        fresh.alias("StationCode"),
+        F.when(n % 3 == 0, F.repeat(F.lit("x"), F.lit(101))).otherwise(name).alias("StationName"),
+        name.alias("City"),
+        F.lit("East").alias("Province"),
+    )
+    return first.unionByName(second)
+
+
+def new_trains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A train per supplier: known codes, codes asked for twice, no number of coaches."""
+    s = F.col("s_suppkey")
+    return read_star(spark, sf_dir, "supplier").select(
+        s.alias("request_id"),
+        F.when(s % 5 == 0, F.concat(F.lit("T"), s.cast("string")))
+        .otherwise(F.concat(F.lit("X"), F.floor(s / 2).cast("string")))
+        .alias("TrainCode"),
+        F.col("s_name").alias("TrainName"),
+        F.lit("SE").alias("TrainType"),
+        F.when(s % 7 != 0, 8).alias("TotalCoaches"),
+    )
+
+
+def new_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A route per nation: some lead nowhere or to a station that does not exist."""
+    n = F.col("n_nationkey").cast("bigint")
+    return read_star(spark, sf_dir, "nation").select(
+        n.alias("request_id"),
+        F.concat(F.lit("R"), n.cast("string")).alias("RouteCode"),
+        n.alias("DepartureStationID"),
+        F.when(n % 5 == 0, n).when(n % 5 == 1, n + 100).otherwise((n + 1) % 25).alias("ArrivalStationID"),
+        F.lit("100.00").cast("decimal(8,2)").alias("Distance"),
+        F.lit(60).alias("EstimatedDuration"),
+    )
+
+
+def user_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edits by event that break a rule each: no name, a long one, an address that several
+    ask for, the number of another user."""
+    e = F.col("event_id")
+    kind, text = e % 11, e.cast("string")
+    return read_star(spark, sf_dir, "events").select(
+        e.alias("request_id"),
+        F.col("user_id").alias("UserID"),
+        F.when(kind == 0, None).when(kind == 1, F.repeat(F.lit("x"), F.lit(101)))
+        .otherwise(F.concat(F.lit("Name "), text)).alias("FullName"),
+        F.when(kind == 3, F.concat(F.lit("shared"), F.floor(e / 50).cast("string"), F.lit("@example.org")))
+        .otherwise(F.concat(F.lit("u"), text, F.lit("@example.org"))).alias("Email"),
+        F.when(kind == 4, F.concat(F.lit("09"), padded(F.lit(1), 8)))
+        .otherwise(F.concat(F.lit("06"), padded(e, 8))).alias("PhoneNumber"),
+    )
+
+
+def schedule_edits(t: Tables) -> DataFrame:
+    """Edits by booking: arrivals before departures, no price, odd states, unknown routes."""
+    b, at = F.col("BookingID"), F.col("BookingDate")
+    kind = b % 7
+    return t["Bookings"].select(
+        b.alias("request_id"),
+        F.col("ScheduleID"),
+        F.when(kind == 3, F.lit(999)).otherwise(b % 50).cast("bigint").alias("RouteID"),
+        at.alias("DepartureTime"),
+        (at + F.make_dt_interval(F.lit(0), F.when(kind == 0, -1).otherwise(9))).alias("ArrivalTime"),
+        F.when(kind != 1, F.col("TotalAmount")).alias("BasePrice"),
+        F.when(kind == 2, "Lost").otherwise("Delayed").alias("Status"),
+    )

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import messages as msg
 from ..functions.lookups import taken_seats
 from ..operators.booking_jobs import create_bookings, first_new_ids
 from ..operators.lifecycle_jobs import departure_reminders
+from ..operators.notices import first_failure
 from ..operators.payment_jobs import payment_notices
 from ..plans.checkpoints import cut
 from ..plans.tables import Tables
@@ -57,7 +59,7 @@ def _start(stream: DataFrame, work: Callable, checkpoint: str) -> StreamingQuery
 
 
 def payment_notice_stream(
-    t: Tables, payments: DataFrame, out_dir: str, checkpoint: str, as_of, per_row: bool = False
+    t: Tables, payments: DataFrame, out_dir: str, checkpoint: str, as_of, per_row: bool = True
 ) -> StreamingQuery:
     """Tells payers about each micro-batch of changed payments (S01)."""
 
@@ -130,7 +132,66 @@ def booking_request_stream(
     return _start(requests, work, checkpoint)
 
 
-def first_claims(claims: DataFrame, at: str, delay: str) -> DataFrame:
-    """First claim per (ScheduleID, SeatID) of a stream of single-seat claims. The state
-    store holds one key per claimed seat, and forgets it ``delay`` after the watermark."""
-    return claims.withWatermark(at, delay).dropDuplicatesWithinWatermark(["ScheduleID", "SeatID"])
+def split_claims(t: Tables, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(claims that count, refused ones) of single-seat claims (ScheduleID, SeatID,
+    BookingID, ClaimedAt): a trip must be Scheduled and not have left at that time."""
+    trips = t.hint(
+        t["Schedules"].select("ScheduleID", "Status", F.col("DepartureTime").alias("_leaves")),
+        "Schedules",
+    )
+    code, reason = first_failure(
+        (~F.col("Status").eqNullSafe("Scheduled"), msg.NO_SCHEDULE),
+        (F.col("ClaimedAt") >= F.col("_leaves"), msg.TOO_LATE),
+    )
+    judged = claims.join(trips, "ScheduleID", "left").select(
+        *claims.columns, code.alias("code"), reason.alias("reason")
+    )
+    return (
+        judged.filter(F.col("reason").isNull()).select(*claims.columns),
+        judged.filter(F.col("reason").isNotNull()),
+    )
+
+
+def first_claims(claims: DataFrame) -> DataFrame:
+    """The least claim of every seat and trip, by (ClaimedAt, BookingID).
+
+    As a stream this keeps one row per claimed seat and has no event time that could expire:
+    a claim may come in as late as it likes and still wins if it is the least, and of two
+    claims never both are told to have the seat. The state of trips that have left goes when
+    the stream is started anew, as their claims are refused.
+    """
+    return claims.groupBy("ScheduleID", "SeatID").agg(
+        F.min(F.struct("ClaimedAt", "BookingID")).alias("first")
+    )
+
+
+def first_claim_stream(
+    t: Tables, claims: DataFrame, out_dir: str, checkpoint: str
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Settles arriving claims (S03): seats whose least claim changed in a micro-batch, and
+    refused claims. `read_first_claims` gives the state after all stored micro-batches."""
+    good, refused = split_claims(t, claims)
+
+    def store(name: str) -> Callable:
+        return lambda batch, batch_id: _store(batch, out_dir, name, batch_id)
+
+    def start(rows: DataFrame, name: str, mode: str) -> StreamingQuery:
+        return (
+            rows.writeStream.outputMode(mode)
+            .foreachBatch(store(name))
+            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
+            .trigger(availableNow=True)
+            .start()
+        )
+
+    changed = first_claims(good).select("ScheduleID", "SeatID", "first.ClaimedAt", "first.BookingID")
+    rejects = refused.select("BookingID", "code", "reason")
+    return start(changed, "claims", "update"), start(rejects, "claim_rejects", "append")
+
+
+def read_first_claims(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(ScheduleID, SeatID, ClaimedAt, BookingID) of each claimed seat: of the claims that a
+    stream has told for it the least, which is also the last."""
+    schema = "ScheduleID bigint, SeatID bigint, ClaimedAt timestamp_ntz, BookingID bigint"
+    told = read_results(spark, out_dir, "claims", schema)
+    return first_claims(told).select("ScheduleID", "SeatID", "first.ClaimedAt", "first.BookingID")

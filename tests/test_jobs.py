@@ -175,10 +175,10 @@ def test_mixed_payment_batch_tells_only_success(spark, booked):
     changed = booked["Payments"].withColumn("PaymentStatus", states)
     titles = lambda df: sorted(r.Title for r in df.collect())
     notices = payment_jobs.payment_notices
-    assert titles(notices(booked, changed, AS_OF)) == [msg.PAID_TITLE]
-    assert titles(notices(booked, changed, AS_OF, per_row=True)) == [msg.PAID_TITLE, msg.UNPAID_TITLE]
+    assert titles(notices(booked, changed, AS_OF)) == [msg.PAID_TITLE, msg.UNPAID_TITLE]
+    assert titles(notices(booked, changed, AS_OF, per_row=False)) == [msg.PAID_TITLE]
     failed = changed.filter("PaymentStatus <> 'Success'")
-    assert titles(notices(booked, failed, AS_OF)) == [msg.UNPAID_TITLE]
+    assert titles(notices(booked, failed, AS_OF, per_row=False)) == [msg.UNPAID_TITLE]
 
 
 def test_reminders_are_sent_once(spark, booked):

@@ -1,5 +1,6 @@
 """Constraint checks, the store, streams and the shape of the plans."""
 
+import datetime as dt
 import re
 import uuid
 
@@ -206,34 +207,38 @@ def test_reminder_stream_sends_once(spark, booked):
     assert sorted(map(str, rows(got))) == sorted(map(str, rows(expected)))
 
 
-def test_payment_stream_treats_each_micro_batch_alone(spark, booked):
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_payment_stream_does_not_depend_on_the_cut(spark, booked, n):
     state = F.when(F.col("PaymentID") == 1, "Success").otherwise("Failed")
     changed = booked["Payments"].withColumn("PaymentStatus", state)
     tmp = scratch_dir(spark, "test")
-    source = parts(spark, changed.withColumn("_part", F.when(F.col("PaymentID") < 3, 0).otherwise(1)), 2, tmp)
+    source = parts(spark, changed.withColumn("_part", (F.col("PaymentID") % n).cast("int")), n, tmp)
     streams.payment_notice_stream(booked, source, f"{tmp}/out", f"{tmp}/chk", AS_OF).awaitTermination()
-    schema = payment_jobs.payment_notices(booked, changed, AS_OF).schema
-    got = streams.read_results(spark, f"{tmp}/out", "notifications", schema)
-    # 1 succeeds and hides 2 in the first micro-batch; 3 fails alone in the second
-    assert {r.BookingID for r in got.collect()} == {1, 3}
-
-
-def test_first_claims(spark):
-    claims = spark.sql(
-        "select * from values (1L, 7L, 1L, timestamp'2025-01-01 10:00'),"
-        " (1L, 7L, 2L, timestamp'2025-01-01 11:00'), (1L, 8L, 3L, timestamp'2025-01-01 12:00')"
-        " as v(ScheduleID, SeatID, BookingID, at)"
+    expected = payment_jobs.payment_notices(booked, changed, AS_OF)
+    got = streams.read_results(spark, f"{tmp}/out", "notifications", expected.schema)
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(expected)))
+    assert {r.BookingID for r in got.collect()} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2, 3, 4), (4, 2, 0, 3, 1)])
+def test_first_claims_in_any_order(spark, booked, order):
+    """Five micro-batches years apart: nothing is lost, no seat is given twice."""
+    made = [
+        (1, 7, 14, "2025-01-01 10:00"), (1, 7, 2, "2025-01-01 10:00"), (1, 8, 3, "1995-01-01 12:00"),
+        (1, 7, 4, "2025-06-01 10:00"), (1, 8, 5, "2025-02-01 10:00"), (99, 1, 6, "2020-01-01 10:00"),
+        (1, 9, 8, "2099-01-01 10:00"), (1, 9, 9, "2025-03-01 10:00"),
+    ]
+    claims = spark.createDataFrame(
+        [(s, p, b, dt.datetime.fromisoformat(at), order[i % 5]) for i, (s, p, b, at) in enumerate(made)],
+        "ScheduleID bigint, SeatID bigint, BookingID bigint, ClaimedAt timestamp_ntz, _part int",
     )
     tmp = scratch_dir(spark, "test")
-    source = parts(spark, claims.withColumn("_part", (F.col("BookingID") - 1).cast("int")), 3, tmp)
-    query = (
-        streams.first_claims(source, "at", "2 days")
-        .writeStream.format("parquet")
-        .option("path", f"{tmp}/out")
-        .option("checkpointLocation", f"{tmp}/chk")
-        .trigger(availableNow=True)
-        .start()
+    source = parts(spark, claims, 5, tmp)
+    for query in streams.first_claim_stream(booked, source, f"{tmp}/out", f"{tmp}/chk"):
+        query.awaitTermination()
+    got = streams.read_first_claims(spark, f"{tmp}/out")
+    assert set(rows(got, "ScheduleID", "SeatID", "BookingID")) == {(1, 7, 2), (1, 8, 3), (1, 9, 9)}
+    refused = streams.read_results(
+        spark, f"{tmp}/out", "claim_rejects", "BookingID bigint, code int, reason string"
     )
-    query.awaitTermination()
-    got = spark.read.parquet(f"{tmp}/out")
-    assert set(rows(got, "SeatID", "BookingID")) == {(7, 1), (8, 3)}
+    assert {r.BookingID for r in refused.collect()} == {6, 8}

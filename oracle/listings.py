@@ -168,6 +168,7 @@ SELECT Payments.* EXCLUDE (BookingID, ResponseCode, ResponseMessage) FROM Paymen
         "l13_search_trips": search(None),
         "l13_search_trips_by_class": search(3),
         "l14_seat_map": seat_map(725),
+        "l14_seat_map_of_coach": seat_map(725, "CoachID = 115"),
         "v01_available_schedules": f"""
 SELECT ScheduleID, {WHEN}, TrainCode, TrainName, {WHERE}, Distance, EstimatedDuration, BasePrice,
   AvailableSeats, Status FROM trips WHERE {ahead(as_of)}""",
@@ -183,6 +184,10 @@ SELECT ScheduleID, {WHEN}, TrainCode, TrainName, {WHERE}, Distance, EstimatedDur
             " {status} AS SeatStatus",
             "'Booked'", "'Available'",
         ),
+        "v04_seat_status_counts": f"""
+SELECT ScheduleID, SeatID, SeatStatus, count(*) AS Tickets FROM ({seat_rows(
+    "SELECT ScheduleID, places.* FROM trips INNER JOIN places USING (TrainID) WHERE Status = 'Scheduled'",
+    "ScheduleID, SeatID, {status} AS SeatStatus", "'Booked'", "'Available'")}) GROUP BY ALL""",
         "v05_payment_history": f"""
 SELECT PaymentID, TransactionID, BookingCode, CustomerName, PaymentMethod, Amount, PaymentDate,
   Payments.PaymentStatus, TrainCode, {WHERE}

@@ -110,10 +110,12 @@ def listing_queries() -> dict[str, Query]:
         "l13_search_trips": _on(L.search_trips),
         "l13_search_trips_by_class": _on(L.search_trips, seat_class=3),
         "l14_seat_map": _on(L.seat_map, 725),
+        "l14_seat_map_of_coach": _on(L.seat_map, 725, 115),
         "v01_available_schedules": _on(V.available_schedules, AS_OF),
         "v02_customer_bookings": _on(V.customer_bookings),
         "v03_ticket_details": _on(V.ticket_details),
         "v04_seat_availability": _on(V.seat_availability),
+        "v04_seat_status_counts": _on(V.seat_status_counts),
         "v05_payment_history": _on(V.payment_history),
         "v06_unread_notifications": _on(V.unread_notifications),
         "view_scan": _on(_trips_by_view),

@@ -460,7 +460,7 @@ def seat_map(t: Tables, schedule_id: int, coach_id: int | None = None) -> DataFr
         .withColumn("ScheduleID", F.lit(schedule_id).cast("bigint"))
     )
     return (
-        with_ticket_price(t, seat_rows(t, seats))
+        with_ticket_price(t, seat_rows(t, seats, few=coach_id is not None))
         .select(
             "SeatID",
             "SeatNumber",

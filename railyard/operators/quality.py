@@ -89,10 +89,14 @@ def _duplicates(t: Tables, spec: Table, columns: tuple[str, ...]) -> DataFrame:
 
 
 def _orphans(t: Tables, spec: Table, column: str, parent: str, key: str) -> DataFrame:
-    """Rows whose reference is unknown. Only the distinct references are looked up; the
-    rows themselves are joined back to the missing ones, of which there should be none."""
+    """Rows whose reference is unknown. Against a parent that is known to be small this is
+    one scan. Else only the distinct references are looked up; the rows themselves are joined
+    back to the missing ones, of which there should be none."""
     child = t[spec.name].filter(F.col(column).isNotNull()).select(_text(spec.key).alias("k"), column)
     parents = t[parent].select(F.col(key).alias(column))
+    if t.bounds.get(parent, t.broadcast_rows + 1) <= t.broadcast_rows:
+        rows = child.join(F.broadcast(parents), column, "left_anti")
+        return _shape(rows, spec.name, f"foreign {column}", F.col("k"), F.col(column))
     missing = child.select(column).distinct().join(parents, column, "left_anti")
     rows = child.join(missing, column, "left_semi")
     return _shape(rows, spec.name, f"foreign {column}", F.col("k"), F.col(column))

@@ -55,7 +55,7 @@ def _amount_sums(cancelled_as: str = "CancelledRevenue") -> list:
 
 def _daily(t: Tables, start, end, fanout: str) -> DataFrame:
     """Booking measures per day; weeks and months are rolled up from these rows."""
-    bookings = keep_days(t["Bookings"], "BookingDate", start, end)
+    bookings = t.days("Bookings", "BookingDate", start, end)
     return (
         booking_facts(t, bookings, fanout)
         .groupBy(F.to_date("BookingDate").alias("Day"))
@@ -115,7 +115,7 @@ _ROUTE = ("RouteCode", "DepartureStation", "ArrivalStation")
 
 
 def revenue_by_route(t: Tables, start=None, end=None, fanout: str = "rows") -> DataFrame:
-    bookings = keep_days(t["Bookings"], "BookingDate", start, end).filter(_paid())
+    bookings = t.days("Bookings", "BookingDate", start, end).filter(_paid())
     per_schedule = (
         booking_facts(t, bookings, fanout)
         .groupBy("ScheduleID")
@@ -141,7 +141,7 @@ def revenue_by_route(t: Tables, start=None, end=None, fanout: str = "rows") -> D
 
 def _paid_by_route(t: Tables, start, end, paid_only: bool) -> DataFrame:
     """Bookings and paid revenue per route, without tickets and so without fan-out."""
-    bookings = keep_days(t["Bookings"], "BookingDate", start, end)
+    bookings = t.days("Bookings", "BookingDate", start, end)
     if paid_only:
         bookings = bookings.filter(_paid())
     per_schedule = bookings.groupBy("ScheduleID").agg(
@@ -161,7 +161,7 @@ def _class_stats(t: Tables, start, end, *keys: str) -> DataFrame:
     Two reductions come before the dimension joins: bookings shrink to their ids, and
     tickets to one row per seat, so a seat or class in high demand is no hot join key.
     """
-    paid = keep_days(t["Bookings"], "BookingDate", start, end).filter(_paid())
+    paid = t.days("Bookings", "BookingDate", start, end).filter(_paid())
     per_seat = (
         t["Tickets"]
         .join(paid.select("BookingID"), "BookingID", "left_semi")
@@ -252,7 +252,7 @@ def payment_analytics(t: Tables, start=None, end=None) -> DataFrame:
     success, failed = (F.col("PaymentStatus") == s for s in ("Success", "Failed"))
     n = F.count(F.lit(1))
     return (
-        keep_days(t["Payments"], "PaymentDate", start, end)
+        t.days("Payments", "PaymentDate", start, end)
         .groupBy("PaymentMethod")
         .agg(
             n.alias("TransactionCount"),
@@ -274,8 +274,8 @@ def payment_method_statistics(t: Tables, start=None, end=None) -> DataFrame:
 
 def revenue_summary(t: Tables, year: int, month: int | None = None, fanout="rows") -> DataFrame:
     start, end = month_range(year, month)
-    bookings = keep_days(t["Bookings"], "BookingDate", start, end)
-    return booking_facts(t, bookings, fanout).agg(
+    bookings = t.days("Bookings", "BookingDate", start, end)
+    return booking_facts(t, bookings, fanout, few=True).agg(
         F.count(F.lit(1)).alias("TotalBookings"),
         F.coalesce(F.sum("tickets"), F.lit(0)).cast("bigint").alias("TotalTickets"),
         *_amount_sums("CancelledAmount"),
@@ -293,7 +293,7 @@ def revenue_summary_by_route(t: Tables, year: int, month: int | None = None) ->
 def revenue_summary_by_method(t: Tables, year: int, month: int | None = None) -> DataFrame:
     start, end = month_range(year, month)
     return (
-        keep_days(t["Payments"], "PaymentDate", start, end)
+        t.days("Payments", "PaymentDate", start, end)
         .filter(F.col("PaymentStatus") == "Success")
         .groupBy("PaymentMethod")
         .agg(F.count(F.lit(1)).alias("Transactions"), money(F.sum("Amount")).alias("Amount"))
@@ -305,10 +305,10 @@ def _dashboard_start(as_of, days: int) -> dt.date:
 
 
 def dashboard_totals(t: Tables, as_of, days: int = 30, fanout: str = "rows") -> DataFrame:
-    bookings = keep_days(t["Bookings"], "BookingDate", _dashboard_start(as_of, days), None)
+    bookings = t.days("Bookings", "BookingDate", _dashboard_start(as_of, days), None)
     known = t.hint(t["Schedules"].select("ScheduleID", F.lit(True).alias("known")), "Schedules")
     return (
-        booking_facts(t, bookings, fanout)
+        booking_facts(t, bookings, fanout, few=True)
         .join(known, "ScheduleID", "left")
         .agg(
             F.count(F.lit(1)).alias("TotalBookings"),
@@ -324,7 +324,7 @@ def dashboard_totals(t: Tables, as_of, days: int = 30, fanout: str = "rows") ->
 
 def dashboard_days(t: Tables, as_of, days: int = 30) -> DataFrame:
     return (
-        keep_days(t["Bookings"], "BookingDate", _dashboard_start(as_of, days), None)
+        t.days("Bookings", "BookingDate", _dashboard_start(as_of, days), None)
         .groupBy(F.to_date("BookingDate").alias("BookingDate"))
         .agg(
             F.count(F.lit(1)).alias("Bookings"),
@@ -378,11 +378,20 @@ def dashboard_latest(t: Tables, top_n: int = 10) -> DataFrame:
     )
 
 
+def _of_trips(t: Tables, trips: DataFrame, start, end) -> DataFrame:
+    """Bookings of trips that are limited to a range; with no limit all bookings."""
+    if start is None and end is None:
+        return t["Bookings"]
+    ids = t.hint(trips.select("ScheduleID"), "Schedules")
+    return t["Bookings"].join(ids, "ScheduleID", "left_semi")
+
+
 def train_utilization(t: Tables, start=None, end=None) -> DataFrame:
     """Trips, occupancy and revenue per train, all counted once per booking row (a trip
     without bookings is one row). Capacity is 50 seats per declared coach."""
+    schedules = keep_days(t["Schedules"], "DepartureTime", start, end)
     per_booking = (
-        t["Bookings"]
+        _of_trips(t, schedules, start, end)
         .groupBy("ScheduleID")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -391,8 +400,7 @@ def train_utilization(t: Tables, start=None, end=None) -> DataFrame:
     )
     rows = F.greatest(F.coalesce("n", F.lit(0)), F.lit(1)).cast("bigint")
     trips = (
-        keep_days(t["Schedules"], "DepartureTime", start, end)
-        .join(t.hint(per_booking, "Schedules"), "ScheduleID", "left")
+        schedules.join(t.hint(per_booking, "Schedules"), "ScheduleID", "left")
         .select("TrainID", "Status", "AvailableSeats", "n", "paid", rows.alias("rows"))
     )
     known_seats = F.col("AvailableSeats").isNotNull()
@@ -427,8 +435,11 @@ def train_utilization(t: Tables, start=None, end=None) -> DataFrame:
 
 def route_performance(t: Tables, start=None, end=None, fanout: str = "rows") -> DataFrame:
     """Schedules, bookings, tickets and revenue per route for departures in the range."""
+    trips = trips_for(t, *_ROUTE, "Distance", "BasePrice", "DepartureTime")
+    trips = keep_days(trips, "DepartureTime", start, end)
+    ranged = not (start is None and end is None)
     per_schedule = (
-        booking_facts(t, t["Bookings"], fanout)
+        booking_facts(t, _of_trips(t, trips, start, end), fanout, few=ranged)
         .groupBy("ScheduleID")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -438,8 +449,6 @@ def route_performance(t: Tables, start=None, end=None, fanout: str = "rows") ->
             F.sum(_weighted_if(_paid())).alias("paid"),
         )
     )
-    trips = trips_for(t, *_ROUTE, "Distance", "BasePrice", "DepartureTime")
-    trips = keep_days(trips, "DepartureTime", start, end)
     zero = F.lit(0).cast("bigint")
     # a schedule without bookings is one joined row; fan-out "once" counts each one once
     copies = F.coalesce("weight", F.lit(1)) if fanout == "rows" else F.lit(1)
@@ -504,7 +513,7 @@ def customer_segmentation(t: Tables) -> DataFrame:
 
 def bookings_by_hour(t: Tables, start=None, end=None) -> DataFrame:
     return (
-        keep_days(t["Bookings"], "BookingDate", start, end)
+        t.days("Bookings", "BookingDate", start, end)
         .groupBy(F.hour("BookingDate").alias("Hour"))
         .agg(F.count(F.lit(1)).alias("BookingCount"), money(F.sum("TotalAmount")).alias("Revenue"))
         .orderBy("Hour")
@@ -514,7 +523,7 @@ def bookings_by_hour(t: Tables, start=None, end=None) -> DataFrame:
 def bookings_by_weekday(t: Tables, start=None, end=None) -> DataFrame:
     """Weekdays are numbered from Sunday = 1."""
     return (
-        keep_days(t["Bookings"], "BookingDate", start, end)
+        t.days("Bookings", "BookingDate", start, end)
         .groupBy(
             F.date_format("BookingDate", "EEEE").alias("DayOfWeek"),
             F.dayofweek("BookingDate").alias("DayNumber"),

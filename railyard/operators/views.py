@@ -116,15 +116,19 @@ def _repeat(df: DataFrame, copies: str) -> DataFrame:
     )
 
 
-def seat_rows(t: Tables, schedule_seats: DataFrame) -> DataFrame:
-    """Status rows for (ScheduleID, SeatID, ...) rows, with column ``Booked``.
+def seat_counts(t: Tables, schedule_seats: DataFrame, few: bool = False) -> DataFrame:
+    """For (ScheduleID, SeatID, ...) rows: a row per state, ``Booked`` or not, with the
+    number of tickets in it as ``copies``, which may be 0.
 
     A seat yields one row per ticket it ever had, on whatever schedule; the row is booked
     when that ticket's booking is an Active one of this schedule. A seat without tickets
     yields one free row. Tickets are counted per seat, and per seat and schedule, before
-    they meet the seats, so no ticket is ever paired with the schedules one by one.
+    they meet the seats, so no ticket is ever paired with the schedules one by one. ``few``
+    says that the seats are a small part of all: other tickets are then left out first.
     """
     tickets = t["Tickets"].select("BookingID", "SeatID")
+    if few:
+        tickets = tickets.join(schedule_seats.select("SeatID").distinct(), "SeatID", "left_semi")
     per_seat = tickets.groupBy("SeatID").agg(F.count(F.lit(1)).alias("all_tickets"))
     active = t["Bookings"].filter(F.col("BookingStatus") == "Active")
     per_trip = (
@@ -138,16 +142,33 @@ def seat_rows(t: Tables, schedule_seats: DataFrame) -> DataFrame:
         F.struct(F.lit(True).alias("Booked"), booked.alias("copies")),
         F.struct(F.lit(False).alias("Booked"), (every - booked).alias("copies")),
     )
-    counted = (
+    return (
         schedule_seats.join(per_seat, "SeatID", "left")
         .join(per_trip, ["SeatID", "ScheduleID"], "left")
         .select(*schedule_seats.columns, F.inline(states))
     )
-    return _repeat(counted, "copies")
 
 
-def seat_availability(t: Tables) -> DataFrame:
-    """Seat map of every Scheduled trip."""
+def seat_rows(t: Tables, schedule_seats: DataFrame, few: bool = False) -> DataFrame:
+    """`seat_counts` with each row repeated, one row per ticket."""
+    return _repeat(seat_counts(t, schedule_seats, few), "copies")
+
+
+def seat_status_counts(t: Tables) -> DataFrame:
+    """Tickets per seat and state of every Scheduled trip: what `seat_availability` repeats."""
+    return (
+        seat_counts(t, _places_of_trips(t))
+        .filter("copies > 0")
+        .select(
+            "ScheduleID",
+            "SeatID",
+            F.when(F.col("Booked"), "Booked").otherwise("Available").alias("SeatStatus"),
+            F.col("copies").alias("Tickets"),
+        )
+    )
+
+
+def _places_of_trips(t: Tables) -> DataFrame:
     trips = (
         t["Schedules"]
         .filter(F.col("Status") == "Scheduled")
@@ -157,7 +178,12 @@ def seat_availability(t: Tables) -> DataFrame:
     coaches = class_of_coach(t, "TrainID", "CoachNumber", "ClassName")
     places = t.hint(trips, "Schedules").join(coaches, "TrainID").drop("TrainID")
     places = t.hint(places, "Schedules", "Coaches")
-    return seat_rows(t, t["Seats"].join(places, "CoachID")).select(
+    return t["Seats"].join(places, "CoachID")
+
+
+def seat_availability(t: Tables) -> DataFrame:
+    """Seat map of every Scheduled trip, a row per ticket that a seat ever had."""
+    return seat_rows(t, _places_of_trips(t)).select(
         "ScheduleID",
         "TrainCode",
         "CoachNumber",

@@ -81,27 +81,33 @@ def seat_dims(t: Tables) -> DataFrame:
     return t["Seats"].join(dims, "CoachID")
 
 
-def tickets_per_booking(t: Tables) -> DataFrame:
-    """One row per booking that has tickets. Counted map-side first, so a booking with
-    very many tickets costs one small row per task, and later joins are one-to-one."""
+def tickets_per_booking(t: Tables, bookings: DataFrame | None = None) -> DataFrame:
+    """One row per booking that has tickets, of the given bookings if these are few. Counted
+    map-side first, so a booking with very many tickets costs one small row per task, and
+    later joins are one-to-one."""
+    tickets = t["Tickets"].select("BookingID").filter(F.col("BookingID").isNotNull())
+    if bookings is not None:
+        tickets = tickets.join(bookings.select("BookingID"), "BookingID", "left_semi")
     return (
-        t["Tickets"]
-        .filter(F.col("BookingID").isNotNull())
-        .groupBy("BookingID")
+        tickets.groupBy("BookingID")
         .agg(F.count(F.lit(1)).alias("tickets"))
     )
 
 
-def booking_facts(t: Tables, bookings: DataFrame, fanout: str = "rows") -> DataFrame:
+def booking_facts(
+    t: Tables, bookings: DataFrame, fanout: str = "rows", few: bool = False
+) -> DataFrame:
     """Bookings with their ticket number and the weight their amount gets in sums.
 
     ``fanout="rows"``: the amount counts once per ticket (once if there is none), as a
     join of bookings and tickets followed by SUM does. ``fanout="once"``: it counts once.
     Because BookingID is unique, weighting replaces that join and its distinct counts.
+    ``few`` says that the bookings are a small part of all: tickets of others are then left
+    out before they are counted.
     """
     if fanout not in ("rows", "once"):
         raise ValueError(f"fanout must be 'rows' or 'once', not {fanout!r}")
-    facts = bookings.join(tickets_per_booking(t), "BookingID", "left").withColumn(
+    facts = bookings.join(tickets_per_booking(t, bookings if few else None), "BookingID", "left").withColumn(
         "tickets", F.coalesce("tickets", F.lit(0).cast("bigint"))
     )
     one = F.lit(1).cast("bigint")

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import keep_days
+
 # A frame is broadcast by hint only when its row bound was measured and is at most
 # this. Anything else is left to the optimizer's own size check and AQE.
 BROADCAST_ROWS = 200_000
@@ -26,6 +28,7 @@ class Tables(Mapping):
     bounds: dict[str, int] = field(default_factory=dict)
     broadcast_rows: int = BROADCAST_ROWS
     derived: dict[str, DataFrame] = field(default_factory=dict)
+    ranged: dict[str, Callable] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         frame = self.frames[name]
@@ -45,6 +48,17 @@ class Tables(Mapping):
             self.derived[name] = make(self)
         return self.derived[name]
 
+    def days(self, name: str, column: str, start, end) -> DataFrame:
+        """A table's rows whose ``column`` lies in a range of days; None leaves a side open.
+
+        ``ranged`` may name a maker for a table, called with the days, whose rows include all
+        of the range. It filters columns of the files, which the date is computed from, so
+        that the range reaches the Parquet reader.
+        """
+        if name in self.ranged and not (start is None and end is None):
+            return keep_days(self.ranged[name](start, end), column, start, end)
+        return keep_days(self[name], column, start, end)
+
     def hint(self, df: DataFrame, *bounded_by: str) -> DataFrame:
         """Broadcast ``df`` if the product of these tables' row bounds is known and small."""
         rows = 1
@@ -64,6 +78,7 @@ class Tables(Mapping):
             frames={**self.frames, **frames},
             bounds={**kept, **(bounds or {})},
             derived={},
+            ranged={n: m for n, m in self.ranged.items() if n not in frames},
         )
 
     def register_views(self, prefix: str = "") -> None:

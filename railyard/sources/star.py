@@ -8,6 +8,7 @@ a size that the optimizer knows. Their row numbers are the broadcast bounds.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from decimal import Decimal
 from functools import partial
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import instant, padded, password_hash
+from ..functions.exprs import as_date, instant, keep_days, padded, password_hash
 from ..plans.checkpoints import cut, shared_dir
 from ..plans.tables import Tables
 
@@ -359,9 +360,16 @@ def _amount():
     return (F.col("o_totalprice").cast("decimal(10,2)") * F.lit(3)).cast("decimal(10,2)")
 
 
-def _bookings(star: Star) -> DataFrame:
+def _ordered(star: Star, start, end, earlier: int = 0) -> DataFrame:
+    """Orders of the days on which bookings of these days were ordered: the hours of a
+    booking never leave its day. A plain range on a column of the file is pushed down."""
+    first = None if start is None else as_date(start) - dt.timedelta(days=earlier)
+    return keep_days(star.orders, "o_orderdate", first, end)
+
+
+def _bookings(star: Star, orders: DataFrame | None = None) -> DataFrame:
     o = F.col("o_orderkey")
-    return star.orders.select(
+    return (star.orders if orders is None else orders).select(
         o.alias("BookingID"),
         F.concat(F.lit("BK"), F.date_format("o_orderdate", "yyyyMMdd"), padded(o, 8)).alias(
             "BookingCode"
@@ -406,7 +414,7 @@ def _tickets(star: Star) -> DataFrame:
     )
 
 
-def _payments(star: Star) -> DataFrame:
+def _payments(star: Star, orders: DataFrame | None = None) -> DataFrame:
     o = F.col("o_orderkey")
     method = F.when(o % 6 == 0, "Cash").otherwise(
         _cases(
@@ -417,7 +425,7 @@ def _payments(star: Star) -> DataFrame:
         )
     )
     outcome = _cases(o % 10, [(7, "Pending"), (9, "Failed")], "Success")
-    return star.orders.select(
+    return (star.orders if orders is None else orders).select(
         o.alias("PaymentID"),
         o.alias("BookingID"),
         method.alias("PaymentMethod"),
@@ -477,7 +485,12 @@ def _star_tables(spark: SparkSession, sf_dir: str, as_of: str) -> Tables:
     }
     frames = {**written, **{name: partial(make, star) for name, make in makers.items()}}
     frames["RefundPolicies"] = partial(policies, spark)
-    return Tables(frames, bounds={**sizes, "RefundPolicies": len(POLICIES)})
+    ranged = {
+        "Bookings": lambda start, end: _bookings(star, _ordered(star, start, end)),
+        # paid an hour after the booking, which may be the next day
+        "Payments": lambda start, end: _payments(star, _ordered(star, start, end, earlier=1)),
+    }
+    return Tables(frames, bounds={**sizes, "RefundPolicies": len(POLICIES)}, ranged=ranged)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

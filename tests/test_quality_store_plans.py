@@ -145,7 +145,7 @@ def test_bucketed_tables_join_without_a_shuffle(spark, booked):
 @pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="star files are not here")
 def test_no_python_and_no_products_in_queries(spark):
     # a join on a literal key: one schedule or one class is looked up
-    by_literal = ("l13_search_trips_by_class", "l14_seat_map")
+    by_literal = ("l13_search_trips_by_class", "l14_seat_map", "l14_seat_map_of_coach")
     lazy = [n for n in all_queries() if not n.startswith(("m01", "m07", "s0"))]
     for name in lazy:
         text = physical(all_queries()[name](spark, SF))
@@ -156,6 +156,21 @@ def test_no_python_and_no_products_in_queries(spark):
             assert "HoursBeforeDeparture" in text, name
 
 
+def test_date_ranges_reach_the_files(spark):
+    """Narrow reports prune orders in the scan and tickets before they are counted."""
+    for name in ("q06a_revenue_summary", "q06c_revenue_summary_by_method", "q07b_dashboard_days",
+                 "q16a_monthly_revenue", "q16b_monthly_top_routes"):
+        text = physical(all_queries()[name](spark, SF))
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", text), name
+    for name in ("q06a_revenue_summary", "q11_route_performance", "l14_seat_map_of_coach"):
+        assert "LeftSemi" in physical(all_queries()[name](spark, SF)), name
+
+
+def test_sign_ups_are_settled_without_python(spark):
+    text = physical(all_queries()["m07_users"](spark, SF))
+    assert not re.search(r"InPandas|PythonUDF|EvalPython", text)
+
+
 def parts(spark, df, n, tmp):
     """Stream of n files, one per micro-batch, in key order."""
     path = f"{tmp}/in"

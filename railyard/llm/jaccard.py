@@ -44,12 +44,13 @@ FILTER_BITS = 1 << 23
 
 
 class Scheme:
-    """The numbers that follow from shingle length and similarity in hundredths."""
+    """The numbers that follow from shingle length and similarity in hundredths. ``spare``
+    says how much of the hash range is counted, as a multiple of a prefix's share of it."""
 
-    def __init__(self, n: int, percent: int):
+    def __init__(self, n: int, percent: int, spare: float = 1.5):
         self.n, self.percent = n, percent
         self.least = -(-percent // (100 - percent))  # smaller sets link with equal ones only
-        self.counted = np.uint64(min(1.5 * (100 - percent) / 100, 0.9) * 2**64)
+        self.counted = np.uint64(min(spare * (100 - percent) / 100, 0.9) * 2**64)
         self.reach = -(-STEPS * (100 - percent) // 100)
 
     def need(self, size: int) -> int:
@@ -172,7 +173,7 @@ def _counted_tokens(documents: DataFrame, scheme: Scheme, shared) -> DataFrame:
 
 def _to_index(counted: DataFrame) -> DataFrame:
     """(node, repeated): the nodes with too few tokens of their own, and their counted tokens
-    that other nodes have too, with their frequency."""
+    that other nodes have too, the least frequent first."""
     by = Window.partitionBy("token")
     met = counted.withColumns(
         {"lo": F.min("node").over(by), "hi": F.max("node").over(by), "c": F.count("*").over(by)}
@@ -180,7 +181,8 @@ def _to_index(counted: DataFrame) -> DataFrame:
     again = F.when(F.col("lo") < F.col("hi"), F.struct(F.col("c"), F.col("token")))
     return (
         met.groupBy("node").agg(F.first("slack").alias("slack"), F.collect_set(again).alias("repeated"))
-        .filter("slack < 0 or size(repeated) > slack").select("node", "repeated")
+        .filter("slack < 0 or size(repeated) > slack")
+        .select("node", F.transform(F.array_sort("repeated"), lambda x: x["token"]).alias("repeated"))
     )
 
 
@@ -227,13 +229,13 @@ def _sets(documents: DataFrame, rows: DataFrame, index: DataFrame, scheme: Schem
 def signatures(tokens: np.ndarray, repeated: list, scheme: Scheme, frequent: np.ndarray):
     """The signatures of a set, and how many of its counted tokens no other node has.
 
-    ``tokens`` are sorted; ``repeated`` are pairs (frequency, token) of counted ones.
+    ``tokens`` are sorted; ``repeated`` are counted ones, the least frequent first.
     """
     need = scheme.need(len(tokens))
     counted = np.searchsorted(tokens, scheme.counted)
     low = tokens[:counted]
     often = frequent[(low % np.uint64(CELLS)).astype(np.int64)]
-    single = np.array([t for _, t in sorted(repeated)], np.int64).view(np.uint64)
+    single = np.array(repeated, np.int64).view(np.uint64)
     own = int((~often).sum()) - len(single)
     out = [mix(single[: max(0, need - own)])]
     need -= own + len(single)
@@ -264,8 +266,7 @@ def _postings(sets: DataFrame, scheme: Scheme, shared) -> DataFrame:
             sigs, nodes, owns = [], [], []
             rows = batch.to_pydict()
             for node, raw, repeated in zip(rows["node"], rows["tokens"], rows["repeated"]):
-                pairs = [(r["c"], r["token"]) for r in repeated]
-                found, own = signatures(np.frombuffer(raw, np.uint64), pairs, scheme, frequent)
+                found, own = signatures(np.frombuffer(raw, np.uint64), repeated, scheme, frequent)
                 sigs.append(found.view(np.int64))
                 nodes.append(np.full(len(found), node))
                 owns.append(np.full(len(found), own, np.int32))
@@ -394,17 +395,20 @@ def _links(blocks: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 # ---------------------------------------------------------------- the operator
-def near_duplicates(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(
+    documents: DataFrame, n: int = 5, percent: int = 80, spare: float = 1.5
+) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
     Two rows are linked if the Jaccard similarity of their shingle sets is at least
     ``percent`` hundredths. component_id is the least doc_id reachable by links, itself
     included. A null or empty text, or one without words, has no shingles, is linked with
-    nothing and is its own component. Rows with a null doc_id keep a null component_id unless
+    nothing and is its own component. ``spare`` decides cost only: the more of it, the more
+    tokens are counted and the fewer documents indexed, which pays for short shingles. Rows with a null doc_id keep a null component_id unless
     a linked row has an id. Shingles are compared by 64-bit hashes. Other columns are not read.
     """
     spark = documents.sparkSession
-    scheme = Scheme(n, percent)
+    scheme = Scheme(n, percent, spare)
     scanned = cut(_nodes(documents, scheme))
     rows = scanned.filter("slice is null").select("doc_id", "n_shingles", "node", "th")
     limit = max(FREQUENT_LEAST, rows.count() // FREQUENT_SHARE)

@@ -84,7 +84,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(read(spark, sf_dir, "documents"), n=3, percent=90)
+    return jaccard.near_duplicates(read(spark, sf_dir, "documents"), n=3, percent=90, spare=2.5)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,11 +34,14 @@ def thin_out(held: dict, most: int) -> None:
 
 
 def in_worker(name: str, make: Callable[[], Any]) -> Any:
-    """A value that one Python worker makes once and keeps for its later tasks."""
+    """A value that one Python worker makes once and keeps for its later tasks, until a task
+    asks for one of another name: a worker never holds two."""
     import sys
     import types
 
     box = sys.modules.setdefault("_railyard_worker", types.ModuleType("_railyard_worker"))
-    if not hasattr(box, name):
-        setattr(box, name, make())
-    return getattr(box, name)
+    if getattr(box, "name", None) != name:
+        box.name = box.value = None
+        box.value = make()
+        box.name = name
+    return box.value

@@ -26,7 +26,7 @@ SCALE = 30.0
 SAMPLE, SHARDS, EPOCHS = 16_384, 8, 3
 RETURNS = (DIM - 1, DIM - 2)  # cells of a token that follows itself, or itself and another
 ALPHA, BETA, L1, L2 = 10.0, 1.0, 0.002, 0.02
-HELD = 500_000
+HELD = 200_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 HELD_OUT = 2
 GOOD = 0.7  # least score of a text that is kept

@@ -7,7 +7,10 @@ from decimal import Decimal
 
 import duckdb
 
-STAR = "region nation customer supplier part orders lineitem events".split()
+STAR = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

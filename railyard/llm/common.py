@@ -21,6 +21,16 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def small_batches(rows: DataFrame) -> DataFrame:
+    """``rows``, with the session's default of 10,000 rows in a batch for Python workers, which
+    suits numbers, brought down to 1,000: texts are long, and both sides hold a whole batch.
+    A number that the session sets itself stays."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(name) == "10000":
+        conf.set(name, "1000")
+    return rows
+
+
 def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

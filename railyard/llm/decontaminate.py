@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import text_of
+from railyard.llm.common import small_batches, text_of
 from railyard.plans.checkpoints import cut
 
 WINDOW = 13
@@ -182,7 +182,7 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     spark = documents.sparkSession
     drop = ("n_words", "spans", "items", "longest")
     keep = [c for c in documents.columns if c not in drop]
-    out = documents.select(
+    out = small_batches(documents).select(
         *keep,
         text_of().cast("binary").alias("_text"),
         F.lit(0).cast("bigint").alias("n_words"),

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import text_of
+from railyard.llm.common import small_batches, text_of
 from railyard.llm.components import stars
 from railyard.llm.shingles import Shingler, mix, node_of
 from railyard.plans.checkpoints import cut
@@ -407,7 +407,7 @@ def near_duplicates(
     tokens are counted and the fewer documents indexed, which pays for short shingles. Rows with a null doc_id keep a null component_id unless
     a linked row has an id. Shingles are compared by 64-bit hashes. Other columns are not read.
     """
-    spark = documents.sparkSession
+    spark = small_batches(documents).sparkSession
     scheme = Scheme(n, percent, spare)
     scanned = cut(_nodes(documents, scheme))
     rows = scanned.filter("slice is null").select("doc_id", "n_shingles", "node", "th")

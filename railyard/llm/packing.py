@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import in_worker, text_of, thin_out
+from railyard.llm.common import in_worker, small_batches, text_of, thin_out
 from railyard.plans.checkpoints import cut
 
 END = 1  # the id that closes each document
-HELD = 1_000_000  # entries of a worker's dictionary
+HELD = 500_000  # entries of a worker's dictionary
 PLACES = 1 << 40  # more than the pieces of one length
 
 
@@ -100,7 +100,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int) -> DataFram
     types = [arrow_id, pa.int32(), *[pa.int64()] * 5]
     arrow = pa.schema(list(zip(names, types)))
     kinds = [id_type, "int", *["bigint"] * 5]
-    source = documents.select("doc_id", text_of().cast("binary").alias("text"))
+    source = small_batches(documents).select("doc_id", text_of().cast("binary").alias("text"))
     return source.mapInArrow(make, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 

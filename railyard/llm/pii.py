@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from railyard.llm.common import in_worker
+from railyard.llm.common import in_worker, small_batches
 
 KEY = "spark.railyard.pii.key"
 ROUNDS = 10
@@ -244,7 +244,7 @@ def pseudonymise(documents: DataFrame, key: bytes, column: str = "text") -> Data
     byte. Rows keep their other columns; one named pii is replaced.
     """
     keep = [c for c in documents.columns if c not in (column, "pii")]
-    source = documents.select(*keep, column)
+    source = small_batches(documents).select(*keep, column)
 
     def change(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = in_worker(f"pii {hashlib.blake2b(key).hexdigest()}", lambda: Pseudonyms(key))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from railyard.llm.common import in_worker, text_of, thin_out
+from railyard.llm.common import in_worker, small_batches, text_of, thin_out
 
 DIM = 1 << 18
 SCALE = 30.0
@@ -130,7 +130,7 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], with_text: bool
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in documents.columns if c not in ("score", "text")]
-    source = documents.select(*keep, "text")
+    source = small_batches(documents).select(*keep, "text")
     out = source if with_text else source.drop("text")
 
     def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

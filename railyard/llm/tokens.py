@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from railyard.llm.common import in_worker, text_of, thin_out
+from railyard.llm.common import in_worker, small_batches, text_of, thin_out
 
 MODEL = "piece_bpe_32k.model"
 TABLE, PER_TASK, LONGEST = 65_536, 4_096, 64
@@ -99,7 +99,7 @@ def count_tokens(documents: DataFrame, model_path: str, limit: int = 4096) -> Da
 
     spark = documents.sparkSession
     processor = sentencepiece.SentencePieceProcessor(model_file=model_path)
-    words = frequent_pre_tokens(documents)
+    words = frequent_pre_tokens(small_batches(documents))
     bare = Lengths(processor, {})
     table = spark.sparkContext.broadcast({w: bare[w] for w in words})
     keep = [c for c in documents.columns if c not in ("text", "n_bytes", "n_tokens", "over_limit")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from railyard import messages as msg
 from railyard.functions.ids import number_rows
 from railyard.operators.booking_jobs import create_bookings
-from railyard.operators.claims import distinct_claims, first_come
+from railyard.operators.claims import distinct_claims, first_by_key, first_come
 from railyard.sources.seed import seed_tables
 
 
@@ -51,6 +51,18 @@ def test_long_chain_of_dependent_requests(spark):
     assert {r[0] for r in rows(got)} == replay(requests) == set(range(0, 12, 2))
 
 
+@pytest.mark.parametrize("keys", [1, 2])
+def test_unique_values_in_rounds(spark, keys):
+    """Two values a request, many asked for once, some by chains of requests."""
+    rnd = random.Random(keys)
+    asked = [(r, 0, [f"a{rnd.randint(0, 60)}", f"b{r % 25}"][:keys]) for r in rnd.sample(range(500), 90)]
+    df = spark.createDataFrame(asked, "request_id bigint, grp bigint, items array<string>")
+    claims = df.select("request_id", F.explode("items").alias("item"))
+    got = [r[0] for r in rows(first_by_key(claims, keys))]
+    assert set(got) == replay(asked) and len(got) == len(set(got))
+    assert first_by_key(claims.limit(0), keys).count() == 0
+
+
 def test_numbers_are_dense_and_ordered(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k")).repartition(7)
     got = rows(number_rows(df, "k").orderBy("k"), "k", "_n")

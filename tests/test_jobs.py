@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from railyard import messages as msg
 from railyard.functions import exprs, lookups
-from railyard.operators import booking_jobs, lifecycle_jobs, master_data, payment_jobs
+from railyard.operators import booking_jobs, lifecycle_jobs, master_data, payment_jobs, quality
 from railyard.sources.seed import seed_tables
 
 CANCEL_TRIP = "request_id bigint, schedule_id bigint, reason string, admin_id bigint"
@@ -339,6 +339,40 @@ def test_updates(spark, seed):
     assert set(reasons(out)) == {3}
 
 
+def test_updates_keep_the_rules(spark, seed):
+    users = {r.UserID: r for r in seed["Users"].collect()}
+    mail = {i: u.Email for i, u in users.items()}
+    changes = spark.createDataFrame(
+        [(1, 2, None, None, "1"), (2, 2, "x" * 101, None, "2"), (3, 2, "Takes another's", mail[1], "3"),
+         (4, 3, "New address", "new@x.vn", "4"), (5, 2, "The same one", "new@x.vn", "5"),
+         (6, 3, "Keeps it", "new@x.vn", "6"), (7, 1, "Own address", mail[1], "7"), (8, 99, None, None, None),
+         (9, 2, "Good", None, "9"), (10, 2, None, None, "10")],
+        "request_id bigint, UserID bigint, FullName string, Email string, PhoneNumber string",
+    )
+    out = master_data.update_rows(seed, "Users", changes)
+    late = "an earlier change of the batch has this key"
+    assert {k: v[1] for k, v in reasons(out).items()} == {
+        1: "FullName is missing", 2: "FullName is too long", 3: msg.EMAIL_EXISTS, 5: late,
+        10: "FullName is missing",
+    }
+    assert dict(rows(out["affected"])) == {1: 0, 2: 0, 3: 0, 4: 1, 5: 0, 6: 1, 7: 1, 8: 0, 9: 1, 10: 0}
+    new = {r.UserID: (r.FullName, r.Email, r.PhoneNumber) for r in out["rows"].collect()}
+    assert new[1] == ("Own address", mail[1], "7") and new[2] == ("Good", None, "9")
+    assert new[3] == ("Keeps it", "new@x.vn", "6")
+    assert quality.violations(seed.with_frames(Users=out["rows"]), tables=["Users"]).isEmpty()
+
+
+def test_a_value_held_twice_refuses_once(spark, seed):
+    held = seed["Users"].unionByName(seed["Users"].filter("UserID = 1").withColumn("UserID", F.lit(77).cast("bigint")))
+    user = held.filter("UserID = 1").first()
+    asked = spark.createDataFrame(
+        [(1, "Again", user.Email, "0", "password1")],
+        "request_id bigint, FullName string, Email string, PhoneNumber string, password string",
+    )
+    out = master_data.append_rows(seed.with_frames(Users=held), "Users", asked, AS_OF)
+    assert rows(out["rejects"], "request_id", "reason") == [(1, msg.EMAIL_EXISTS)]
+
+
 def test_soft_deletes(spark, booked):
     def delete(table, commands, now=AS_OF):
         return master_data.soft_delete(booked, table, spark.createDataFrame(commands, DELETE), now)

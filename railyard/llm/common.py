@@ -49,9 +49,12 @@ def in_worker(name: str, make: Callable[[], Any]) -> Any:
     import sys
     import types
 
+    import pyarrow as pa
+
     box = sys.modules.setdefault("_railyard_worker", types.ModuleType("_railyard_worker"))
     if getattr(box, "name", None) != name:
         box.name = box.value = None
+        pa.default_memory_pool().release_unused()
         box.value = make()
         box.name = name
     return box.value

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import small_batches, text_of
+from railyard.llm.common import in_worker, small_batches, text_of
 from railyard.llm.components import stars
 from railyard.llm.shingles import Shingler, mix, node_of
 from railyard.plans.checkpoints import cut
@@ -65,6 +65,11 @@ class Scheme:
         return max(1, (1 << band) * (100 - self.percent) // 300)
 
 
+def _shingler(n: int) -> Shingler:
+    """The worker's own, which takes the place of any other operator's cache."""
+    return in_worker(f"shingler {n}", lambda: Shingler(n))
+
+
 def _seen_before(seen: dict, node: int) -> bool:
     """Whether this task met the node lately; equal texts often stand together."""
     if node in seen:
@@ -83,7 +88,7 @@ def _nodes(documents: DataFrame, scheme: Scheme) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shingler, counts = Shingler(scheme.n), np.zeros(CELLS, np.uint32)
+        shingler, counts = _shingler(scheme.n), np.zeros(CELLS, np.uint32)
         for batch in batches:
             sizes, nodes = [], []
             for s in shingler.sets(batch.column(2).to_pylist()):
@@ -146,7 +151,7 @@ def _counted_tokens(documents: DataFrame, scheme: Scheme, shared) -> DataFrame:
     any case has a row of its own, with a token that no other has."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, shingler, seen = shared.value, Shingler(scheme.n), {}
+        frequent, shingler, seen = shared.value, _shingler(scheme.n), {}
         for batch in batches:
             tokens, nodes, slacks = [], [], []
             for s in shingler.sets(batch.column(0).to_pylist()):
@@ -209,7 +214,7 @@ def _sets(documents: DataFrame, rows: DataFrame, index: DataFrame, scheme: Schem
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(scheme.n), {}
+        shingler, seen = _shingler(scheme.n), {}
         for batch in batches:
             out = []
             for s in shingler.sets(batch.column(0).to_pylist()):

@@ -30,7 +30,7 @@ hit AS (
   SELECT b.*, g.request_id, g.reason, {refund} AS pct
   FROM good g JOIN Bookings b ON g.booking_id = b.BookingID
   JOIN Schedules s ON b.ScheduleID = s.ScheduleID WHERE g.nth = 1)
-""".replace("{refund}", refund("{as_of}"))
+""".replace("{refund}", refund("{as_of}", "s.DepartureTime"))
 CANCEL_SCHED = """
 commands AS (
   SELECT ScheduleID * 2 AS request_id, ScheduleID,

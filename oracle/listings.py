@@ -18,11 +18,11 @@ def ahead(as_of: str) -> str:
     return f"Status = 'Scheduled' AND DepartureTime > TIMESTAMP '{as_of}'"
 
 
-def refund(as_of: str) -> str:
+def refund(as_of: str, departure: str = "DepartureTime") -> str:
     """The share given back: of the policies that are met, the one with the most hours."""
     return f"""coalesce(list_extract(list_transform(list_filter(
     (SELECT list(p ORDER BY p.HoursBeforeDeparture DESC) FROM RefundPolicies p),
-    lambda x: x.HoursBeforeDeparture <= date_diff('hour', TIMESTAMP '{as_of}', DepartureTime)),
+    lambda x: x.HoursBeforeDeparture <= date_diff('hour', TIMESTAMP '{as_of}', {departure})),
     lambda x: x.RefundPercentage), 1), 0)::DECIMAL(5,2)"""
 
 

@@ -293,10 +293,28 @@ def test_extraction(spark):
     assert got[1].text == "Head & léad One bold word two Three x y <end>"
     assert [got[i].text for i in (2, 5, 6, 8)] == ["", "plain & text", "", ""]
     assert got[4].text == "Own 2" and got[9].n_chars == 300_000
+    assert [got[i].text for i in (3, 7)] == ["Own 1", "Own 1"]
     assert all(r.n_chars == len(r.text) for r in got.values()) and len(got) == len(rows)
     assert extract.extract(pages.limit(0)).count() == 0
 
 
+def test_copies_are_no_boilerplate(spark):
+    bare = "<body><div>Shop name</div><p>Own {}</p><p>All rights reserved</p></body>"
+    urls = ["p/1", "p/1", "p/1?page=2", "p/1?utm_source=a", "z/copy"]
+    rows = [(i, f"http://b.org/{u}", bare.format(1)) for i, u in enumerate(urls)]
+    rows += [(10, "http://b.org/p/2", bare.format(2)), (11, "http://c.org/a", bare.format(3)), (12, "http://c.org/b", bare.format(3))]
+    rows += [(20 + i, f"http://hot.org/p?page={i}", bare.format(4)) for i in range(300)]
+    rows += [(400, "http://hot.org/a", bare.format(5)), (401, "http://hot.org/z", bare.format(6))]
+    # a near copy with one line more, and a page of other lines on the other side
+    rows += [(500, "http://d.org/p/1", bare.format(7)), (501, "http://d.org/p/1?more", bare.format("7</p><p>More")),
+             (502, "http://d.org/a", bare.format(8)), (503, None, bare.format(9)), (504, None, bare.format(9))]
+    got = rows_of(extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    want = {i: "Own 1" for i in range(5)} | {10: "Own 2"} | {20 + i: "Own 4" for i in range(300)}
+    want |= {400: "Own 5", 401: "Own 6", 500: "Own 7", 502: "Own 8"}
+    want |= {i: f"Shop name Own {n} All rights reserved" for i, n in ((11, 3), (12, 3), (503, 9), (504, 9))}
+    assert {i: got[i].text for i in want} == want and len(got) == len(rows)
+
+
 def test_articles_are_taken_whole(spark):
     for r in queries.op7_main_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
         inside = r.html[r.html.index("<article>") : r.html.index("</article>")]

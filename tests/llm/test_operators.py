@@ -315,6 +315,21 @@ def test_copies_are_no_boilerplate(spark):
     assert {i: got[i].text for i in want} == want and len(got) == len(rows)
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><p>text <a class="share" href=x>s</a> rest</p><p>more</p></article><p>out</p>', "text rest more"),
+    ('<article><p>a <span class="ad">x <span>y</span> z</span> b</p>c</article>', "a b c"),
+    ('<article>a <sup class="comment">x</sup>b <a class="related" href="x">y</a>c <b>d</b></article>', "a b c d"),
+    ('<article>a <a class="share">x <a href="y">b</a> c</article>', "a b c"),
+    ('<article>a <code class="x">b</code> c <em class="x">d</em> e</article>', "a b c d e"),
+    ('<article>a<svg width="1" role="img"/> b <svg/>c <svg width=1/>d<svg><svg/>x</svg> e</article>', "a b c d e"),
+    ('a <script src="x"/>b <iframe src=\'x\' hidden/>c <textarea />d <canvas hidden/>e', "a b c d e"),
+    ('a <script src=http://x/>var x</script>b <script async src=x/>y</script>c <svg a="/>">x</svg>d', "a b c d"),
+])
+def test_text_after_inline_and_empty_elements(page, want):
+    lines, own = extract.lines_of(page)
+    assert " ".join(t for t, o in zip(lines, own) if o or not any(own)) == want
+
+
 def test_articles_are_taken_whole(spark):
     for r in queries.op7_main_text(spark, SF).join(spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html"), "page_id").collect():
         inside = r.html[r.html.index("<article>") : r.html.index("</article>")]

@@ -141,16 +141,59 @@ def address(text: str, key: bytes) -> str | None:
     return ".".join(map(str, value.to_bytes(4)))
 
 
+# country codes of two digits; 1 and 7 have one, all others three
+TWO = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 "
+    "65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+# most digits after the code, where the numbering plan is a fixed one; others have up to 14
+MOST_DIGITS = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8,
+               "48": 9, "61": 9, "86": 11, "91": 10, "351": 9}
+FURTHER = re.compile(
+    r" (?:\d{1,3}(?:\.\d{1,3}){3}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}([./])\d{1,2}\1\d{4}"
+    r"|\d{3}-\d{2}-\d{4}|\d{4}([ -])\d{4}\2\d{4}\2\d{1,4})(?![\w-])"
+)
+
+
+def _country(digits: str) -> str:
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in TWO else 3]
+
+
+def _number(text: str) -> tuple[str, str]:
+    """Country code and the digits after it, without a (0). Forms without + are of code 1."""
+    digits = re.sub(r"\D", "", text.replace("(0)", ""))
+    code = _country(digits) if text[0] == "+" else "1"
+    return code, digits[len(code) :] if text[0] == "+" else digits
+
+
+def phone_end(text: str, start: int, end: int) -> int:
+    """Where the phone number ends that starts at ``start`` and has its groups up to ``end``:
+    before a further number, date or address, and before a group that its plan has no room for."""
+    if text[start] != "+":
+        return end
+    best = None
+    for m in re.finditer(r"\d+", text[start:end]):
+        at = start + m.end()
+        code, rest = _number(text[start:at])
+        most = MOST_DIGITS.get(code, 14)
+        if len(code) + len(rest) < 8 or text[at : at + 1] == ")":
+            continue
+        if best is None or len(rest) <= most:
+            best = at
+        whole = len(m[0]) >= 6 and len(code) + len(rest) >= 11 and text[at : at + 1] == " "
+        if len(rest) >= most or whole or FURTHER.match(text, at):
+            break
+    return best or end
+
+
 def phone(text: str, key: bytes) -> str | None:
-    """All digits but the country code."""
-    head = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d|", text)[0]
-    rest = text[len(head) :]
-    digits = re.sub(r"\D", "", rest)
-    if not 7 <= len(digits) <= 14:
+    """All digits but the country code. Every notation of a number gets the same digits."""
+    code, digits = _number(text)
+    if len(code) + len(digits) < 8 or len(digits) > 14:
         return None
-    form = re.sub(r"\d", "9", rest)
-    new = str(permute(int(digits), 10 ** len(digits), key, f"phone {head} {form}")).zfill(len(digits))
-    return head + _with_digits(rest, new)
+    new = str(permute(int(digits), 10 ** len(digits), key, f"phone {code}")).zfill(len(digits))
+    put = iter((code if text[0] == "+" else "") + new)
+    return re.sub(r"\(0\)|\d", lambda m: m[0] if m[0] == "(0)" else next(put), text)
 
 
 FIRST, LAST = date(1900, 1, 1), date(2099, 12, 31)
@@ -221,6 +264,8 @@ class Pseudonyms:
             def replace(m: re.Match, name=name, change=change) -> str:
                 group = 1 if name == "secret" and m.re.groups else 0
                 value = m[group]
+                if name == "phone":
+                    value = value[: phone_end(m.string, m.start(), m.end()) - m.start()]
                 if "\x02" in value:
                     return m[0]
                 new = change(value, self.key)

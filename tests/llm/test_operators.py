@@ -77,6 +77,35 @@ def test_pseudonyms_keep_format_validity_and_links():
     assert p.of_text(text) == (new, kinds) and pii.Pseudonyms(b"q" * 32).of_text(text)[0] != new
 
 
+def test_phone_numbers_stay_linked():
+    p = pii.Pseudonyms(b"k" * 32)
+
+    def digits(text):
+        return re.sub(r"\D", "", text)
+
+    alone = p.of_text("+1 (826) 555-4081")[0]
+    for text in ("+1 826 555 4081", "+18265554081", "+1-826-555-4081", "+1 (826) 555-4081"):
+        assert digits(p.of_text(text)[0]) == digits(alone)
+    for text in ("(826) 555-4081", "826-555-4081", "826.555.4081"):
+        assert "1" + digits(p.of_text(text)[0]) == digits(alone)
+    new, kinds = p.of_text("+1 (826) 555-4081 190.137.223.204")
+    assert new.startswith(alone + " ") and kinds == ["phone", "address"] and "190.137.223.204" not in new
+    assert new[len(alone) + 1 :] == p.of_text("190.137.223.204")[0]
+    for end in (" 2024", " 20 24 30", " 12345", "-7", " 1 2"):
+        assert p.of_text("+1 (826) 555-4081" + end)[0] == alone + end
+    german = p.of_text("+491701234567")[0]
+    for text in ("+49 170 1234567", "+49-170-1234567", "+49 (170) 123 4567", "+49 (0)170 1234567"):
+        new = p.of_text(text)[0]
+        assert digits(new.replace("(0)", "")) == digits(german) and new.startswith("+49")
+        assert re.sub(r"\d", "9", new.replace("(0)", "")) == re.sub(r"\d", "9", text.replace("(0)", ""))
+    assert p.of_text("+49 170 1234567 2024")[0] == p.of_text("+49 170 1234567")[0] + " 2024"
+    day = p.of_text("+49 30 123456 2024-02-03")
+    assert day[1] == ["phone", "date"] and day[0].startswith(p.of_text("+49 30 123456")[0])
+    assert p.of_text("+9 71 555 1234")[0].startswith("+9 71 ") and p.of_text("+97 1555 1234")[1] == ["phone"]
+    french = p.of_text("+33 6 12 34 56 78")[0]
+    assert digits(french) == digits(p.of_text("+33612345678")[0]) and digits(french)[2:] != "612345678"
+
+
 def test_clean_text_is_left_alone():
     p = pii.Pseudonyms(b"k" * 32)
     for text in ("order 4111111111111112 is no card", "version 1.2.3, 300.1.2.3", "ratio 12:30 = 5", "2024-13-45",

@@ -146,6 +146,7 @@ class Automaton:
                     while spans and spans[-1][1] >= i - back:
                         back = max(back, i - spans.pop()[0])
                     spans.append([i - back, i])
+        found.discard(None)  # items without an id
         return spans, found, longest
 
 
@@ -162,12 +163,12 @@ def merged(spans: list[list[int]]) -> list[list[int]]:
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, list[bytes]]]]:
     block, size = [], 0
     rows = benchmark.select("item_id", text_of().cast("binary").alias("text"))
-    for row in rows.filter(F.col("item_id").isNotNull()).toLocalIterator():
+    for row in rows.toLocalIterator():
         words = words_of(bytes(row.text))
         if block and size + len(words) > BLOCK_WORDS:
             yield block
             block, size = [], 0
-        block.append((str(row.item_id), words))
+        block.append((None if row.item_id is None else str(row.item_id), words))
         size += len(words)
     yield block
 
@@ -175,8 +176,8 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, list[bytes]]]]:
 def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``documents`` with n_words, spans (hit words as [start, end)), items and longest run.
 
-    A null text has no words; items without words or without an id are not looked for; items
-    with the same id count as one. Without items nothing is hit. Columns of ``documents``
+    A null text has no words; items without words are not looked for; items without an id count
+    for spans and longest but are not named; items with the same id count as one. Without items nothing is hit. Columns of ``documents``
     named like a result are replaced.
     """
     spark = documents.sparkSession

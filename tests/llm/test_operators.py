@@ -481,6 +481,17 @@ def test_decontamination(spark, docs, block, monkeypatch):
         assert got[i].contaminated == (hit > 0 and 20 * hit >= n)
 
 
+@pytest.mark.parametrize("block", [100_000, 10])
+def test_items_without_id_count(spark, block, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", block)
+    items = [(None, " ".join(f"q{i}" for i in range(15))), (None, "only these words"), (7, "named item here"), (None, None)]
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    d = documents(spark, [(1, f"a {items[0][1]} b"), (2, "x only these words y"), (3, "x named item here only these words"), (4, "x")])
+    got = rows_of(decontaminate.with_hits(decontaminate.find_overlaps(d, b)))
+    assert [(got[i].n_hit, got[i].contaminated, got[i]["items"]) for i in (1, 2, 3, 4)] == [
+        (15, True, []), (3, True, []), (6, True, ["7"]), (0, False, [])]
+
+
 def test_spans_are_cut_out(spark):
     item = " ".join(f"q{i}" for i in range(15))
     b = spark.createDataFrame([(1, item)], "item_id bigint, text string")

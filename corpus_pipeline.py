@@ -9,7 +9,7 @@ them is said in the operators.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm import decontaminate, jaccard, packing, pii, quality
@@ -43,15 +43,24 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _back(scored.filter(F.col("score") >= quality.GOOD), docs)
 
 
+def _row_key() -> Column:
+    """Equal for rows equal in doc_id and text (by 64-bit hash); ordered by doc_id, null last."""
+    n = F.coalesce(F.col("doc_id"), F.lit(0)).cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))
+    parts = [F.lpad(F.hex(x), 16, "0") for x in (n, F.xxhash64("text"))]
+    return F.concat(F.when(F.col("doc_id").isNull(), "1").otherwise("0"), *parts)
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8) the document of the least doc_id.
+    """Of each group of near duplicates (five words, 0.8) the row of the least doc_id, and of
+    the rows with that id one.
 
-    Rows equal in doc_id and text count once. Rows without a doc_id are all kept.
+    Rows equal in doc_id and text count once. Rows without a doc_id come after all others.
     """
-    found = jaccard.near_duplicates(docs, n=5, percent=80)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    first = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return first.select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    keyed = docs.select(_row_key().alias("doc_id"), "text")
+    found = jaccard.near_duplicates(keyed, n=5, percent=80)
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    first = _apart(docs).withColumn("_key", _row_key()).join(kept, "_key", "left_semi")
+    return _back(first.dropDuplicates(["_key"]), docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

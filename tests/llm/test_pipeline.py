@@ -43,6 +43,21 @@ def test_one_document_of_each_group_stays(stages):
     assert texts(stages["near_duplicates"]) == {i: before[i] for i in wanted}
 
 
+def test_repeated_and_missing_ids(spark):
+    base = " ".join(f"a{i}" for i in range(60))
+    other = " ".join(f"b{i}" for i in range(60))
+    third = " ".join(f"c{i}" for i in range(60))
+    rows = [(-5, base), (7, base + " end"), (7, other), (9, other + " end"), (7, other), (None, third), (None, third),
+            (None, third + " end"), (None, other), (None, None), (8, ""), (8, None), (None, "lone words without an id")]
+    got = corpus_pipeline.one_of_each(spark, documents(spark, rows), SF)
+    out = [(r.doc_id, r.text) for r in got.collect()]
+    thirds = [t for i, t in out if t in (third, third + " end")]
+    assert len(thirds) == 1 and got.columns == list(corpus_pipeline.COLUMNS)
+    rest = [x for x in out if x[1] not in thirds]
+    want = [(-5, base), (7, other), (8, ""), (8, None), (None, None), (None, "lone words without an id")]
+    assert sorted(rest, key=str) == sorted(want, key=str)
+
+
 def test_contaminated_documents_go(spark, stages):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     before, after = texts(stages["near_duplicates"]), texts(stages["decontamination"])

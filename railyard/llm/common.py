@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,6 +32,11 @@ def small_batches(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def and_fields(schema: StructType, ddl: str) -> StructType:
+    """``schema`` with further fields after its own."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def ascii_lower(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 

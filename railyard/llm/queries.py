@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm import (
+    alignment,
     decontaminate,
     extract,
     jaccard,
+    lexical,
     packing,
     pii,
     quality,
@@ -18,6 +20,7 @@ from railyard.llm import (
     syncmers,
     tokens,
     url_filter,
+    vectors,
 )
 from railyard.llm.common import read
 
@@ -27,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 BAD_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 SHARD_BYTES = 64 << 20
 WORD_MODEL = "word_bpe_49k.json"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -101,6 +105,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(documents, read(spark, sf_dir, "benchmark"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align(documents, tokenizer_path(BYTE_MODEL), tokenizer_path(tokens.MODEL))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_url_filter": op2_url_filter,
@@ -112,6 +130,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_decontamination": op10_decontamination,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL = {
@@ -166,4 +187,33 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, prefix AS shard, CAST(d AS INTEGER) AS depth,
                CAST(total AS BIGINT) AS shard_bytes
         FROM leaf WHERE place = 1""",
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS term
+            FROM documents),
+        asked AS (
+            SELECT item_id, term, count(*) AS q
+            FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS term
+                  FROM benchmark)
+            GROUP BY ALL),
+        sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS n_words FROM sizes),
+        postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM postings, total GROUP BY term),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf)
+                       // (1000 * tf + 12 * (75 + (25 * n * docs) // n_words)))) AS BIGINT) AS score
+            FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), total
+            GROUP BY ALL HAVING score > 0),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score
+            FROM scored)
+        SELECT * FROM ranked WHERE rank <= 20""",
 }

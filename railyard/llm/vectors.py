@@ -294,7 +294,10 @@ def nearest(rows: DataFrame, queries: Column, key: str = "vec_id", vector: str =
         return spark.createDataFrame([], out)
     good = good.filter(F.size("v") == length.n)
     size = max(64, min(SAMPLE, SAMPLE_BYTES // (8 * length.n)))
-    drawn = good.orderBy(F.xxhash64("v"), "id").limit(size).select("v").collect()
+    # least hashes; the share that is passed over first keeps what tasks send to the driver bounded
+    place = F.shiftrightunsigned(F.xxhash64("id", "v"), 32)
+    share = min(1.0, 2 * size / length["count"])
+    drawn = good.filter(place <= int(share * 2**32)).orderBy(place, "id").limit(size).select("v").collect()
     shared = spark.sparkContext.broadcast(Coder(np.array([r.v for r in drawn], np.float64), k))
     asking = marked.filter("_asks")
     own = usable(asking, key, vector).filter((F.size("v") == length.n) & F.col("id").isNotNull())

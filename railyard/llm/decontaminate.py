@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.common import small_batches, text_of
+from railyard.llm.common import lean, small_batches, text_of
 from railyard.plans.checkpoints import cut
 
 WINDOW = 13
@@ -173,19 +173,22 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, list[bytes]]]]:
     yield block
 
 
-def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def find_overlaps(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, cut_out: bool = False
+) -> DataFrame:
     """``documents`` with n_words, spans (hit words as [start, end)), items and longest run.
 
     A null text has no words; items without words are not looked for; items without an id count
-    for spans and longest but are not named; items with the same id count as one. Without items nothing is hit. Columns of ``documents``
-    named like a result are replaced.
+    for spans and longest but are not named; items with the same id count as one. Without items
+    nothing is hit. With ``cut_out`` the texts come back without their hit words, each span from
+    its first to its last word. Columns of ``documents`` named like a result are replaced.
     """
     spark = documents.sparkSession
-    drop = ("n_words", "spans", "items", "longest")
+    drop = ("text", "n_words", "spans", "items", "longest")
     keep = [c for c in documents.columns if c not in drop]
     out = small_batches(documents).select(
         *keep,
-        text_of().cast("binary").alias("_text"),
+        "text",
         F.lit(0).cast("bigint").alias("n_words"),
         F.expr("cast(array() as array<array<int>>)").alias("spans"),
         F.expr("cast(array() as array<string>)").alias("items"),
@@ -193,23 +196,28 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     )
     spans_type = pa.list_(pa.list_(pa.int32()))
 
-    def scan_with(shared):
+    def scan_with(shared, remove: bool):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = shared.value
             for batch in batches:
-                text, _, spans, items, longest = (c.to_pylist() for c in batch.columns[-5:])
+                raw = batch.column(len(keep)).cast(pa.binary()).to_pylist()
+                _, spans, items, longest = (c.to_pylist() for c in batch.columns[-4:])
                 count = []
-                for i, t in enumerate(text):
-                    words = words_of(t)
+                for i, t in enumerate(raw):
+                    words = words_of(t or b"")
                     count.append(len(words))
                     s, found, size = automaton.scan(words)
                     if s:
                         spans[i] = merged(spans[i] + s) if spans[i] else s
                         items[i] = sorted(found.union(items[i]))
                     longest[i] = max(longest[i], size)
+                    if remove and spans[i]:
+                        raw[i] = without_spans(t, spans[i])
+                text = pa.array(raw, pa.binary()).cast(pa.string()) if remove else batch.column(len(keep))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *batch.columns[:-4],
+                        *batch.columns[:-5],
+                        text,
                         pa.array(count, pa.int64()),
                         pa.array(spans, spans_type),
                         pa.array(items, pa.list_(pa.string())),
@@ -218,13 +226,24 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                     batch.schema.names,
                 )
 
-        return scan
+        return lean(scan)
 
-    for i, block in enumerate(_blocks(benchmark)):
+    blocks = list_ahead(_blocks(benchmark))
+    for i, (block, last) in enumerate(blocks):
         source = cut(out) if i else out
         shared = spark.sparkContext.broadcast(Automaton(block, window))
-        out = source.mapInArrow(scan_with(shared), source.schema)
-    return out.drop("_text")
+        out = source.mapInArrow(scan_with(shared, cut_out and last), source.schema)
+    return out
+
+
+def list_ahead(items: Iterator) -> Iterator[tuple]:
+    """Each item with whether it is the last; one is read ahead."""
+    items = iter(items)
+    held = next(items)
+    for item in items:
+        yield held, False
+        held = item
+    yield held, True
 
 
 def with_hits(overlaps: DataFrame, share: int = 20) -> DataFrame:
@@ -237,25 +256,11 @@ def with_hits(overlaps: DataFrame, share: int = 20) -> DataFrame:
     )
 
 
-def without_spans(overlaps: DataFrame) -> DataFrame:
-    """The texts with their hit words cut out, from the first to the last word of each span."""
-
-    @F.pandas_udf("string")
-    def remove(text, spans):
-        def one(t, s):
-            if t is None or not len(s):
-                return t
-            raw = t.encode()
-            at = [m.span() for m in re.finditer(rb"\S+", raw.translate(LETTERS))]
-            parts, last = [], 0
-            for a, b in s:
-                parts.append(raw[last : at[a][0]])
-                last = at[b - 1][1]
-            return b"".join([*parts, raw[last:]]).decode()
-
-        return text.combine(spans, one)
-
-    touched = F.size("spans") > 0
-    return overlaps.withColumn(
-        "text", F.when(touched, remove(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    )
+def without_spans(raw: bytes, spans: list[list[int]]) -> bytes:
+    """A text without the words of its spans, each cut from its first to its last word."""
+    at = [m.span() for m in re.finditer(rb"\S+", raw.translate(LETTERS))]
+    parts, last = [], 0
+    for a, b in spans:
+        parts.append(raw[last : at[a][0]])
+        last = at[b - 1][1]
+    return b"".join([*parts, raw[last:]])

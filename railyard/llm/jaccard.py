@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import in_worker, small_batches, text_of
+from railyard.llm.common import in_worker, lean, small_batches, text_of
 from railyard.llm.components import stars
 from railyard.llm.shingles import Shingler, mix, node_of
 from railyard.plans.checkpoints import cut
@@ -114,7 +114,7 @@ def _nodes(documents: DataFrame, scheme: Scheme) -> DataFrame:
     kind = documents.schema["doc_id"].dataType.simpleString()
     id_type = {"int": pa.int32(), "string": pa.string()}.get(kind, pa.int64())
     schema = f"doc_id {kind}, n_shingles bigint, node bigint, th bigint, task int, slice int, counts binary"
-    return documents.select("doc_id", F.xxhash64(text_of()).alias("th"), text_of().cast("binary").alias("text")).mapInArrow(scan, schema)
+    return documents.select("doc_id", F.xxhash64(text_of()).alias("th"), text_of().cast("binary").alias("text")).mapInArrow(lean(scan), schema)
 
 
 def _frequent(sketches: DataFrame, limit: int) -> np.ndarray:
@@ -226,7 +226,7 @@ def _sets(documents: DataFrame, rows: DataFrame, index: DataFrame, scheme: Schem
                 ["node", "size", "tokens"],
             )
 
-    sets = found.mapInArrow(scan, "node bigint, size int, tokens binary")
+    sets = found.mapInArrow(lean(scan), "node bigint, size int, tokens binary")
     return sets.join(index, "node").dropDuplicates(["node"])
 
 
@@ -280,7 +280,7 @@ def _postings(sets: DataFrame, scheme: Scheme, shared) -> DataFrame:
                     [pa.array(np.concatenate(x)) for x in (sigs, nodes, owns)], ["sig", "node", "own"]
                 )
 
-    return sets.select("node", "tokens", "repeated").mapInArrow(scan, "sig bigint, node bigint, own int")
+    return sets.select("node", "tokens", "repeated").mapInArrow(lean(scan), "sig bigint, node bigint, own int")
 
 
 def _members(postings: DataFrame) -> DataFrame:
@@ -314,7 +314,7 @@ def _blocks(members: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
                 [*batch.columns[:2], pa.array(steps, pa.int32())], ["leader", "node", "step"]
             )
 
-    placed = cut(large.select("leader", "node", "tokens", "head").mapInArrow(measure, "leader bigint, node bigint, step int"))
+    placed = cut(large.select("leader", "node", "tokens", "head").mapInArrow(lean(measure), "leader bigint, node bigint, step int"))
     parts = placed.groupBy("leader", "step").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     own = placed.join(parts, ["leader", "step"]).withColumn(
         "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -396,7 +396,7 @@ def _links(blocks: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
                 found = []
         yield batch_of(found + links(group))
 
-    return dealt.mapInArrow(verify, "a bigint, b bigint")
+    return dealt.mapInArrow(lean(verify), "a bigint, b bigint")
 
 
 # ---------------------------------------------------------------- the operator

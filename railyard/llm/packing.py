@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import in_worker, small_batches, text_of, thin_out
+from railyard.llm.common import in_worker, lean, small_batches, text_of, thin_out
 from railyard.plans.checkpoints import cut
 
 END = 1  # the id that closes each document
-HELD = 500_000  # entries of a worker's dictionary
+HELD, LONGEST = 500_000, 64  # entries of a worker's dictionary, and the bytes of their keys
 PLACES = 1 << 40  # more than the pieces of one length
 
 
@@ -54,8 +54,9 @@ class Words(dict):
             ids = np.array([t.id for t in self.tokenize(word.decode())], "<u4").tobytes()
         else:
             ids = self.encode(word.decode())
-        thin_out(self, HELD)
-        self[word] = ids
+        if len(word) <= LONGEST:
+            thin_out(self, HELD)
+            self[word] = ids
         return ids
 
     def of_text(self, text: bytes) -> bytes:
@@ -101,7 +102,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, capacity: int) -> DataFram
     arrow = pa.schema(list(zip(names, types)))
     kinds = [id_type, "int", *["bigint"] * 5]
     source = small_batches(documents).select("doc_id", text_of().cast("binary").alias("text"))
-    return source.mapInArrow(make, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return source.mapInArrow(lean(make), ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
 # ---------------------------------------------------------------- the linear program

@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from railyard.llm.common import in_worker, small_batches
+from railyard.llm.common import LOWER, UPPER, in_worker, lean, small_batches
 
 KEY = "spark.railyard.pii.key"
 ROUNDS = 10
+TO_LOWER = str.maketrans(UPPER, LOWER)
 
 
 def session_key(spark: SparkSession) -> bytes:
@@ -64,8 +65,8 @@ def permute_where(value: int, size: int, key: bytes, use: str, fits: Callable[[i
 def permute_characters(text: str, key: bytes, use: str) -> str:
     """Letters and digits permuted within their classes; other characters stay. The value is
     read in lower case and gets its case back, so its spellings stay linked."""
-    low = text.lower()
-    kinds = ["0123456789abcdef"] if re.fullmatch("[0-9a-f]+", low) and not low.isdigit() else [
+    low = text.translate(TO_LOWER)  # letters beyond ASCII stay, so places stay
+    kinds = ["0123456789abcdef"] if re.fullmatch("[0-9a-f]+", low) and not re.fullmatch("[0-9]+", low) else [
         "0123456789", "abcdefghijklmnopqrstuvwxyz"
     ]
     at = [(i, k) for i, c in enumerate(low) for k in kinds if c in k]
@@ -78,7 +79,7 @@ def permute_characters(text: str, key: bytes, use: str) -> str:
     out, number = list(text), permute(number, size, key, f"{use}|{form}|{len(kinds)}")
     for i, k in reversed(at):
         number, r = divmod(number, len(k))
-        out[i] = k[r].upper() if text[i].isupper() else k[r]
+        out[i] = k[r] if text[i] == low[i] else k[r].upper()
     return "".join(out)
 
 
@@ -99,7 +100,7 @@ def _luhn(digits: str) -> int:
 
 
 def card(text: str, key: bytes) -> str | None:
-    digits = re.sub(r"\D", "", text)
+    digits = re.sub(r"[^0-9]", "", text)
     if not 13 <= len(digits) <= 19 or len(set(digits)) == 1 or _luhn(digits[:-1]) != int(digits[-1]):
         return None
     n = len(digits) - 1
@@ -113,13 +114,13 @@ def _iban_check(country: str, body: str) -> int:
 
 
 def iban(text: str, key: bytes) -> str | None:
-    packed = text.replace(" ", "").upper()
+    packed = re.sub(r"\s", "", text)
     country, check, body = packed[:2], packed[2:4], packed[4:]
     if not 11 <= len(body) <= 30 or _iban_check(country, body) != int(check):
         return None
     body = permute_characters(body, key, f"iban {country}")
     out = iter(f"{country}{_iban_check(country, body):02d}{body}")
-    return "".join(c if c == " " else next(out) for c in text)
+    return "".join(c if c.isspace() else next(out) for c in text)
 
 
 def social_number(text: str, key: bytes) -> str | None:
@@ -150,8 +151,8 @@ TWO = frozenset(
 MOST_DIGITS = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "44": 10, "45": 8, "47": 8,
                "48": 9, "61": 9, "86": 11, "91": 10, "351": 9}
 FURTHER = re.compile(
-    r" (?:\d{1,3}(?:\.\d{1,3}){3}|\d{4}-\d{1,2}-\d{1,2}|\d{1,2}([./])\d{1,2}\1\d{4}"
-    r"|\d{3}-\d{2}-\d{4}|\d{4}([ -])\d{4}\2\d{4}\2\d{1,4})(?![\w-])"
+    r" (?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}"
+    r"|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,4})(?![\w-])"
 )
 
 
@@ -161,7 +162,7 @@ def _country(digits: str) -> str:
 
 def _number(text: str) -> tuple[str, str]:
     """Country code and the digits after it, without a (0). Forms without + are of code 1."""
-    digits = re.sub(r"\D", "", text.replace("(0)", ""))
+    digits = re.sub(r"[^0-9]", "", text.replace("(0)", ""))
     code = _country(digits) if text[0] == "+" else "1"
     return code, digits[len(code) :] if text[0] == "+" else digits
 
@@ -172,7 +173,7 @@ def phone_end(text: str, start: int, end: int) -> int:
     if text[start] != "+":
         return end
     best = None
-    for m in re.finditer(r"\d+", text[start:end]):
+    for m in re.finditer(r"[0-9]+", text[start:end]):
         at = start + m.end()
         code, rest = _number(text[start:at])
         most = MOST_DIGITS.get(code, 14)
@@ -193,7 +194,7 @@ def phone(text: str, key: bytes) -> str | None:
         return None
     new = str(permute(int(digits), 10 ** len(digits), key, f"phone {code}")).zfill(len(digits))
     put = iter((code if text[0] == "+" else "") + new)
-    return re.sub(r"\(0\)|\d", lambda m: m[0] if m[0] == "(0)" else next(put), text)
+    return re.sub(r"\(0\)|[0-9]", lambda m: m[0] if m[0] == "(0)" else next(put), text)
 
 
 FIRST, LAST = date(1900, 1, 1), date(2099, 12, 31)
@@ -201,7 +202,7 @@ FIRST, LAST = date(1900, 1, 1), date(2099, 12, 31)
 
 def calendar_date(text: str, key: bytes) -> str | None:
     """Dates of 1900 to 2099 as y-m-d, d.m.y or d/m/y (m/d/y where only that is a date)."""
-    a, sep, b, _, c = re.fullmatch(r"(\d+)([-/.])(\d+)([-/.])(\d+)", text).groups()
+    a, sep, b, _, c = re.fullmatch(r"([0-9]+)([-/.])([0-9]+)([-/.])([0-9]+)", text).groups()
     orders = ["ymd"] if len(a) == 4 else ["dmy", "mdy"]
     for order in orders:
         part = dict(zip(order, (a, b, c)))
@@ -226,7 +227,10 @@ def mail(text: str, key: bytes) -> str:
     return f"{permute_characters(name, key, 'mail')}@{hidden}.{top}"
 
 
-def secret(text: str, key: bytes) -> str:
+def secret(text: str, key: bytes) -> str | None:
+    """A plain word, of one case but for its first letter and maybe with a full stop, is none."""
+    if re.fullmatch(r"[^\W\d_]?(?:[^\W\d_A-Z]*|[^\W\d_a-z]*)[.-]?", text):
+        return None
     return permute_characters(text, key, "secret")
 
 
@@ -236,17 +240,17 @@ FORMATS = (
     ("secret", r"(?i:\b(?:token|secret|passw(?:or)?d|pwd|api[ _-]?key|access[ _-]?key|auth|bearer)\b"
                r"\s*[:=]\s*[\"']?)([\w+/=.-]{8,})", secret),
     ("secret", r"\b(?:AKIA[0-9A-Z]{16}|gh[opsur]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}|[0-9a-f]{40}|[0-9A-F]{40})\b", secret),
-    ("iban", r"\b[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b", iban),
-    ("phone", r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)", phone),
-    ("phone", r"(?<![\w+])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)", phone),
-    ("phone", r"(?<![\w.+-])\d{3}([-.])\d{3}\1\d{4}(?![\w-])", phone),
-    ("address", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", address),
-    ("date", r"(?<![\w./-])(?:\d{4}-\d{1,2}-\d{1,2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\w/-])", calendar_date),
-    ("social", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", social_number),
-    ("number", r"(?<![\w.,-])\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?(?![\w-])", card),
-    ("number", r"(?<![\d.,])\d{13,19}(?!\d)", card),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:[ \xa0\u202f]?[0-9A-Z]{4}){2,7}(?:[ \xa0\u202f]?[0-9A-Z]{1,3})?\b", iban),
+    ("phone", r"(?<![\w+])\+[0-9]{1,3}[ \xa0\u202f.-]?(?:\([0-9]{1,4}\)[ \xa0\u202f.-]?)?[0-9]{1,4}(?:[ \xa0\u202f.-]?[0-9]{2,4}){1,4}(?![0-9])", phone),
+    ("phone", r"(?<![\w+])\([0-9]{3}\)[ \xa0\u202f]?[0-9]{3}[-.\xa0\u202f ][0-9]{4}(?![0-9])", phone),
+    ("phone", r"(?<![\w.+-])[0-9]{3}([-.])[0-9]{3}\1[0-9]{4}(?![\w-])", phone),
+    ("address", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])", address),
+    ("date", r"(?<![\w./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![\w/-])", calendar_date),
+    ("social", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", social_number),
+    ("number", r"(?<![\w.,-])[0-9]{4}(?:[ \xa0\u202f-][0-9]{4}){2,3}(?:[ \xa0\u202f-][0-9]{1,3})?(?![\w-])", card),
+    ("number", r"(?<![0-9.,])[0-9]{13,19}(?![0-9])", card),
 )
-HINT = re.compile(r"[\d@]|[:=]")
+HINT = re.compile(r"[0-9@:=]")
 
 
 class Pseudonyms:
@@ -259,6 +263,9 @@ class Pseudonyms:
         if not HINT.search(text):
             return text, []
         kinds, done = [], []  # done: what is replaced already, and by what
+        # two characters that the text has not got mark what is replaced
+        free = (c for c in map(chr, (2, 3, *range(0xE000, 0xF900))) if c not in text)
+        left, right = next(free), next(free)
         for name, pattern, change in self.formats:
 
             def replace(m: re.Match, name=name, change=change) -> str:
@@ -266,19 +273,19 @@ class Pseudonyms:
                 value = m[group]
                 if name == "phone":
                     value = value[: phone_end(m.string, m.start(), m.end()) - m.start()]
-                if "\x02" in value:
+                if left in value:
                     return m[0]
                 new = change(value, self.key)
-                if new is None:
+                if new is None or (new == value and not re.search("[0-9A-Za-z]", value)):
                     return m[0]
                 kinds.append(name)
                 done.append(new)
                 at = m.start(group) - m.start()
-                return f"{m[0][:at]}\x02{len(done) - 1}\x03{m[0][at + len(value) :]}"
+                return f"{m[0][:at]}{left}{len(done) - 1}{right}{m[0][at + len(value) :]}"
 
             text = pattern.sub(replace, text)
         if done:
-            text = re.sub("\x02(\\d+)\x03", lambda m: done[int(m[1])], text)
+            text = re.sub(f"{left}([0-9]+){right}", lambda m: done[int(m[1])], text)
         return text, kinds
 
 
@@ -296,10 +303,7 @@ def pseudonymise(documents: DataFrame, key: bytes, column: str = "text") -> Data
         for batch in batches:
             texts, kinds = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                # the two control characters mark what is replaced already
-                plain = text and text.replace("\x02", " ").replace("\x03", " ")
-                new, found = by.of_text(plain) if text else (text, [])
-                new = new if found else text
+                new, found = by.of_text(text) if text else (text, [])
                 texts.append(new)
                 kinds.append(found)
             yield pa.RecordBatch.from_arrays(
@@ -308,5 +312,5 @@ def pseudonymise(documents: DataFrame, key: bytes, column: str = "text") -> Data
             )
 
     schema = StructType([*source.schema.fields, StructField("pii", ArrayType(StringType()))])
-    changed = source.mapInArrow(change, schema)
+    changed = source.mapInArrow(lean(change), schema)
     return changed.select(*documents.drop("pii").columns, "pii")

@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from railyard.llm.common import in_worker, small_batches, text_of, thin_out
+from railyard.llm.common import in_worker, lean, small_batches, trim, text_of, thin_out
 
 DIM = 1 << 18
 SCALE = 30.0
 SAMPLE, SHARDS, EPOCHS = 16_384, 8, 3
 RETURNS = (DIM - 1, DIM - 2)  # cells of a token that follows itself, or itself and another
 ALPHA, BETA, L1, L2 = 10.0, 1.0, 0.002, 0.02
-HELD = 200_000
+HELD, LONGEST = 200_000, 64  # entries of a worker's dictionary, and their characters
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 HELD_OUT = 2
 GOOD = 0.7  # least score of a text that is kept
@@ -43,8 +43,10 @@ class Cells(dict):
     def __missing__(self, token: str) -> int:
         import zlib
 
-        thin_out(self, HELD)
-        self[token] = cell = zlib.crc32(token.encode())
+        cell = zlib.crc32(token.encode())
+        if len(token) <= LONGEST:
+            thin_out(self, HELD)
+            self[token] = cell
         return cell
 
 
@@ -109,8 +111,13 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
         held = Cells()
         frame = frame.sort_values(["at", "text"])
-        w, b = ftrl([(cells_of(t, held), y) for t, y in zip(frame.text, frame.label)], EPOCHS)
-        return pd.DataFrame({"n": [len(frame)], "w": [w.astype("<f4").tobytes()], "b": [b]})
+        n = len(frame)
+        rows = [(cells_of(t, held), y) for t, y in zip(frame.text, frame.label)]
+        del frame, held
+        w, b = ftrl(rows, EPOCHS)
+        del rows
+        trim()
+        return pd.DataFrame({"n": [n], "w": [w.astype("<f4").tobytes()], "b": [b]})
 
     columns = dealt.select("shard", "at", "text", "label")
     models = columns.groupBy("shard").applyInPandas(fit, "n long, w binary, b double").collect()
@@ -149,4 +156,4 @@ def score(documents: DataFrame, model: tuple[np.ndarray, float], with_text: bool
 
     width = len(out.columns)
     schema = StructType([*out.schema.fields, StructField("score", DoubleType())])
-    return source.mapInArrow(dot, schema)
+    return source.mapInArrow(lean(dot), schema)

@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from railyard.llm.common import in_worker, small_batches, text_of, thin_out
+from railyard.llm.common import in_worker, lean, small_batches, text_of, thin_out
 
 MODEL = "piece_bpe_32k.model"
 TABLE, PER_TASK, LONGEST = 65_536, 4_096, 64
-HELD = 1_000_000  # entries of a worker's dictionary
+HELD, KEPT = 1_000_000, 256  # entries of a worker's dictionary, and the characters of their keys
 BREAK = "\x01"  # stands for a line break inside a pre-token
 
 
@@ -48,8 +48,9 @@ class Lengths(dict):
     def __missing__(self, word: str) -> int:
         # the encoder puts a space before what it gets; before a line break there is none
         n = len(self.encode("\n" + word[1:])) - 1 if word[0] == BREAK else len(self.encode(word))
-        thin_out(self, HELD)
-        self[word] = n
+        if len(word) <= KEPT:
+            thin_out(self, HELD)
+            self[word] = n
         return n
 
 
@@ -129,5 +130,5 @@ def count_tokens(documents: DataFrame, model_path: str, limit: int = 4096) -> Da
                 [*batch.schema.names[:-1], "n_bytes", "n_tokens"],
             )
 
-    counted = source.mapInArrow(count, schema)
+    counted = source.mapInArrow(lean(count), schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -113,6 +114,22 @@ def test_clean_text_is_left_alone():
         assert p.of_text(text) == (text, [])
 
 
+def test_pseudonyms_beyond_ascii():
+    p = pii.Pseudonyms(b"k" * 32)
+    for text, kind in (("write to İstanbul@example.com", "mail"), ("password: İstanbulŞifre99", "secret"),
+                       ("token = ẞẞẞẞẞẞẞẞ9x", "secret"), ("ann\u0301.lee7@example.org", "mail"),
+                       ("4111\u00a01111\u202f1111 1111", "number"), ("+49\u00a0170\u00a01234567", "phone"),
+                       ("DE89\u00a03704\u00a00044\u00a00532\u00a00130\u00a000", "iban")):
+        new, kinds = p.of_text(text)
+        assert kinds == [kind] and new != text and len(new) == len(text)
+        assert [c.isalnum() for c in new] == [c.isalnum() for c in text]
+    for text in ("٤١١١ ١١١١ ١١١١ ١١١١", "+٤٩ ١٧٠ ١٢٣٤٥٦٧", "The secret: patience", "Password: required field",
+                 "auth: disabled", "token = undefined.", "secret: Geduldigkeit"):
+        assert p.of_text(text) == (text, [])
+    marked = "\x02 0\x03 4111111111111111 \x021\x03"
+    assert p.of_text(marked) == (marked.replace("4111111111111111", p.of_text("4111111111111111")[0]), ["number"])
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 1000, 73049, 26**5, 16**40])
 def test_permutation_is_one_to_one(size):
     some = range(min(size, 3000))
@@ -496,8 +513,33 @@ def test_spans_are_cut_out(spark):
     item = " ".join(f"q{i}" for i in range(15))
     b = spark.createDataFrame([(1, item)], "item_id bigint, text string")
     d = documents(spark, [*ODD, (30, f"Before, ({item.upper()})! after")])
-    found = decontaminate.find_overlaps(d, b)
-    cut = rows_of(decontaminate.without_spans(found).filter("doc_id in (1, 4, 30)"))
+    found = decontaminate.find_overlaps(d, b, cut_out=True)
+    cut = rows_of(found.filter("doc_id in (1, 4, 30)"))
     assert cut[30].text == "Before, ()! after" and cut[1].text is None and cut[4].text == LONG
     assert decontaminate.find_overlaps(d, b.limit(0)).filter("size(spans) > 0").count() == 0
     assert decontaminate.find_overlaps(d.limit(0), b).count() == 0
+
+
+# ---------------------------------------------------------------- op7, further
+@pytest.mark.parametrize("part", ["<svg ", "<iframe x=1 ", '<p a="', "<div></b></i>", "<a<", "<!-- <p ", "<script>",
+                                  "<p a='\"", "<div class='x'>", "</b>"])
+def test_tag_soup_takes_linear_time(part):
+    def seconds(size):
+        page = part * (size // len(part)) + "\"'>"
+        start = time.process_time()
+        extract.lines_of(page)
+        return time.process_time() - start
+
+    assert seconds(1_000_000) < 6  # four times the size took 16 times as long before
+
+
+def test_classes_of_containers():
+    def text(page):
+        return extract.lines_of(page)[0]
+
+    page = '<article>{}<p>own</p></article>'
+    assert text('<article class="comment"><p>reader</p></article><article><p>own</p></article>') == ["own"]
+    assert text('<article class="teaser related"><p>other</p></article><article><p>own</p></article>') == ["own"]
+    assert text(page.format('<div class="entry-header"><h1>Title</h1></div>')) == ["Title", "own"]
+    assert text(page.format('<p class="search-term">found</p><p class="ad-free">kept</p>')) == ["found", "kept", "own"]
+    assert text(page.format('<div class="ad-box">buy</div><div class="site-footer">end</div>')) == ["own"]

@@ -65,10 +65,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; from the others the words that a test item has are cut."""
-    overlaps = decontaminate.find_overlaps(_apart(docs), read(spark, sf_dir, "benchmark"))
+    benchmark = read(spark, sf_dir, "benchmark")
+    overlaps = decontaminate.find_overlaps(_apart(docs), benchmark, cut_out=True)
     clean = decontaminate.with_hits(overlaps).filter(~F.col("contaminated"))
-    cut_out = decontaminate.without_spans(clean)
-    return _back(cut_out.withColumns(_recount(F.size("spans") > 0)), docs)
+    return _back(clean.withColumns(_recount(F.size("spans") > 0)), docs)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

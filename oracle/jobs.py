@@ -561,6 +561,22 @@ FROM (SELECT request_id, coalesce(code, 50003) AS code FROM judged
     out["s01_payment_notices"] = out["m11_payment_notices"]
     out["s02_departure_reminders"] = out["m05_departure_reminders"]
     out["m11_payment_notices_per_row"] = out["m11_payment_notices"]
+    told_at = _notice("Reminder", "'Nhắc nhở chuyến đi'", "text", "2000-01-01 00:00:00", "leaves - to_hours(2)")
+    add(
+        "s02_reminders_when_due",
+        f"""SELECT UserID, BookingID, {told_at.replace("TIMESTAMP '2000-01-01 00:00:00'", "told")}
+FROM (SELECT UserID, BookingID, text, leaves, CASE
+    WHEN arrives >= opens AND arrives < opens + to_hours(23) THEN arrives
+    WHEN arrives < opens AND opens <= clock THEN opens END AS told
+  FROM (SELECT b.UserID, b.BookingID, b.BookingDate AS arrives, s.DepartureTime AS leaves, {text} AS text,
+      date_trunc('hour', s.DepartureTime) - to_hours(24) AS opens,
+      (SELECT max(BookingDate) - INTERVAL 90 SECOND FROM Bookings) AS clock
+    FROM Bookings b JOIN Schedules s ON b.ScheduleID = s.ScheduleID JOIN Trains t ON s.TrainID = t.TrainID
+    WHERE b.BookingStatus = 'Active' AND b.PaymentStatus = 'Paid' AND NOT EXISTS (SELECT 1
+      FROM Notifications n WHERE n.BookingID = b.BookingID AND n.NotificationType = 'Reminder')))
+WHERE told IS NOT NULL""",
+        as_of=at,
+    )
     add(
         "s03_first_claims",
         """SELECT ScheduleID, SeatID, ClaimedAt, BookingID FROM (SELECT *, row_number() OVER (

@@ -313,6 +313,10 @@ def stream_queries() -> dict[str, Query]:
         arriving = stream_table(spark, sf_dir, "Bookings")
         return S.reminder_stream(t, arriving, out, progress, REMIND_AS_OF)
 
+    def replay(t, spark, sf_dir, out, progress):
+        arriving = stream_table(spark, sf_dir, "Bookings")
+        return S.reminder_stream(t, arriving, out, progress, JOB_AS_OF, "BookingDate", "90 seconds")
+
     def book(t, spark, sf_dir, out, progress):
         arriving = K.booking_requests(spark, sf_dir, stream_star)
         return S.booking_request_stream(t, arriving, out, progress, EARLY)
@@ -322,27 +326,27 @@ def stream_queries() -> dict[str, Query]:
             out = scratch_dir(spark, "stream")
             arriving = K.seat_claims(spark, sf_dir, stream_star)
             t = star_tables(spark, sf_dir, EARLY)
-            for started in S.first_claim_stream(t, arriving, f"{out}/result", f"{out}/progress"):
+            for started in S.first_claim_stream(
+                t, arriving, f"{out}/result", f"{out}/progress", arrived="ClaimedAt"
+            ):
                 started.awaitTermination()
             return read(spark, f"{out}/result")
 
         return query
 
-    def refused_claims(spark: SparkSession, out: str) -> DataFrame:
-        return S.read_results(spark, out, "claim_rejects", "BookingID bigint, code int, reason string")
-
     def notice_schema(t: Tables):
         return t["Notifications"].select(*NOTICE_COLUMNS).schema
 
     return {
         "s01_payment_notices": run(pay, "notifications", notice_schema),
         "s02_departure_reminders": run(remind, "notifications", notice_schema),
+        "s02_reminders_when_due": run(replay, "notifications", notice_schema),
         "s03_bookings": run(book, "bookings", lambda t: t["Bookings"].schema),
         "s03_rejects": run(
             book, "rejects", lambda t: "request_id bigint, code int, reason string"
         ),
         "s03_first_claims": claims(S.read_first_claims),
-        "s03_claim_rejects": claims(refused_claims),
+        "s03_claim_rejects": claims(S.read_claim_rejects),
     }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import messages as msg
@@ -36,15 +36,19 @@ def departure_reminders(t: Tables, as_of) -> DataFrame:
         .join(t.hint(soon, "Schedules"), "ScheduleID")
         .join(reminded, "BookingID", "left_anti")
     )
+    return reminder_notices(due, F.col("TrainCode"), F.col("DepartureTime"), instant(as_of))
+
+
+def reminder_notices(due: DataFrame, train: Column, leaves: Column, told: Column) -> DataFrame:
+    """The notifications for rows with UserID and BookingID, sent at ``told``."""
     before, between, after = (F.lit(x) for x in msg.REMINDER_TEXT)
-    leaves = F.date_format("DepartureTime", "HH:mm dd/MM/yyyy")
     return notices(
         due,
         "Reminder",
         F.lit(msg.REMINDER_TITLE),
-        F.concat(before, "TrainCode", between, leaves, after),
-        as_of,
-        scheduled_for=F.col("DepartureTime") - F.make_dt_interval(F.lit(0), F.lit(2)),
+        F.concat(before, train, between, F.date_format(leaves, "HH:mm dd/MM/yyyy"), after),
+        told,
+        scheduled_for=leaves - F.make_dt_interval(F.lit(0), F.lit(2)),
     )
 
 

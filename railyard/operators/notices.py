@@ -32,7 +32,7 @@ def notices(
         title.alias("Title"),
         message.alias("Message"),
         F.lit(False).alias("IsRead"),
-        instant(as_of).alias("SentAt"),
+        (as_of if isinstance(as_of, Column) else instant(as_of)).alias("SentAt"),
         later.cast("timestamp_ntz").alias("ScheduledFor"),
     )
 

@@ -1,7 +1,8 @@
 """Streaming forms of the event-driven jobs.
 
-S01 and S02 apply the batch job to each micro-batch, and S03 the booking rule, so a stream
-gives what the batch job gives on the same rows. Results of a micro-batch go to their own
+S01 applies the batch job to each micro-batch, and S03 the booking rule, so a stream gives
+what the batch job gives on the same rows. Reminders (S02) and seat claims (S03) live in keyed
+state with event-time timers. Results of a micro-batch go to their own
 folder, which a retry of that batch overwrites: each is stored exactly once.
 """
 
@@ -9,19 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import messages as msg
+from ..functions.exprs import instant
 from ..functions.lookups import taken_seats
 from ..operators.booking_jobs import create_bookings, first_new_ids
-from ..operators.lifecycle_jobs import departure_reminders
+from ..operators.lifecycle_jobs import reminder_notices
 from ..operators.notices import first_failure
 from ..operators.payment_jobs import payment_notices
 from ..plans.checkpoints import cut
 from ..plans.tables import Tables
+from . import timed
 
 
 def _batch_path(out_dir: str, name: str, batch_id: int) -> str:
@@ -49,9 +52,12 @@ def _earlier(spark, out_dir: str, name: str, batch_id: int, like: DataFrame) ->
     )
 
 
-def _start(stream: DataFrame, work: Callable, checkpoint: str) -> StreamingQuery:
+def _start(
+    stream: DataFrame, work: Callable, checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
     return (
-        stream.writeStream.foreachBatch(work)
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(work)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -74,17 +80,55 @@ def payment_notice_stream(
 
 
 def reminder_stream(
-    t: Tables, bookings: DataFrame, out_dir: str, checkpoint: str, as_of
+    t: Tables,
+    bookings: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    as_of,
+    arrived: str | None = None,
+    lateness: str = "1 hour",
 ) -> StreamingQuery:
-    """Sends departure reminders for arriving bookings, once per booking (S02): a booking
-    that comes again, or has a reminder in the tables, is left out. The state store holds
-    the bookings that were told, so a micro-batch does not read earlier results."""
-    due = departure_reminders(t.with_frames(Bookings=bookings), as_of)
+    """Sends departure reminders for arriving bookings, once per booking, when due (S02).
+
+    The clock is the watermark of ``arrived``, the column that tells when a booking's row came;
+    rows that come more than ``lateness`` behind it are too late for the stream. Without that
+    column every row comes at ``as_of``, where the clock stands still. A booking that arrives
+    days early waits in keyed state for its timer; one that has a reminder in the tables, or
+    that a later row cancels, is not told. SentAt is the time at which a reminder fell due.
+    """
+    trips = (
+        t["Schedules"]
+        .join(t.hint(t["Trains"].select("TrainID", "TrainCode"), "Trains"), "TrainID")
+        .select("ScheduleID", F.col("TrainCode").alias("train"), timed.millis(F.col("DepartureTime")).alias("leaves"))
+    )
+    reminded = (
+        t["Notifications"]
+        .filter((F.col("NotificationType") == "Reminder") & F.col("BookingID").isNotNull())
+        .select("BookingID")
+        .distinct()
+    )
+    at = timed.millis(instant(as_of) if arrived is None else F.col(arrived))
+    wanted = (F.col("BookingStatus") == "Active") & (F.col("PaymentStatus") == "Paid")
+    rows = (
+        bookings.select(
+            "BookingID",
+            F.col("UserID").alias("user"),
+            "ScheduleID",
+            F.coalesce(wanted, F.lit(False)).alias("wanted"),
+            at.alias("arrives"),
+        )
+        .join(t.hint(trips, "Schedules"), "ScheduleID")
+        .drop("ScheduleID")
+        .join(reminded, "BookingID", "left_anti")
+    )
+    due = timed.reminders_when_due(rows, lateness)
+    leaves = timed.from_millis(F.col("leaves"))
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        _store(batch, out_dir, "notifications", batch_id)
+        told = batch.withColumn("at", timed.from_millis(F.col("told")))
+        _store(reminder_notices(told, F.col("train"), leaves, F.col("at")), out_dir, "notifications", batch_id)
 
-    return _start(due.dropDuplicates(["BookingID"]), work, checkpoint)
+    return timed.start_with_state(bookings.sparkSession, lambda: _start(due, work, checkpoint))
 
 
 def booking_request_stream(
@@ -147,40 +191,86 @@ def split_claims(t: Tables, claims: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def first_claims(claims: DataFrame) -> DataFrame:
-    """The least claim of every seat and trip, by (ClaimedAt, BookingID).
-
-    As a stream this keeps one row per claimed seat and has no event time that could expire:
-    a claim may come in as late as it likes and still wins if it is the least, and of two
-    claims never both are told to have the seat. The state of trips that have left goes when
-    the stream is started anew, as their claims are refused.
-    """
+    """The least claim of every seat and trip, by (ClaimedAt, BookingID)."""
     return claims.groupBy("ScheduleID", "SeatID").agg(
         F.min(F.struct("ClaimedAt", "BookingID")).alias("first")
     )
 
 
 def first_claim_stream(
-    t: Tables, claims: DataFrame, out_dir: str, checkpoint: str
+    t: Tables,
+    claims: DataFrame,
+    out_dir: str,
+    checkpoint: str,
+    arrived: str | None = None,
+    lateness: str = "1 hour",
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Settles arriving claims (S03): seats whose least claim changed in a micro-batch, and
-    refused claims. `read_first_claims` gives the state after all stored micro-batches."""
+    refused claims. `read_first_claims` gives the state after all stored micro-batches.
+
+    A claim may come in as late as it likes and still wins if it is the least, as long as its
+    trip has not left by the clock, the watermark of the column ``arrived`` of claims; then its
+    state is gone, and it is refused. Without that column the clock stands still, and the state
+    of every claimed seat stays.
+    """
     good, refused = split_claims(t, claims)
+    trips = t.hint(
+        t["Schedules"].select("ScheduleID", timed.millis(F.col("DepartureTime")).alias("leaves")),
+        "Schedules",
+    )
+    still = F.lit(86_400_000).cast("bigint")  # a clock that stands still long before any departure
+    rows = good.join(trips, "ScheduleID").select(
+        "ScheduleID",
+        "SeatID",
+        "BookingID",
+        _micros(F.col("ClaimedAt")).alias("claimed"),
+        "leaves",
+        (still if arrived is None else timed.millis(F.col(arrived))).alias("arrives"),
+    )
+    settled = timed.claims_until_departure(rows, lateness, msg.TOO_LATE)
 
-    def store(name: str) -> Callable:
-        return lambda batch, batch_id: _store(batch, out_dir, name, batch_id)
+    def store_claims(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        try:
+            told = kept.filter("reason is null").select(
+                "ScheduleID", "SeatID", _from_micros(F.col("claimed")).alias("ClaimedAt"), "BookingID"
+            )
+            _store(told, out_dir, "claims", batch_id)
+            late = kept.filter("reason is not null")
+            late = late.select("BookingID", F.lit(None).cast("int").alias("code"), "reason")
+            _store(late, out_dir, "late_claims", batch_id)
+        finally:
+            kept.unpersist()
+
+    def store_rejects(batch: DataFrame, batch_id: int) -> None:
+        rejects = batch.select("BookingID", "code", "reason")
+        _store(rejects, out_dir, "claim_rejects", batch_id)
+
+    base = checkpoint.rstrip("/")
+    return (
+        timed.start_with_state(
+            claims.sparkSession,
+            lambda: _start(settled, store_claims, f"{base}/claims", "update"),
+        ),
+        _start(refused, store_rejects, f"{base}/claim_rejects"),
+    )
+
+
+def _micros(time: Column) -> Column:
+    return timed.millis(time) * 1000 + F.date_format(time, "SSSSSS").cast("bigint")
+
+
+def _from_micros(us: Column) -> Column:
+    ms = F.floor(us / 1000)
+    rest = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), ((us % 1000) / 1_000_000).cast("decimal(18,6)"))
+    return (timed.from_millis(ms) + rest).cast("timestamp_ntz")
 
-    def start(rows: DataFrame, name: str, mode: str) -> StreamingQuery:
-        return (
-            rows.writeStream.outputMode(mode)
-            .foreachBatch(store(name))
-            .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}")
-            .trigger(availableNow=True)
-            .start()
-        )
 
-    changed = first_claims(good).select("ScheduleID", "SeatID", "first.ClaimedAt", "first.BookingID")
-    rejects = refused.select("BookingID", "code", "reason")
-    return start(changed, "claims", "update"), start(rejects, "claim_rejects", "append")
+def read_claim_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(BookingID, code, reason) of the claims that a stream has refused."""
+    schema = "BookingID bigint, code int, reason string"
+    unfit, late = (read_results(spark, out_dir, kind, schema) for kind in ("claim_rejects", "late_claims"))
+    return unfit.unionByName(late)
 
 
 def read_first_claims(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -257,3 +257,65 @@ def test_first_claims_in_any_order(spark, booked, order):
         spark, f"{tmp}/out", "claim_rejects", "BookingID bigint, code int, reason string"
     )
     assert {r.BookingID for r in refused.collect()} == {6, 8}
+
+
+def state_rows(query):
+    return sum(op["numRowsTotal"] for op in query.lastProgress["stateOperators"])
+
+
+def test_claims_are_forgotten_after_departure(spark, booked):
+    """By the clock of arrivals the trip leaves between the micro-batches: its state goes, and a
+    claim that comes later is refused, even if it is the least."""
+    later = F.col("DepartureTime") + F.make_dt_interval(F.lit(15))
+    trips = booked["Schedules"].withColumn("DepartureTime", F.when(F.col("ScheduleID") == 6, later).otherwise(F.col("DepartureTime")))
+    booked = booked.with_frames(Schedules=trips)
+    leaves, hour = trips.filter("ScheduleID = 1").first().DepartureTime, dt.timedelta(hours=1)
+    other = 6
+    made = [  # seat, booking, claimed and arrived before departure, trip
+        (1, 7, 20, leaves - 9 * hour, leaves - 9 * hour, 0), (1, 7, 21, leaves - 8 * hour, leaves - 8 * hour, 0),
+        (other, 3, 22, leaves - 8 * hour, leaves - 8 * hour, 0), (other, 4, 23, leaves - 8 * hour, leaves + 5 * hour, 1),
+        (1, 7, 24, leaves - 10 * hour, leaves + 6 * hour, 2), (other, 3, 25, leaves - 9 * hour, leaves + 6 * hour, 2),
+    ]
+    claims = spark.createDataFrame(
+        made,
+        "ScheduleID bigint, SeatID bigint, BookingID bigint, ClaimedAt timestamp_ntz, ArrivedAt timestamp_ntz, _part int",
+    )
+    tmp = scratch_dir(spark, "test")
+    started = streams.first_claim_stream(booked, parts(spark, claims, 3, tmp), f"{tmp}/out", f"{tmp}/chk", "ArrivedAt")
+    for query in started:
+        query.awaitTermination()
+    got = streams.read_first_claims(spark, f"{tmp}/out")
+    assert set(rows(got, "ScheduleID", "SeatID", "BookingID")) == {(1, 7, 20), (other, 3, 25), (other, 4, 23)}
+    assert [r.BookingID for r in streams.read_claim_rejects(spark, f"{tmp}/out").collect()] == [24]
+    assert state_rows(started[0]) == 2  # the two seats of the trip that is yet to leave
+
+
+def test_reminders_wait_for_their_time(spark, booked):
+    """Bookings that come days early are told once, when due; cancelled and late ones never."""
+    trip = booked["Schedules"].filter("ScheduleID = 1").first()
+    leaves, hour = trip.DepartureTime, dt.timedelta(hours=1)
+    opens = leaves.replace(minute=0, second=0) - 24 * hour
+    made = [  # booking, status, payment, arrives, micro-batch
+        (101, "Active", "Paid", leaves - 72 * hour, 0), (102, "Active", "Paid", leaves - 71 * hour, 0),
+        (103, "Active", "Pending", leaves - 71 * hour, 0), (104, "Active", "Paid", leaves - 72 * hour, 0),
+        (102, "Cancelled", "Paid", leaves - 50 * hour, 1), (103, "Active", "Paid", leaves - 50 * hour, 1),
+        (101, "Active", "Paid", leaves - 49 * hour, 1), (105, "Active", "Paid", leaves - 12 * hour, 2),
+        (101, "Active", "Paid", leaves - 11 * hour, 3), (106, "Active", "Paid", leaves - 0.5 * hour, 4),
+        (107, "Active", "Paid", leaves + 9 * hour, 5),
+    ]
+    df = spark.createDataFrame(
+        [(b, 1, 1, s, p, at, i) for b, s, p, at, i in made],
+        "BookingID bigint, UserID bigint, ScheduleID bigint, BookingStatus string, PaymentStatus string, ArrivedAt timestamp_ntz, _part int",
+    )
+    tmp = scratch_dir(spark, "test")
+    query = streams.reminder_stream(
+        booked, parts(spark, df, 6, tmp), f"{tmp}/out", f"{tmp}/chk", AS_OF, "ArrivedAt", "10 minutes"
+    )
+    query.awaitTermination()
+    schema = lifecycle_jobs.departure_reminders(booked, AS_OF).schema
+    got = streams.read_results(spark, f"{tmp}/out", "notifications", schema)
+    assert sorted(rows(got, "BookingID", "SentAt", "ScheduledFor")) == [
+        (101, opens, leaves - 2 * hour), (103, opens, leaves - 2 * hour), (104, opens, leaves - 2 * hour),
+        (105, leaves - 12 * hour, leaves - 2 * hour),
+    ]
+    assert state_rows(query) == 0

@@ -179,20 +179,32 @@ edits AS (
   SELECT event_id AS request_id, user_id AS UserID, user_id IN (SELECT UserID FROM Users) AS known,
     CASE event_id % 11 WHEN 0 THEN NULL WHEN 1 THEN repeat('x', 101) ELSE 'Name ' || event_id END AS FullName,
     if(event_id % 11 = 3, 'shared' || (event_id // 50), 'u' || event_id) || '@example.org' AS Email,
-    if(event_id % 11 = 4, '0900000001',
+    event_id % 11 AS event_kind, if(event_id % 11 = 4, '0900000001',
       '06' || lpad(event_id::VARCHAR, greatest(8, length(event_id::VARCHAR))::INTEGER, '0')) AS PhoneNumber
   FROM events),
 judged AS (
   SELECT *, CASE WHEN NOT known THEN NULL WHEN FullName IS NULL THEN 'FullName is missing'
     WHEN length(FullName) > 100 THEN 'FullName is too long'
-    WHEN Email IN (SELECT u.Email FROM Users u WHERE u.UserID <> edits.UserID)
-      THEN 'Email đã tồn tại trong hệ thống'
-    WHEN PhoneNumber = '0900000001' AND UserID <> 1 AND 1 IN (SELECT UserID FROM Users)
-      THEN 'Số điện thoại đã tồn tại trong hệ thống' END AS reason FROM edits),
-sound AS (
-  SELECT *, first_value(UserID) OVER (PARTITION BY Email ORDER BY request_id) <> UserID
-    OR first_value(UserID) OVER (PARTITION BY PhoneNumber ORDER BY request_id) <> UserID AS late
-  FROM judged WHERE reason IS NULL AND known)
+    END AS reason FROM edits),
+-- one by one: only the shared addresses and the one number are asked for by several users
+able AS (SELECT *, event_kind NOT IN (3, 4) AS alone FROM judged WHERE reason IS NULL AND known),
+later AS (SELECT *, min(CASE WHEN alone THEN request_id END) OVER (PARTITION BY UserID ORDER BY request_id
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_alone FROM able),
+line AS (SELECT *, row_number() OVER (ORDER BY request_id) AS n, if(event_kind = 3, Email, PhoneNumber) AS item
+  FROM later WHERE NOT alone),
+steps(n, held, request_id, at_start) AS (
+  SELECT 0::BIGINT, list_value({'k': 1::BIGINT, 'item': '0900000001', 'begin': 0::BIGINT, 'next': (SELECT min(request_id)
+    FROM able WHERE UserID = 1 AND alone)}), NULL::BIGINT, NULL::BOOLEAN
+  UNION ALL
+  SELECT n, CASE WHEN len(rivals) > 0 THEN held ELSE list_append(list_filter(held, lambda h: h.k <> UserID),
+      {'k': UserID, 'item': item, 'begin': coalesce(kept[1].begin, req), 'next': next_alone}) END,
+    CASE WHEN len(rivals) > 0 THEN req END, CASE WHEN len(rivals) > 0 THEN rivals[1].begin = 0 END
+  FROM (SELECT l.n, s.held, l.request_id AS req, l.UserID, l.item, l.next_alone,
+      list_filter(s.held, lambda h: h.item = l.item AND h.k <> l.UserID AND coalesce(h.next > l.request_id, true)) AS rivals,
+      list_filter(s.held, lambda h: h.item = l.item AND h.k = l.UserID AND coalesce(h.next > l.request_id, true)) AS kept
+    FROM steps s JOIN line l ON l.n = s.n + 1)),
+sound AS (SELECT able.*, steps.request_id IS NOT NULL AS late, at_start
+  FROM able LEFT JOIN steps USING (request_id))
 """
 B_COLS = "b.BookingID, b.BookingCode, b.UserID, b.ScheduleID, b.BookingDate, b.TotalAmount"
 T_COLS = """tk.TicketID, tk.BookingID, tk.SeatID, tk.PassengerName, tk.PassengerIDNumber,
@@ -637,7 +649,8 @@ UNION ALL SELECT request_id, NULL, 'an earlier row of the batch has this key' FR
     add(
         "m08_users_rejects",
         """SELECT request_id, NULL::INTEGER AS code, reason FROM judged WHERE reason IS NOT NULL
-UNION ALL SELECT request_id, NULL, 'an earlier change of the batch has this key' FROM sound WHERE late""",
+UNION ALL SELECT request_id, NULL, if(at_start, 'Số điện thoại đã tồn tại trong hệ thống',
+  'an earlier change of the batch has this key') FROM sound WHERE late""",
         USER_EDITS,
     )
     add(

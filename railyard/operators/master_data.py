@@ -14,6 +14,7 @@ from ..plans.tables import Tables
 from ..schemas import AS_OF, TABLES, Table
 from .claims import first_by_key
 from .notices import first_failure, reject
+from .timelines import refused_changes
 
 MIN_PASSWORD = 8
 _TAKEN = {"Email": msg.EMAIL_EXISTS, "PhoneNumber": msg.PHONE_EXISTS}
@@ -145,9 +146,10 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
     admin_id, and the columns to set, NULLs included; the last change of a key counts that
     is not refused.
 
-    A change is refused if it breaks a rule of the declared columns, names an unknown foreign
-    key, takes a unique value that another row of the table has, or one that an earlier
-    change of the batch has taken for another row. A refused change affects no row. Returns
+    Changes apply in the order of request_id. One is refused if it breaks a rule of the declared
+    columns, names an unknown foreign key, or takes a unique value that another row has at that
+    time: from the start, or by an earlier change. A value that an earlier change has freed can
+    be taken; a refused change affects no row and blocks no other. Returns
     the whole new table, the rows affected per request, and the rejects.
     """
     spec = TABLES[table]
@@ -170,15 +172,6 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
             missing = F.col(column).isNotNull() & F.col(f"_{column}").isNull()
             checks.append((missing, f"unknown {column}"))
     touched = [u for u in spec.unique if set(u) & set(columns)]
-    for unique in touched:
-        flag = "_" + "_".join(unique)
-        owner = _held(t, table, unique).groupBy(*unique).agg(
-            F.min(spec.key).alias(f"{flag}_lo"), F.max(spec.key).alias(f"{flag}_hi")
-        )
-        full = full.join(owner, list(unique), "left")
-        other = (F.col(f"{flag}_lo") != F.col(spec.key)) | (F.col(f"{flag}_hi") != F.col(spec.key))
-        text = _TAKEN.get(unique[0], f"{', '.join(unique)} exists already")
-        checks.append((F.coalesce(other, F.lit(False)), text))
     # an unknown key changes nothing, so it breaks no rule
     checks = [(F.col("_known").isNotNull() & fault, why) for fault, why in checks]
     code, reason = first_failure(*checks)
@@ -187,16 +180,21 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
     )
     judged = cut(judged)
     sound = judged.filter(F.col("reason").isNull() & F.col("_known").isNotNull())
+    late = sound.select("request_id", F.lit(None).cast("int").alias("code"), F.lit(None).cast("string").alias("reason")).limit(0)
     if touched:
-        item = F.explode(F.array_compact(F.array(*_unique_keys(spec))))
-        claims = sound.select("request_id", spec.key, item.alias("item"))
-        # the first change that takes a value takes it for its row; changes of that row may
-        # take it again, those of others are refused
-        owner = claims.groupBy("item").agg(F.min_by(spec.key, "request_id").alias("_owner"))
-        late = claims.join(owner, "item").filter(F.col("_owner") != F.col(spec.key))
-        late = late.select("request_id").distinct()
-    else:
-        late = sound.select("request_id").limit(0)
+        held = F.array(*[k for k, u in zip(_unique_keys(spec), spec.unique) if u in touched])
+        asked = sound.select("request_id", F.col(spec.key).alias("key"), held.alias("items"))
+        at_start = t[table].select(F.col(spec.key).alias("key"), held.alias("items"))
+        rule = F.substring_index("item", "\x1f", 1)
+        texts = [_TAKEN.get(u[0], f"{', '.join(u)} exists already") for u in spec.unique]
+        why = F.lit("an earlier change of the batch has this key")
+        for i, text in enumerate(texts):
+            why = F.when(F.col("at_start") & (rule == str(i)), F.lit(text)).otherwise(why)
+        late = cut(
+            refused_changes(asked, at_start).select(
+                "request_id", F.lit(None).cast("int").alias("code"), why.alias("reason")
+            )
+        )
     sound = sound.join(late, "request_id", "left_anti")
     # a max over structs aggregates map-side, so a key changed very often is no hot spot
     last = sound.groupBy(spec.key).agg(
@@ -209,9 +207,7 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
         else F.col(c.name)
         for c in spec.cols
     ]
-    refused = judged.filter("reason is not null").select("request_id", "code", "reason").unionByName(
-        reject(late, "an earlier change of the batch has this key")
-    )
+    refused = judged.filter("reason is not null").select("request_id", "code", "reason").unionByName(late)
     none = refused.select("request_id", F.lit(0).alias("_none"))
     count = F.coalesce("_none", F.when(F.col("_known"), 1).otherwise(0))
     affected = judged.join(none, "request_id", "left").select(

@@ -1,5 +1,6 @@
 """Batch jobs on the sample data: edge cases that the large tables do not contain."""
 
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -362,6 +363,44 @@ def test_updates_keep_the_rules(spark, seed):
     assert quality.violations(seed.with_frames(Users=out["rows"]), tables=["Users"]).isEmpty()
 
 
+def test_a_refused_change_blocks_no_other(spark, seed):
+    changes = spark.createDataFrame(
+        [(1, 1, "A", "x@x.vn", "1"), (2, 2, "B", "x@x.vn", "09"), (3, 3, "C", "c@x.vn", "09")],
+        "request_id bigint, UserID bigint, FullName string, Email string, PhoneNumber string",
+    )
+    out = master_data.update_rows(seed, "Users", changes)
+    assert set(reasons(out)) == {2}
+    assert {r.UserID: r.PhoneNumber for r in out["rows"].collect()}[3] == "09"
+
+
+def one_by_one(users, changes):
+    """(refused requests, users) after applying the changes in order."""
+    users, refused = {k: list(v) for k, v in users.items()}, set()
+    for request, key, mail, phone in sorted(changes):
+        taken = any(k != key and ((mail and v[0] == mail) or (phone and v[1] == phone)) for k, v in users.items())
+        if key not in users:
+            continue
+        if taken:
+            refused.add(request)
+        else:
+            users[key] = [mail, phone]
+    return refused, users
+
+
+@pytest.mark.parametrize("seed_of", range(3))
+def test_changes_apply_one_by_one(spark, seed, seed_of):
+    rng = random.Random(seed_of)
+    first = {r.UserID: (r.Email, r.PhoneNumber) for r in seed["Users"].collect()}
+    mails = [m for m, _ in first.values()] + [f"m{i}@x.vn" for i in range(4)] + [None]
+    phones = [p for _, p in first.values()] + [str(i) for i in range(6)]
+    made = [(r, rng.choice([*first, 99]), rng.choice(mails), rng.choice(phones)) for r in range(1, 120)]
+    changes = spark.createDataFrame(made, "request_id bigint, UserID bigint, Email string, PhoneNumber string")
+    out = master_data.update_rows(seed, "Users", changes.repartition(3))
+    refused, users = one_by_one(first, made)
+    assert set(reasons(out)) == refused and refused
+    assert {r.UserID: [r.Email, r.PhoneNumber] for r in out["rows"].collect()} == users
+
+
 def test_a_value_held_twice_refuses_once(spark, seed):
     held = seed["Users"].unionByName(seed["Users"].filter("UserID = 1").withColumn("UserID", F.lit(77).cast("bigint")))
     user = held.filter("UserID = 1").first()

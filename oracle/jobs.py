@@ -646,6 +646,37 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY {code} ORDER BY request_id)
 UNION ALL SELECT request_id, NULL, 'an earlier row of the batch has this key' FROM ranked WHERE nth > 1""",
             extra,
         )
+    for table, key, code in (("Stations", "StationID", "StationCode"), ("Trains", "TrainID", "TrainCode"),
+                             ("Routes", "RouteID", "RouteCode")):
+        # one by one: held is every row's code at the time
+        moves = f"""
+near AS (SELECT {key} AS k, {code} AS c, (SELECT min(p.{code}) FROM {table} p WHERE p.{key} = r.{key} - 1) AS before,
+    (SELECT min(p.{code}) FROM {table} p WHERE p.{key} = r.{key} + 1) AS after FROM {table} r),
+asked AS (SELECT k * 2 AS req, k, if(k % 7 = 0, NULL, if(k % 3 = 0, c || 'x', coalesce(before, c || 'y'))) AS code FROM near
+  UNION ALL SELECT k * 2 + 1, k, coalesce(after, c || 'z') FROM near WHERE k % 3 = 0),
+line AS (SELECT *, row_number() OVER (ORDER BY req) AS n FROM asked WHERE code IS NOT NULL),
+steps(n, held, req, first) AS (
+  SELECT 0::BIGINT, list({{'k': k, 'code': c, 'first': true}}), NULL::BIGINT, NULL::BOOLEAN FROM near
+  UNION ALL
+  SELECT l.n, CASE WHEN len(list_filter(s.held, lambda h: h.code = l.code AND h.k <> l.k)) > 0 THEN s.held
+      ELSE list_append(list_filter(s.held, lambda h: h.k <> l.k), {{'k': l.k, 'code': l.code, 'first': false}}) END,
+    CASE WHEN len(list_filter(s.held, lambda h: h.code = l.code AND h.k <> l.k)) > 0 THEN l.req END,
+    list_filter(s.held, lambda h: h.code = l.code AND h.k <> l.k)[1].first
+  FROM steps s JOIN line l ON l.n = s.n + 1)"""
+        add(
+            f"m08_{table.lower()}",
+            f"""SELECT t.* REPLACE (coalesce(new.code, t.{code}) AS {code}) FROM {table} t LEFT JOIN (
+  SELECT k, max_by(code, req) AS code FROM line WHERE req NOT IN (SELECT req FROM steps WHERE req IS NOT NULL)
+  GROUP BY k) new ON new.k = t.{key}""",
+            moves,
+        )
+        add(
+            f"m08_{table.lower()}_rejects",
+            f"""SELECT req AS request_id, NULL::INTEGER AS code, '{code} is missing' AS reason FROM asked WHERE code IS NULL
+UNION ALL SELECT req, NULL, if(first, '{code} exists already', 'an earlier change of the batch has this key')
+FROM steps WHERE req IS NOT NULL""",
+            moves,
+        )
     add(
         "m08_users_rejects",
         """SELECT request_id, NULL::INTEGER AS code, reason FROM judged WHERE reason IS NOT NULL

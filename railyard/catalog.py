@@ -178,6 +178,9 @@ def job_queries() -> dict[str, Query]:
     def append(table: str, rows):
         return lambda t, spark, sf_dir: D.append_rows(t, table, rows(spark, sf_dir), JOB_AS_OF)
 
+    def move_codes(table: str):
+        return lambda t, spark, sf_dir: D.update_rows(t, table, K.code_moves(t, table))
+
     def fix_users(t, spark, sf_dir):
         return D.update_rows(t, "Users", K.user_edits(spark, sf_dir))
 
@@ -188,7 +191,7 @@ def job_queries() -> dict[str, Query]:
         return B.cancel_schedules(t, K.cancel_schedule_commands(t), JOB_AS_OF, cascade=True)
 
     def pay_unpaid(t, spark, sf_dir):
-        # three of seven bookings have lost their payment
+        # one of seven bookings has lost its payment
         some = t["Payments"].filter(SF.col("PaymentID") % 7 != 3)
         return pay(t.with_frames(Payments=some), spark, sf_dir)
 
@@ -257,6 +260,9 @@ def job_queries() -> dict[str, Query]:
     for table, rows in (("Stations", K.new_stations), ("Trains", K.new_trains), ("Routes", K.new_routes)):
         q[f"m07_{table.lower()}"] = _job("rows", append(table, rows))
         q[f"m07_{table.lower()}_rejects"] = _job("rejects", append(table, rows))
+    for table in ("Stations", "Trains", "Routes"):
+        q[f"m08_{table.lower()}"] = _job("rows", move_codes(table))
+        q[f"m08_{table.lower()}_rejects"] = _job("rejects", move_codes(table))
     q["m08_users_rejects"] = _job("rejects", fix_users)
     q["m08_users_fixed"] = then(_without_hash, _job("rows", fix_users))
     q["m08_schedules_rejects"] = _job("rejects", fix_trips)

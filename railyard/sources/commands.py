@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import padded
 from ..plans.tables import Tables
+from ..schemas import TABLES
 from .star import read_star, schedule_of
 
 
@@ -262,6 +263,24 @@ def user_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def code_moves(t: Tables, table: str) -> DataFrame:
+    """Codes that move on: of three rows the first takes a new code, the second that of the
+    first, the third that of the second; the first also asks for the second's while that is
+    held. Of seven rows one asks for no code, so that its own stays taken."""
+    key, code = TABLES[table].key, TABLES[table].unique[0][0]
+    k, c = F.col(key), F.col(code)
+    rows = t[table].select(key, code)
+    before = rows.select((k + 1).alias(key), c.alias("before"))
+    after = rows.select((k - 1).alias(key), c.alias("after"))
+    near = rows.join(before, key, "left").join(after, key, "left")
+    moved = F.when(k % 3 == 0, F.concat(c, F.lit("x"))).otherwise(F.coalesce("before", F.concat(c, F.lit("y"))))
+    first = near.select((k * 2).alias("request_id"), key, F.when(k % 7 != 0, moved).alias(code))
+    second = near.filter(k % 3 == 0).select(
+        (k * 2 + 1).alias("request_id"), key, F.coalesce("after", F.concat(c, F.lit("z"))).alias(code)
+    )
+    return first.unionByName(second)
+
+
 def schedule_edits(t: Tables) -> DataFrame:
     """Edits by booking: arrivals before departures, no price, odd states, unknown routes."""
     b, at = F.col("BookingID"), F.col("BookingDate")

@@ -190,7 +190,7 @@ judged AS (
 able AS (SELECT *, event_kind NOT IN (3, 4) AS alone FROM judged WHERE reason IS NULL AND known),
 later AS (SELECT *, min(CASE WHEN alone THEN request_id END) OVER (PARTITION BY UserID ORDER BY request_id
     ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_alone FROM able),
-line AS (SELECT *, row_number() OVER (ORDER BY request_id) AS n, if(event_kind = 3, Email, PhoneNumber) AS item
+line AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY request_id) AS n, if(event_kind = 3, Email, PhoneNumber) AS item
   FROM later WHERE NOT alone),
 steps(n, held, request_id, at_start) AS (
   SELECT 0::BIGINT, list_value({'k': 1::BIGINT, 'item': '0900000001', 'begin': 0::BIGINT, 'next': (SELECT min(request_id)
@@ -650,11 +650,11 @@ UNION ALL SELECT request_id, NULL, 'an earlier row of the batch has this key' FR
                              ("Routes", "RouteID", "RouteCode")):
         # one by one: held is every row's code at the time
         moves = f"""
-near AS (SELECT {key} AS k, {code} AS c, (SELECT min(p.{code}) FROM {table} p WHERE p.{key} = r.{key} - 1) AS before,
+near AS MATERIALIZED (SELECT {key} AS k, {code} AS c, (SELECT min(p.{code}) FROM {table} p WHERE p.{key} = r.{key} - 1) AS before,
     (SELECT min(p.{code}) FROM {table} p WHERE p.{key} = r.{key} + 1) AS after FROM {table} r),
 asked AS (SELECT k * 2 AS req, k, if(k % 7 = 0, NULL, if(k % 3 = 0, c || 'x', coalesce(before, c || 'y'))) AS code FROM near
   UNION ALL SELECT k * 2 + 1, k, coalesce(after, c || 'z') FROM near WHERE k % 3 = 0),
-line AS (SELECT *, row_number() OVER (ORDER BY req) AS n FROM asked WHERE code IS NOT NULL),
+line AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY req) AS n FROM asked WHERE code IS NOT NULL),
 steps(n, held, req, first) AS (
   SELECT 0::BIGINT, list({{'k': k, 'code': c, 'first': true}}), NULL::BIGINT, NULL::BOOLEAN FROM near
   UNION ALL

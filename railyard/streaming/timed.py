@@ -116,7 +116,10 @@ def reminders_when_due(bookings: DataFrame, lateness: str) -> DataFrame:
     taken as it comes last; after that it is left out. State ends two hours before departure.
     """
     timed = bookings.withColumn("_at", F.timestamp_millis("arrives")).withWatermark("_at", lateness)
-    return timed.groupBy("BookingID").transformWithStateInPandas(
+    # rows after the end change nothing; by the watermarked column, so that they still move the clock
+    past = F.floor(F.col("leaves") / HOUR) * HOUR - HOUR
+    open_ = timed.filter(F.unix_millis("_at") < past)
+    return open_.groupBy("BookingID").transformWithStateInPandas(
         statefulProcessor=_reminder_processor(),
         outputStructType="BookingID bigint, UserID bigint, train string, leaves bigint, told bigint",
         outputMode="Append",

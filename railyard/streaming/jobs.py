@@ -121,6 +121,8 @@ def reminder_stream(
         .drop("ScheduleID")
         .join(reminded, "BookingID", "left_anti")
     )
+    if arrived is None:  # where the clock stands still, what is not due now never falls due
+        rows = rows.filter(F.floor(F.col("leaves") / timed.HOUR) * timed.HOUR - 24 * timed.HOUR <= F.col("arrives"))
     due = timed.reminders_when_due(rows, lateness)
     leaves = timed.from_millis(F.col("leaves"))
 

@@ -18,7 +18,7 @@ from ..plans.checkpoints import cut
 from ..plans.joins import class_of_coach
 from ..plans.tables import Tables
 from ..schemas import PAYMENT_METHODS
-from .claims import GROUP_ROWS, distinct_claims, first_come
+from .claims import distinct_claims, first_come
 from .notices import first_failure, notices, reject
 
 HOURS_BEFORE_DEPARTURE = 2
@@ -71,7 +71,6 @@ def create_bookings(
     first_code: int = 1,
     check_train: bool = False,
     refuse_late: bool = False,
-    group_rows: int = GROUP_ROWS,
     held: DataFrame | None = None,
     first_ids: dict[str, int] | None = None,
 ) -> dict[str, DataFrame]:
@@ -152,7 +151,7 @@ def create_bookings(
         )
     )
     candidates = judged.filter(F.col("reason").isNull()).drop("code", "reason")
-    winners = first_come(distinct_claims(candidates, "ScheduleID", "seats"), group_rows)
+    winners = first_come(distinct_claims(candidates, "ScheduleID", "seats"))
     without_seats = candidates.filter(F.size("seats") == 0).select("request_id")
     winners = winners.unionByName(without_seats)
     refused = (

@@ -1,4 +1,4 @@
-"""First come, first served: both ways of settling groups against a plain replay."""
+"""First come, first served: rounds of joins against a plain replay."""
 
 import random
 
@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from railyard import messages as msg
 from railyard.functions.ids import number_rows
+from railyard.operators import claims
 from railyard.operators.booking_jobs import create_bookings
 from railyard.operators.claims import distinct_claims, first_by_key, first_come
+from railyard.plans.checkpoints import cut
 from railyard.sources.seed import seed_tables
 
 
@@ -31,24 +33,77 @@ def random_requests(seed, n=300, groups=4, items=12):
     return [(r, g, rnd.sample(range(items), rnd.randint(1, 3))) for r, g in zip(ids, hot)]
 
 
-def chain(n=40):
-    """Each request shares an item with the next: every second one wins, in n/2 rounds."""
-    return [(i, 0, [i, i + 1]) for i in range(n)]
+def settle(spark, requests, fold_rows):
+    df = spark.createDataFrame(requests, "request_id bigint, grp bigint, items array<bigint>")
+    return first_come(distinct_claims(df, "grp", "items"), fold_rows)
 
 
-@pytest.mark.parametrize("group_rows", [100_000, 60, 0])
-@pytest.mark.parametrize("requests", [random_requests(1), random_requests(2, 200, 2, 30)])
-def test_matches_a_replay(spark, requests, group_rows):
-    df = spark.createDataFrame(requests, "request_id bigint, grp bigint, items array<bigint>")
-    got = first_come(distinct_claims(df, "grp", "items"), group_rows)
-    assert {r[0] for r in rows(got)} == replay(requests)
+def dense(seed, n=150):
+    """Up to five items out of few, ids below 0 too: many rivals before most requests."""
+    rnd = random.Random(seed)
+    return [(r - 70, 0, rnd.sample(range(18), rnd.randint(1, 5))) for r in range(n)]
 
 
-def test_long_chain_of_dependent_requests(spark):
-    requests = chain(12)
-    df = spark.createDataFrame(requests, "request_id bigint, grp bigint, items array<bigint>")
-    got = first_come(distinct_claims(df, "grp", "items"), 0)
-    assert {r[0] for r in rows(got)} == replay(requests) == set(range(0, 12, 2))
+def hot_item(n=400):
+    """Everyone wants item 0, and one more besides, in falling and rising order."""
+    return [(i, 0, [0, 1 + i % 90] if i % 3 else [1 + (n - i) % 90]) for i in range(n)]
+
+
+def forest(seed, n=200):
+    """Each request shares one item with one earlier request: trees of every depth."""
+    rnd = random.Random(seed)
+    asked = {i: [10 * i] for i in range(n)}
+    for i in range(1, n):
+        rival = rnd.randrange(max(0, i - 4), i)
+        asked[rival].append(10_000 + i)
+        asked[i].append(10_000 + i)
+    return [(i, 0, items) for i, items in asked.items()]
+
+
+@pytest.mark.parametrize(
+    "requests",
+    [random_requests(1), random_requests(2, 200, 2, 30), dense(3), hot_item(), forest(4)],
+    ids=["random", "wide", "dense", "hot", "forest"],
+)
+@pytest.mark.parametrize("fold_rows", [100_000, 60, 0])
+def test_matches_a_replay(spark, requests, fold_rows):
+    got = [r[0] for r in rows(settle(spark, requests, fold_rows))]
+    assert set(got) == replay(requests) and len(got) == len(set(got))
+
+
+def test_no_claims_and_repeated_claims(spark):
+    empty = spark.createDataFrame([], "request_id bigint, grp bigint, item bigint")
+    assert first_come(empty).count() == 0
+    twice = spark.createDataFrame(
+        [(2, 0, 5), (2, 0, 5), (1, 0, 5), (1, 0, 5), (3, 1, 5)], empty.schema
+    )
+    assert sorted(rows(first_come(twice))) == [(1,), (3,)]
+
+
+def test_long_chain_in_a_bounded_number_of_steps(spark, monkeypatch):
+    """Every second request of a chain wins; the written steps follow its logarithm."""
+    steps = []
+
+    def counted(df):
+        steps.append(1)
+        return cut(df)
+
+    monkeypatch.setattr(claims, "cut", counted)
+    n = 100_000
+    links = spark.range(n).select(
+        F.col("id").alias("request_id"),
+        F.lit(0).alias("grp"),
+        F.explode(F.array("id", F.col("id") + 1)).alias("item"),
+    )
+    got = first_come(links)
+    assert got.count() == n // 2 and got.filter("request_id % 2 = 1").isEmpty()
+    assert len(steps) <= 24
+
+
+def test_settlement_needs_no_python(spark):
+    nodes = claims._rivals(spark.createDataFrame([(1, 0, 1)], "request_id bigint, grp int, item int"))
+    text = nodes._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in text and "Pandas" not in text
 
 
 @pytest.mark.parametrize("keys", [1, 2])
@@ -57,10 +112,10 @@ def test_unique_values_in_rounds(spark, keys):
     rnd = random.Random(keys)
     asked = [(r, 0, [f"a{rnd.randint(0, 60)}", f"b{r % 25}"][:keys]) for r in rnd.sample(range(500), 90)]
     df = spark.createDataFrame(asked, "request_id bigint, grp bigint, items array<string>")
-    claims = df.select("request_id", F.explode("items").alias("item"))
-    got = [r[0] for r in rows(first_by_key(claims, keys))]
+    asks = df.select("request_id", F.explode("items").alias("item"))
+    got = [r[0] for r in rows(first_by_key(asks, keys))]
     assert set(got) == replay(asked) and len(got) == len(set(got))
-    assert first_by_key(claims.limit(0), keys).count() == 0
+    assert first_by_key(asks.limit(0), keys).count() == 0
 
 
 def test_numbers_are_dense_and_ordered(spark):
@@ -137,8 +192,7 @@ def test_train_check_and_late_check_are_options(spark, seed):
     assert rows(book(spark, seed, late, refuse_late=True)["rejects"], "reason") == [(msg.TOO_LATE,)]
 
 
-@pytest.mark.parametrize("group_rows", [100_000, 0])
-def test_invariants_under_heavy_conflict(spark, seed, group_rows):
+def test_invariants_under_heavy_conflict(spark, seed):
     rnd = random.Random(5)
     requests = []
     for i in range(120):
@@ -146,7 +200,7 @@ def test_invariants_under_heavy_conflict(spark, seed, group_rows):
         names = ",".join("N" for _ in seats)
         trip = rnd.choice([1, 1, 6])
         requests.append((i, 1, trip, ",".join(map(str, seats)), names, "VNPay"))
-    out = book(spark, seed, requests, group_rows=group_rows)
+    out = book(spark, seed, requests)
     wanted = replay([(r[0], r[2], r[3].split(",")) for r in requests])
     assert out["bookings"].count() == len(wanted)
     refused = {r[0] for r in rows(out["rejects"], "request_id")}

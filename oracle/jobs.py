@@ -721,6 +721,13 @@ WHERE NOT may OR {key} IN ({used})""",
         NEW_SCHEDULES,
     )
     out["w02_updated_users"] = out["m08_users"]
+    out["w02_updated_schedules"] = out["m08_schedules"]
+    add(
+        "w02_updated_bookings",
+        f"""SELECT * FROM Bookings WHERE BookingID NOT IN (SELECT BookingID FROM hit)
+UNION ALL BY NAME ({out['m02_bookings'][0]})""",
+        cancel,
+    )
     out["w03_remaining_schedules"] = out["m10_delete_free"]
     add(
         "view_scan",

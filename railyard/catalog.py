@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +18,10 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators import views as V
 from .operators.notices import NOTICE_COLUMNS
-from .plans.checkpoints import cut, scratch_dir, shared_dir
+from .plans.checkpoints import scratch_dir, shared_dir
 from .plans.tables import Tables
 from .sources import commands as K
+from .sources import partitioned as W
 from .sources.star import AS_OF, star_tables, stream_star, stream_table
 from .streaming import jobs as S
 
@@ -191,13 +193,41 @@ def job_queries() -> dict[str, Query]:
         return B.cancel_schedules(t, K.cancel_schedule_commands(t), JOB_AS_OF, cascade=True)
 
     def pay_unpaid(t, spark, sf_dir):
-        # one of seven bookings has lost its payment
+        # one of seven payments is taken away
         some = t["Payments"].filter(SF.col("PaymentID") % 7 != 3)
         return pay(t.with_frames(Payments=some), spark, sf_dir)
 
-    def stored(name: str, frame) -> None:
-        """The new state of a table, written and read back."""
-        q[name] = lambda spark, sf_dir: cut(frame(spark, sf_dir))
+    def stored(table: str, part, change, as_of: str = JOB_AS_OF, drop: tuple = ()) -> Query:
+        """A stored, partitioned table after ``change``, which is called with the tables, the
+        session, the folder and the stored table's name."""
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            t = star_tables(spark, sf_dir, as_of)
+            name = f"stored_{uuid.uuid4().hex}"
+            W.create(t[table].drop(*drop), name, part, scratch_dir(spark, "table"))
+            change(t, spark, sf_dir, name)
+            return W.read(spark, name)
+
+        return run
+
+    def add_stored_trips(t, spark, sf_dir, name):
+        W.append(name, add_trips(t, spark, sf_dir)["rows"], W.month_of("DepartureTime"))
+
+    def update_stored_users(t, spark, sf_dir, name):
+        changed = _without_hash(edit_users(t, spark, sf_dir)["changed"])
+        W.update(name, changed, "UserID", W.key_block("UserID"))
+
+    def update_stored_trips(t, spark, sf_dir, name):
+        changed = edit_trips(t, spark, sf_dir)["changed"]
+        W.update(name, changed, "ScheduleID", W.month_of("DepartureTime"))
+
+    def cancel_stored_bookings(t, spark, sf_dir, name):
+        changed = cancel(t, spark, sf_dir)["bookings"]
+        W.update(name, changed, "BookingID", W.month_of("BookingDate"))
+
+    def delete_stored_trips(t, spark, sf_dir, name):
+        gone = C.delete_schedules(t, free_trips(t))["deleted"]
+        W.delete(name, gone, "ScheduleID")
 
     def edit_users(t, spark, sf_dir):
         return D.update_rows(t, "Users", K.user_changes(spark, sf_dir))
@@ -270,10 +300,16 @@ def job_queries() -> dict[str, Query]:
         q[f"m09_{table.lower()}_rejects"] = _job("rejects", delete(table))
     q["m09_trains_rejects"] = _job("rejects", delete("Trains", "2001-07-15 00:00:00"), AS_OF)
     q["m10_rejects"] = _job("rejects", lambda t, spark, sf_dir: C.delete_schedules(t, None))
-    stored("w01_appended_schedules", lambda spark, sf_dir: star_tables(spark, sf_dir, JOB_AS_OF)[
-        "Schedules"].unionByName(q["m07_schedules"](spark, sf_dir)))
-    stored("w02_updated_users", q["m08_users"])
-    stored("w03_remaining_schedules", q["m10_delete_free"])
+    month = W.month_of("DepartureTime")
+    q["w01_appended_schedules"] = stored("Schedules", month, add_stored_trips)
+    q["w02_updated_users"] = stored(
+        "Users", W.key_block("UserID"), update_stored_users, drop=("PasswordHash",)
+    )
+    q["w02_updated_schedules"] = stored("Schedules", month, update_stored_trips)
+    q["w02_updated_bookings"] = stored(
+        "Bookings", W.month_of("BookingDate"), cancel_stored_bookings
+    )
+    q["w03_remaining_schedules"] = stored("Schedules", month, delete_stored_trips)
     q["m12_generated_seats"] = _on(lambda t: C.generate_seats(t["Coaches"]))
     q["m13_double_booked_seats"] = _on(B.double_booked_seats)
     q["m14_cancelled_tickets"] = _on(B.cancelled_tickets)

@@ -93,7 +93,7 @@ def delete_schedules(t: Tables, ids) -> dict[str, DataFrame]:
     """Deletes a batch of schedules, or none of them if any has an Active booking.
 
     ``ids`` is a list or a DataFrame with the ids in its first column. Returns the
-    remaining table and the refused ids.
+    remaining table, the deleted and the refused ids.
     """
     batch = keep_ids(t["Schedules"].select("ScheduleID"), "ScheduleID", ids)
     active = t["Bookings"].filter(F.col("BookingStatus") == "Active")
@@ -102,6 +102,7 @@ def delete_schedules(t: Tables, ids) -> dict[str, DataFrame]:
     gone = batch.filter(F.lit(not blocked))
     return {
         "schedules": t["Schedules"].join(gone, "ScheduleID", "left_anti"),
+        "deleted": gone,
         "rejects": batch.filter(F.lit(blocked)).withColumn(
             "reason", F.lit(msg.SCHEDULE_HAS_BOOKINGS)
         ),

@@ -150,7 +150,7 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
     columns, names an unknown foreign key, or takes a unique value that another row has at that
     time: from the start, or by an earlier change. A value that an earlier change has freed can
     be taken; a refused change affects no row and blocks no other. Returns
-    the whole new table, the rows affected per request, and the rejects.
+    the whole new table, its changed rows, the rows affected per request, and the rejects.
     """
     spec = TABLES[table]
     unauthorised = None
@@ -216,7 +216,8 @@ def update_rows(t: Tables, table: str, changes: DataFrame) -> dict[str, DataFram
     if unauthorised is not None:
         refused = refused.unionByName(reject(unauthorised, msg.NO_RIGHTS))
     updated = t[table].join(last, spec.key, "left").select(*table_columns)
-    return {"rows": updated, "affected": affected, "rejects": refused}
+    changed = t[table].join(last, spec.key).select(*table_columns)
+    return {"rows": updated, "changed": changed, "affected": affected, "rejects": refused}
 
 
 def soft_delete(t: Tables, table: str, commands: DataFrame, as_of) -> dict[str, DataFrame]:

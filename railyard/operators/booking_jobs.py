@@ -238,24 +238,22 @@ def cancel_bookings(t: Tables, commands: DataFrame, as_of) -> dict[str, DataFram
     allowed, unauthorised = split_authorised(t, commands)
     trips = t.hint(refund_by_schedule(t, as_of), "Schedules")
     bookings = t["Bookings"].join(trips, "ScheduleID").withColumnRenamed("BookingID", "booking_id")
-    state = bookings.select("booking_id", "BookingStatus", "HoursLeft")
     code, why = first_failure(
         (F.col("BookingStatus").isNull(), msg.NO_BOOKING_TO_CANCEL),
         (F.col("BookingStatus") != "Active", msg.BOOKING_NOT_ACTIVE),
         (F.col("HoursLeft") < 0, msg.ALREADY_DEPARTED),
     )
-    judged = allowed.join(state, "booking_id", "left").select(
-        "request_id", "booking_id", "reason", code.alias("code"), why.alias("why")
+    # the bookings are read once: every output comes from the commands with their bookings
+    judged = cut(
+        allowed.withColumnRenamed("reason", "asked_reason")
+        .join(bookings, "booking_id", "left")
+        .select("*", code.alias("code"), why.alias("why"))
     )
     good = judged.filter(F.col("why").isNull())
-    first = good.groupBy("booking_id").agg(
-        F.min(F.struct("request_id", "reason")).alias("command")
-    )
-    second = good.join(
-        first.select("booking_id", F.col("command.request_id").alias("first")), "booking_id"
-    ).filter(F.col("request_id") != F.col("first"))
-
-    hit = bookings.join(first, "booking_id")
+    first = good.groupBy("booking_id").agg(F.min("request_id").alias("first"))
+    ranked = good.join(first, "booking_id")
+    second = ranked.filter(F.col("request_id") != F.col("first"))
+    hit = ranked.filter(F.col("request_id") == F.col("first"))
     changed = hit.select(
         F.col("booking_id").alias("BookingID"),
         "BookingCode",
@@ -268,19 +266,18 @@ def cancel_bookings(t: Tables, commands: DataFrame, as_of) -> dict[str, DataFram
         .alias("PaymentStatus"),
         F.lit("Cancelled").alias("BookingStatus"),
         instant(as_of).alias("CancelledAt"),
-        F.col("command.reason").alias("CancellationReason"),
+        F.col("asked_reason").alias("CancellationReason"),
     )
     done = hit.select(F.col("booking_id").alias("BookingID"), "ScheduleID")
-    own = t["Tickets"].join(done, "BookingID")
+    held = F.col("TicketStatus").isin("Valid", "Cancelled")
+    own = cut(t["Tickets"].filter(held).join(done, "BookingID"))
     tickets = (
         own.filter(F.col("TicketStatus") == "Valid")
         .withColumn("TicketStatus", F.lit("Cancelled"))
         .select(*t["Tickets"].columns)
     )
     restored = (
-        own.filter(F.col("TicketStatus").isin("Valid", "Cancelled"))
-        .groupBy("ScheduleID")
-        .agg(F.count(F.lit(1)).alias("n"))
+        own.groupBy("ScheduleID").agg(F.count(F.lit(1)).alias("n"))
     )
     schedules = (
         t["Schedules"]
@@ -306,9 +303,7 @@ def cancel_bookings(t: Tables, commands: DataFrame, as_of) -> dict[str, DataFram
         )
         .unionByName(reject(second, msg.BOOKING_NOT_ACTIVE))
     )
-    refunds = hit.select(
-        F.col("command.request_id").alias("request_id"), "booking_id", "RefundPercentage"
-    )
+    refunds = hit.select("request_id", "booking_id", "RefundPercentage")
     return {
         "bookings": changed,
         "refunds": refunds,
@@ -329,7 +324,7 @@ def cancel_schedules(
     stay as they are, unless ``cascade`` also cancels the tickets.
     """
     allowed, unauthorised = split_authorised(t, commands)
-    runs = allowed.withColumnRenamed("schedule_id", "ScheduleID")
+    runs = cut(allowed.withColumnRenamed("schedule_id", "ScheduleID"))
     first = runs.groupBy("ScheduleID").agg(
         F.min_by(F.struct("reason"), "request_id").alias("command")
     )
@@ -338,10 +333,9 @@ def cancel_schedules(
         .join(first, "ScheduleID", "left_semi")
         .withColumn("Status", F.lit("Cancelled"))
     )
+    met = cut(t["Bookings"].join(first, "ScheduleID"))  # read once for both outputs
     bookings = (
-        t["Bookings"]
-        .filter(F.col("BookingStatus") == "Active")
-        .join(first, "ScheduleID")
+        met.filter(F.col("BookingStatus") == "Active")
         .withColumn("BookingStatus", F.lit("Cancelled"))
         .withColumn("CancelledAt", instant(as_of))
         .withColumn("CancellationReason", F.col("command.reason"))
@@ -355,7 +349,7 @@ def cancel_schedules(
         .join(trains, "TrainID")
         .select("ScheduleID", F.concat(before, "TrainCode", between, "reason").alias("text"))
     )
-    told = t["Bookings"].select("UserID", "BookingID", "ScheduleID").join(texts, "ScheduleID")
+    told = met.select("UserID", "BookingID", "ScheduleID").join(texts, "ScheduleID")
     sent = notices(told, "Cancellation", F.lit(msg.TRIP_CANCELLED_TITLE), F.col("text"), as_of)
     out = {
         "schedules": schedules,

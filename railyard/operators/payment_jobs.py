@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import messages as msg
 from ..functions.exprs import instant
 from ..functions.ids import next_id, number_rows
+from ..plans.checkpoints import cut
 from ..plans.tables import Tables
 from .notices import first_failure, notices
 
@@ -71,8 +72,11 @@ def process_payments(t: Tables, attempts: DataFrame, as_of) -> dict[str, DataFra
         (F.col("BookingStatus").isNull(), msg.NO_BOOKING_TO_PAY),
         (F.col("BookingStatus") != "Active", msg.NOT_ACTIVE_TO_PAY),
     )
-    judged = attempts.join(bookings, "booking_id", "left").select(
-        "*", code.alias("code"), why.alias("why")
+    # bookings and payments are read once: every output comes from these two written steps
+    judged = cut(
+        attempts.join(bookings, "booking_id", "left").select(
+            "*", code.alias("code"), why.alias("why")
+        )
     )
     good = judged.filter(F.col("why").isNull()).drop("code", "why")
 
@@ -88,18 +92,20 @@ def process_payments(t: Tables, attempts: DataFrame, as_of) -> dict[str, DataFra
     latest = (
         t["Payments"]
         .groupBy(F.col("BookingID").alias("booking_id"))
-        .agg(F.max("PaymentID").alias("PaymentID"))
+        .agg(F.max(F.struct("PaymentID", "PaymentMethod")).alias("_payment"))
+        .select("booking_id", "_payment.*")
     )
-    target = per_booking.join(latest, "booking_id", "left")
-    unpaid = target.filter(F.col("PaymentID").isNull()).drop("PaymentID")
+    target = cut(per_booking.join(latest, "booking_id", "left"))
+    unpaid = target.filter(F.col("PaymentID").isNull()).drop("PaymentID", "PaymentMethod")
     start = next_id(t["Payments"], "PaymentID") - 1
     logged = number_rows(unpaid, "first").withColumn("PaymentID", F.col("_n") + F.lit(start))
 
-    def result(rows: DataFrame) -> DataFrame:
+    def result(rows: DataFrame, method: Column) -> DataFrame:
         won = F.coalesce(F.col("last.response_code") == SUCCESS_CODE, F.lit(False))
         return rows.select(
             "PaymentID",
             F.col("booking_id").alias("BookingID"),
+            method.alias("PaymentMethod"),
             F.col("last.transaction_id").alias("TransactionID"),
             F.col("amount").alias("Amount"),
             F.when(won, instant(as_of)).alias("PaymentDate"),
@@ -108,13 +114,14 @@ def process_payments(t: Tables, attempts: DataFrame, as_of) -> dict[str, DataFra
             F.when(won, msg.PAYMENT_OK).otherwise(msg.PAYMENT_FAILED).alias("ResponseMessage"),
         )
 
-    methods = t["Payments"].select("PaymentID", "PaymentMethod")
+    no_method = F.lit(None).cast("string")
     columns = t["Payments"].columns
-    updated = result(target.filter(F.col("PaymentID").isNotNull())).join(methods, "PaymentID")
-    retried = result(logged.filter(F.col("last.request_id") > F.col("first")))
+    updated = result(target.filter(F.col("PaymentID").isNotNull()), F.col("PaymentMethod"))
+    retried = result(logged.filter(F.col("last.request_id") > F.col("first")), no_method)
     only_logged = logged.filter(F.col("last.request_id") == F.col("first")).select(
         "PaymentID",
         F.col("booking_id").alias("BookingID"),
+        no_method.alias("PaymentMethod"),
         F.col("first_txn").alias("TransactionID"),
         F.col("amount").alias("Amount"),
         instant(as_of).alias("PaymentDate"),
@@ -122,9 +129,7 @@ def process_payments(t: Tables, attempts: DataFrame, as_of) -> dict[str, DataFra
         F.lit("99").alias("ResponseCode"),
         F.lit(msg.NO_PAYMENT[1]).alias("ResponseMessage"),
     )
-    log_rows = retried.unionByName(only_logged).withColumn(
-        "PaymentMethod", F.lit(None).cast("string")
-    )
+    log_rows = retried.unionByName(only_logged)
 
     # an attempt counts unless it is the one that found no payment
     refused_first = unpaid.select("booking_id", F.col("first").alias("refused"))

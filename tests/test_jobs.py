@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from railyard import messages as msg
 from railyard.functions import exprs, lookups
 from railyard.operators import booking_jobs, lifecycle_jobs, master_data, payment_jobs, quality
+from railyard.plans.outputs import write_together
 from railyard.sources.seed import seed_tables
 
 CANCEL_TRIP = "request_id bigint, schedule_id bigint, reason string, admin_id bigint"
@@ -441,3 +442,19 @@ def test_admins_must_be_active(spark, seed):
     commands = spark.createDataFrame([(1, ADMIN), (2, None)], "request_id bigint, admin_id bigint")
     may, may_not = lookups.split_authorised(t, commands)
     assert rows(may, "request_id") == [(2,)] and rows(may_not, "request_id") == [(1,)]
+
+
+def test_a_job_runs_once_for_all_outputs(spark, booked):
+    """One write gives what the outputs give one by one, with their counts."""
+    commands = [(1, 1, "ill", None), (2, 1, "late", None), (3, 99, "none", None)]
+    out = booking_jobs.cancel_bookings(booked, spark.createDataFrame(commands, CANCEL), AS_OF)
+    frames, counts = write_together(out)
+    assert set(frames) == set(out)
+    for name, df in out.items():
+        assert frames[name].schema.simpleString() == df.schema.simpleString(), name
+        assert sorted(map(str, rows(frames[name]))) == sorted(map(str, rows(df))), name
+        assert counts[name] == df.count(), name
+    assert (counts["bookings"], counts["rejects"]) == (1, 2)
+    nothing = booking_jobs.cancel_bookings(booked, spark.createDataFrame([], CANCEL), AS_OF)
+    frames, counts = write_together(nothing)
+    assert not any(counts.values()) and all(df.isEmpty() for df in frames.values())

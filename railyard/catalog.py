@@ -63,7 +63,7 @@ def report_queries() -> dict[str, Query]:
     q["q06c_revenue_summary_by_method"] = _on(R.revenue_summary_by_method, YEAR)
     q["q07b_dashboard_days"] = _on(R.dashboard_days, AS_OF, 30)
     q["q07c_dashboard_top_routes"] = _on(R.dashboard_top_routes, AS_OF, 30)
-    q["q07d_dashboard_latest"] = _on(R.dashboard_latest)
+    q["q07d_dashboard_latest"] = _on(R.dashboard_latest, AS_OF)
     q["q09_seat_class_analytics"] = _on(R.seat_class_analytics, START, END)
     q["q10_train_utilization"] = _on(R.train_utilization, START, END)
     q["q12_customer_segmentation"] = _on(R.customer_segmentation)
@@ -199,12 +199,12 @@ def job_queries() -> dict[str, Query]:
 
     def stored(table: str, part, change, as_of: str = JOB_AS_OF, drop: tuple = ()) -> Query:
         """A stored, partitioned table after ``change``, which is called with the tables, the
-        session, the folder and the stored table's name."""
+        session, the folder and the stored table's name; ``part`` gives the partition."""
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             t = star_tables(spark, sf_dir, as_of)
             name = f"stored_{uuid.uuid4().hex}"
-            W.create(t[table].drop(*drop), name, part, scratch_dir(spark, "table"))
+            W.create(t[table].drop(*drop), name, part(), scratch_dir(spark, "table"))
             change(t, spark, sf_dir, name)
             return W.read(spark, name)
 
@@ -300,14 +300,16 @@ def job_queries() -> dict[str, Query]:
         q[f"m09_{table.lower()}_rejects"] = _job("rejects", delete(table))
     q["m09_trains_rejects"] = _job("rejects", delete("Trains", "2001-07-15 00:00:00"), AS_OF)
     q["m10_rejects"] = _job("rejects", lambda t, spark, sf_dir: C.delete_schedules(t, None))
-    month = W.month_of("DepartureTime")
+    def month():
+        return W.month_of("DepartureTime")
+
     q["w01_appended_schedules"] = stored("Schedules", month, add_stored_trips)
     q["w02_updated_users"] = stored(
-        "Users", W.key_block("UserID"), update_stored_users, drop=("PasswordHash",)
+        "Users", lambda: W.key_block("UserID"), update_stored_users, drop=("PasswordHash",)
     )
     q["w02_updated_schedules"] = stored("Schedules", month, update_stored_trips)
     q["w02_updated_bookings"] = stored(
-        "Bookings", W.month_of("BookingDate"), cancel_stored_bookings
+        "Bookings", lambda: W.month_of("BookingDate"), cancel_stored_bookings
     )
     q["w03_remaining_schedules"] = stored("Schedules", month, delete_stored_trips)
     q["m12_generated_seats"] = _on(lambda t: C.generate_seats(t["Coaches"]))

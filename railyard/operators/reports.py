@@ -339,29 +339,46 @@ def dashboard_top_routes(t: Tables, as_of, days: int = 30, top_n: int = 5) -> Da
     return by_route.orderBy(F.desc("Revenue"), "RouteCode").limit(top_n)
 
 
-def dashboard_latest(t: Tables, top_n: int = 10) -> DataFrame:
+# days of the longest slice that is tried before all bookings
+LONGEST_SLICE = 40_000
+
+
+def dashboard_latest(t: Tables, as_of=None, top_n: int = 10) -> DataFrame:
     """Latest bookings over all dates, by booking date and then booking id.
 
     A booking qualifies only if its customer exists. That is a semi join on the id; names
-    are fetched for the few top rows alone.
+    are fetched for the few top rows alone. With ``as_of``, which need not be near the latest
+    booking, slices of days are tried until enough bookings qualify: those from one day
+    before it on, from four days, sixteen and so on, and last all. The file statistics skip
+    what lies before a slice, so an answer reads the latest one only.
     """
     users = t.hint(t["Users"].select("UserID", "FullName"), "Users")
     trips = trips_for(t, "TrainCode", "DepartureStation", "ArrivalStation")
-    bookings = t["Bookings"].select(
-        "BookingID",
-        "BookingCode",
-        "UserID",
-        "ScheduleID",
-        "TotalAmount",
-        "BookingStatus",
-        "BookingDate",
-    )
-    latest = (
-        bookings.join(trips, "ScheduleID")
-        .join(users.select("UserID"), "UserID", "left_semi")
-        .orderBy(F.desc("BookingDate"), F.desc("BookingID"))
-        .limit(top_n)
-    )
+
+    def qualified(bookings: DataFrame) -> DataFrame:
+        return (
+            bookings.select(
+                "BookingID",
+                "BookingCode",
+                "UserID",
+                "ScheduleID",
+                "TotalAmount",
+                "BookingStatus",
+                "BookingDate",
+            )
+            .join(trips, "ScheduleID")
+            .join(users.select("UserID"), "UserID", "left_semi")
+        )
+
+    rows = qualified(t["Bookings"])
+    days = 1
+    while as_of is not None and days <= LONGEST_SLICE:
+        part = qualified(t.days("Bookings", "BookingDate", _dashboard_start(as_of, days), None))
+        if part.select("BookingID").limit(top_n).count() == top_n:
+            rows = part
+            break
+        days *= 4
+    latest = rows.orderBy(F.desc("BookingDate"), F.desc("BookingID")).limit(top_n)
     return (
         users.join(F.broadcast(latest), "UserID")
         .orderBy(F.desc("BookingDate"), F.desc("BookingID"))

@@ -1,7 +1,10 @@
 """Constraint checks, the store, streams and the shape of the plans."""
 
 import datetime as dt
+import os
 import re
+import subprocess
+import sys
 import uuid
 
 import pytest
@@ -13,6 +16,7 @@ from railyard.operators import booking_jobs, lifecycle_jobs, payment_jobs, quali
 from railyard.plans.checkpoints import scratch_dir
 from railyard.sources import store
 from railyard.sources.seed import seed_tables
+from railyard.sources.star import star_tables
 from railyard.streaming import jobs as streams
 
 SF = "/root/testdata/sf0.001"
@@ -319,3 +323,21 @@ def test_reminders_wait_for_their_time(spark, booked):
         (105, leaves - 12 * hour, leaves - 2 * hour),
     ]
     assert state_rows(query) == 0
+
+
+def test_latest_bookings_read_the_latest_slice(spark, booked):
+    """Ten rows come from the last days; too few of them bring in all bookings."""
+    text = physical(reports.dashboard_latest(star_tables(spark, SF), "2001-01-01"))
+    pushed = re.findall(r"GreaterThanOrEqual\(o_orderdate,(\d{4}-\d\d)", text)
+    assert pushed and all(day > "1998" for day in pushed)
+    every = rows(reports.dashboard_latest(booked))
+    assert len(every) == booked["Bookings"].count() == 3
+    for as_of in ("2025-11-06", "2030-01-01", "1990-01-01"):
+        assert rows(reports.dashboard_latest(booked, as_of)) == every
+        assert rows(reports.dashboard_latest(booked, as_of, 2)) == every[:2]
+
+
+def test_queries_are_named_without_a_session():
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 150"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root)

@@ -132,6 +132,71 @@ new AS (
     (SELECT max(BookingID) FROM Bookings) + row_number() OVER (ORDER BY request_id) AS BookingID
   FROM sold GROUP BY request_id, UserID, sched)
 """
+CHECKED = """
+places AS (SELECT TrainID, list(SeatID ORDER BY SeatID) AS own
+  FROM Seats JOIN Coaches USING (CoachID) GROUP BY TrainID),
+orders_of AS (
+  SELECT o.k AS request_id, o.c, if(o.k % 31 <> 9, o.trip, NULL) AS sched, p.own,
+    if(o.k % 13 = 5, -o.c, if(o.k % 37 <> 1, o.c, NULL)) AS UserID,
+    if(o.k % 7 = 2, 'Cheque', if(o.k % 23 = 8, NULL, 'VNPay')) AS method
+  FROM (SELECT o_orderkey AS k, o_custkey AS c,
+      ((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1)::BIGINT * 10 + o_custkey % 10 AS trip
+    FROM orders) o LEFT JOIN Schedules s ON s.ScheduleID = o.trip LEFT JOIN places p USING (TrainID)),
+asked AS (
+  SELECT request_id, UserID, sched, method,
+    CASE WHEN request_id % 29 = 7 THEN []::BIGINT[] ELSE list_concat([
+      CASE WHEN request_id % 19 = 6 THEN request_id + 1000000000
+        WHEN request_id % 3 = 0 THEN request_id % 40 ELSE own[request_id % len(own) + 1] END,
+      if(request_id % 17 = 4, NULL, own[c // 10 % len(own) + 1])],
+      if(request_id % 5 = 1, [own[(request_id + c) % len(own) + 1]], []::BIGINT[])) END AS seats,
+    CASE WHEN request_id % 29 = 7 THEN []::VARCHAR[] WHEN request_id % 11 = 3 THEN ['An']
+      WHEN request_id % 5 = 1 THEN ['An', 'Binh', 'Chi'] ELSE ['An', 'Binh'] END AS names
+  FROM orders_of),
+held AS (SELECT DISTINCT b.ScheduleID AS sched, tk.SeatID FROM Tickets tk
+  JOIN Bookings b ON tk.BookingID = b.BookingID
+  WHERE b.BookingStatus = 'Active' AND tk.TicketStatus = 'Valid'),
+singles AS (
+  SELECT request_id, sched, generate_subscripts(seats, 1) AS pos, unnest(seats) AS SeatID FROM asked),
+seen AS (
+  SELECT x.request_id, bool_or(st.SeatID IS NULL) AS unknown,
+    bool_or(c.TrainID IS DISTINCT FROM s.TrainID) AS elsewhere, bool_or(h.SeatID IS NOT NULL) AS taken
+  FROM singles x LEFT JOIN Seats st ON st.SeatID = x.SeatID LEFT JOIN Coaches c ON c.CoachID = st.CoachID
+  LEFT JOIN Schedules s ON s.ScheduleID = x.sched
+  LEFT JOIN held h ON h.sched = x.sched AND h.SeatID = x.SeatID GROUP BY x.request_id),
+judged AS (
+  SELECT a.*, s.BasePrice, CASE
+    WHEN s.ScheduleID IS NULL THEN 'trip'
+    WHEN date_diff('hour', TIMESTAMP '1997-01-09 08:30:00', s.DepartureTime) < 2 THEN 'late'
+    WHEN a.UserID IS NOT NULL AND a.UserID NOT IN (SELECT UserID FROM Users) THEN 'user'
+    WHEN len(a.seats) <> len(a.names) THEN 'lists'
+    WHEN len(list_filter(a.seats, lambda x: x IS NULL)) > 0 THEN 'seat'
+    WHEN len(list_distinct(a.seats)) < len(a.seats) THEN 'taken'
+    WHEN a.method = 'Cheque' THEN 'method'
+    WHEN v.unknown THEN 'seat' WHEN v.elsewhere THEN 'train' WHEN v.taken THEN 'taken' END AS fault
+  FROM asked a LEFT JOIN Schedules s ON s.ScheduleID = a.sched AND s.Status = 'Scheduled'
+  LEFT JOIN seen v ON v.request_id = a.request_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY sched ORDER BY request_id) AS nth
+  FROM judged WHERE fault IS NULL),
+walk AS (
+  SELECT DISTINCT sched, 0::BIGINT AS nth, []::BIGINT[] AS taken, NULL::BIGINT AS request_id,
+    false AS won FROM ranked
+  UNION ALL
+  SELECT w.sched, r.nth, CASE WHEN list_has_any(w.taken, r.seats) THEN w.taken
+      ELSE list_concat(w.taken, r.seats) END, r.request_id, NOT list_has_any(w.taken, r.seats)
+  FROM walk w JOIN ranked r ON r.sched = w.sched AND r.nth = w.nth + 1),
+won AS (
+  SELECT r.*, row_number() OVER (ORDER BY request_id) AS n,
+    (SELECT max(BookingID) FROM Bookings) + row_number() OVER (ORDER BY request_id) AS BookingID
+  FROM ranked r WHERE request_id IN (SELECT request_id FROM walk WHERE won)),
+sold AS (
+  SELECT w.request_id, w.BookingID, w.sched, x.pos, x.SeatID, w.names[x.pos] AS PassengerName,
+    (w.BasePrice * sc.PriceMultiplier)::DECIMAL(10,2) AS price
+  FROM won w JOIN singles x ON x.request_id = w.request_id JOIN Seats st ON st.SeatID = x.SeatID
+  JOIN Coaches c ON st.CoachID = c.CoachID JOIN SeatClasses sc ON c.SeatClassID = sc.SeatClassID),
+new AS (
+  SELECT w.*, coalesce(t.total, 0)::DECIMAL(10,2) AS total FROM won w
+  LEFT JOIN (SELECT request_id, sum(price) AS total FROM sold GROUP BY request_id) t USING (request_id))
+"""
 CLAIMS = """
 claims AS (
   SELECT c.*, CASE WHEN coalesce(s.Status, '') <> 'Scheduled' THEN 50001 END::INTEGER AS code,
@@ -567,6 +632,55 @@ FROM (SELECT request_id, coalesce(code, 50003) AS code FROM judged
         BOOK,
         EARLY,
     )
+    add(
+        "m01_checked_bookings",
+        """SELECT BookingID, 'BK19970109' || lpad((n + 69)::VARCHAR,
+    greatest(5, length((n + 69)::VARCHAR))::INTEGER, '0') AS BookingCode, UserID,
+  sched AS ScheduleID, TIMESTAMP '1997-01-09 08:30:00' AS BookingDate, total AS TotalAmount,
+  'Pending' AS PaymentStatus, 'Active' AS BookingStatus, NULL::TIMESTAMP AS CancelledAt,
+  NULL::VARCHAR AS CancellationReason FROM new""",
+        CHECKED,
+        EARLY,
+    )
+    add(
+        "m01_checked_tickets",
+        """SELECT (row_number() OVER (ORDER BY BookingID, pos))::VARCHAR AS TicketID,
+  BookingID, SeatID, PassengerName, NULL::VARCHAR AS PassengerIDNumber,
+  NULL::VARCHAR AS PassengerPhone, price AS TicketPrice, 'Valid' AS TicketStatus FROM sold""",
+        CHECKED,
+        EARLY,
+    )
+    add(
+        "m01_checked_payments",
+        """SELECT (SELECT max(PaymentID) FROM Payments) + n AS PaymentID, BookingID,
+  method AS PaymentMethod, NULL::VARCHAR AS TransactionID, total AS Amount,
+  TIMESTAMP '1997-01-09 08:30:00' AS PaymentDate, 'Pending' AS PaymentStatus,
+  NULL::VARCHAR AS ResponseCode, NULL::VARCHAR AS ResponseMessage FROM new""",
+        CHECKED,
+        EARLY,
+    )
+    add(
+        "m01_checked_schedules",
+        f"""SELECT {S_COLS.format(seats='(s.AvailableSeats - x.n)::INTEGER')} FROM Schedules s
+JOIN (SELECT sched, count(*) AS n FROM sold GROUP BY sched) x ON x.sched = s.ScheduleID""",
+        CHECKED,
+        EARLY,
+    )
+    add(
+        "m01_checked_rejects",
+        """SELECT request_id,
+  CASE fault WHEN 'trip' THEN 50001 WHEN 'lists' THEN 50002 WHEN 'taken' THEN 50003 END::INTEGER AS code,
+  CASE fault WHEN 'trip' THEN 'Lịch trình không tồn tại hoặc đã bị hủy.'
+    WHEN 'late' THEN 'Không thể đặt vé cho chuyến tàu khởi hành trong vòng 2 giờ'
+    WHEN 'lists' THEN 'Số lượng ghế và hành khách không khớp.'
+    WHEN 'taken' THEN 'Một trong các ghế đã được đặt.'
+    WHEN 'user' THEN 'unknown UserID' WHEN 'seat' THEN 'unknown SeatID'
+    WHEN 'train' THEN 'seat of another train' WHEN 'method' THEN 'unknown PaymentMethod' END AS reason
+FROM (SELECT request_id, coalesce(fault, 'taken') AS fault FROM judged
+  WHERE request_id NOT IN (SELECT request_id FROM new))""",
+        CHECKED,
+        EARLY,
+    )
     # the streams see the same rows as the batch jobs
     out["s03_bookings"] = out["m01_bookings"]
     out["s03_rejects"] = out["m01_rejects"]

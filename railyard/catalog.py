@@ -31,6 +31,7 @@ REFUND_AS_OF = JOB_AS_OF = "1998-06-15 09:30:00"
 REMIND_AS_OF = "1998-07-18 12:00:00"
 # seen from here every trip is still ahead
 EARLY = "1990-01-01 00:00:00"
+MIDWAY = "1997-01-09 08:30:00"
 NOTICE_START, NOTICE_END = "2024-01-01", "2024-01-31"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,6 +160,15 @@ def job_queries() -> dict[str, Query]:
             done[memo] = B.create_bookings(t, K.booking_requests(spark, sf_dir), EARLY)
         return done[memo]
 
+    def create_checked(t, spark, sf_dir):
+        # seen early every trip is open, by the time of the job half of them have left
+        memo = (spark.sparkContext.applicationId, shared_dir(spark), sf_dir, "checked")
+        if memo not in done:
+            asked = K.mixed_booking_requests(t, spark, sf_dir)
+            rules = {"check_train": True, "refuse_late": True, "first_code": 70}
+            done[memo] = B.create_bookings(t, asked, MIDWAY, **rules)
+        return done[memo]
+
     def cancel(t, spark, sf_dir):
         return B.cancel_bookings(t, K.cancel_commands(spark, sf_dir), JOB_AS_OF)
 
@@ -249,6 +259,7 @@ def job_queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     for part in ("bookings", "tickets", "payments", "schedules", "rejects"):
         q[f"m01_{part}"] = _job(part, create, EARLY)
+        q[f"m01_checked_{part}"] = _job(part, create_checked, EARLY)
     for part in ("bookings", "refunds", "tickets", "schedules", "notifications", "rejects"):
         q[f"m02_{part}"] = _job(part, cancel)
     for part in ("schedules", "bookings", "notifications", "rejects"):

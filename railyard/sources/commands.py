@@ -34,6 +34,40 @@ def booking_requests(spark: SparkSession, sf_dir: str, read=read_star) -> DataFr
     )
 
 
+def mixed_booking_requests(t: Tables, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests for one to three seats of the trip's own train, many of them faulty: lists of
+    different length, unknown users, trips, seats and methods, seats that are no number, seats
+    of another train and none at all."""
+    o, c = F.col("o_orderkey"), F.col("o_custkey")
+    coaches = t["Coaches"].select("CoachID", "TrainID")
+    # a train's seats are as many as it has places, whatever the number of requests
+    own = t["Seats"].join(coaches, "CoachID").groupBy("TrainID").agg(
+        F.array_sort(F.collect_list("SeatID")).alias("own")
+    )
+    trips = t["Schedules"].select("ScheduleID", "TrainID").join(own, "TrainID").drop("TrainID")
+    asked = read_star(spark, sf_dir, "orders").withColumn("ScheduleID", schedule_of(F.col("o_orderdate"), c))
+
+    def seat(place):
+        # no number on a train without seats
+        found = F.get("own", (place % F.size("own")).cast("int")).cast("string")
+        return F.coalesce(found, F.lit("-"))
+
+    first = F.when(o % 19 == 6, o + 10**9).when(o % 3 == 0, o % 40).cast("string")
+    second = F.when(o % 17 == 4, "x7").otherwise(seat(F.floor(c / 10)))
+    third = F.when(o % 5 == 1, seat(o + c))
+    seats = F.array_compact(F.array(F.coalesce(first, seat(o)), second, third))
+    names = F.when(o % 11 == 3, "An").when(o % 5 == 1, "An, Binh , Chi").otherwise("An,Binh")
+    nothing = o % 29 == 7
+    return asked.join(trips, "ScheduleID", "left").select(
+        o.alias("request_id"),
+        F.when(o % 13 == 5, -c).when(o % 37 != 1, c).alias("user_id"),
+        F.when(o % 31 != 9, F.col("ScheduleID")).alias("schedule_id"),
+        F.when(~nothing, F.array_join(seats, ", ")).alias("seat_ids"),
+        F.when(~nothing, names).alias("passenger_names"),
+        F.when(o % 7 == 2, "Cheque").when(o % 23 == 8, None).otherwise("VNPay").alias("payment_method"),
+    )
+
+
 def seat_claims(spark: SparkSession, sf_dir: str, read=read_star) -> DataFrame:
     """Every order claims one of the first forty seats on its trip."""
     o, at = F.col("o_orderkey"), F.col("o_orderdate")

@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # fixed values
 BAD_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 64 << 10  # so small that every given table splits
 WORD_MODEL = "word_bpe_49k.json"
 BYTE_MODEL = "byte_bpe_50k.json"
 
@@ -179,14 +179,19 @@ ORACLE_SQL = {
             FROM sized),
         sums AS (
             SELECT substr(b, 1, d) AS prefix, d, sum(n_bytes) AS total
-            FROM bits, range(0, 17) AS depths(d) GROUP BY ALL),
+            FROM bits, range(0, 17) AS depths(d) WHERE n_bytes <= {SHARD_BYTES} GROUP BY ALL),
         leaf AS (
             SELECT doc_id, n_bytes, prefix, d, total,
                    row_number() OVER (PARTITION BY doc_id, b ORDER BY d) AS place
-            FROM bits JOIN sums ON starts_with(b, prefix) WHERE total <= {SHARD_BYTES})
+            FROM (SELECT *, unnest(range(0, 17)) AS d FROM bits)
+            JOIN sums USING (d) WHERE prefix = substr(b, 1, d) AND total <= {SHARD_BYTES} AND n_bytes <= {SHARD_BYTES})
         SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, prefix AS shard, CAST(d AS INTEGER) AS depth,
                CAST(total AS BIGINT) AS shard_bytes
-        FROM leaf WHERE place = 1""",
+        FROM leaf WHERE place = 1
+        UNION ALL
+        SELECT doc_id, n_bytes, array_to_string(list_transform(range(1, 33), lambda i:
+                   right('000' || bin(strpos('0123456789abcdef', h[i]) - 1), 4)), ''), 128, n_bytes
+        FROM bits WHERE n_bytes > {SHARD_BYTES}""",
     "op11_lexical_search": r"""
         WITH words AS (
             SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),

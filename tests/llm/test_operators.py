@@ -321,6 +321,19 @@ def test_one_key_splits_by_row(spark):
     assert sharding.shard(documents(spark, []), F.col("doc_id"), F.lit(1), 10).count() == 0
 
 
+def test_rows_above_the_limit_are_alone_and_other_columns_stay(spark):
+    rows = [(1, "a" * 70), (1, "a" * 70), (2, "b" * 61), (3, "c" * 60), (4, ""), (None, None), (None, "d" * 99)]
+    d = documents(spark, rows, extra="path").withColumn("bits", F.lit("own")).withColumn("d", F.col("text"))
+    got = sharding.shard(d, F.col("doc_id"), F.octet_length("text"), 60).collect()
+    assert len(got) == len(rows) and {(r.path, r.bits) for r in got} == {("mine", "own")}
+    assert all(r.d == r.text for r in got)
+    large = [r for r in got if r.n_bytes > 60]
+    assert len({r.shard for r in large}) == len(large) == 4
+    assert {(r.depth, r.shard_bytes == r.n_bytes) for r in large} == {(128, True)}
+    # the others fit one bucket, as large rows take no part in the sums
+    assert {(r.shard, r.depth, r.shard_bytes) for r in got if r.n_bytes <= 60} == {("", 0, 60)}
+
+
 # ---------------------------------------------------------------- op7
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><article>";</script></head><body class="page">
 <nav><ul><li><a href="/a">menu</a></li></ul></nav><header>Site</header><div class="cookie-notice">cookies</div>

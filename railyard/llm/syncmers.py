@@ -25,7 +25,7 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def anchors(text: Column, positions: bool = True) -> Column:
-    """The chosen anchors in text order: struct(position, hash), or their hashes alone.
+    """The chosen anchors in text order: struct(position, 64-bit hash), or their hashes alone.
 
     A text with fewer than K words, or in which none is chosen, has one anchor over all its
     words; a text without words, and null, has none.
@@ -44,7 +44,7 @@ def anchors(text: Column, positions: bool = True) -> Column:
             def anchor(x: Column, i: Column) -> Column:
                 middle = [F.get(m, i + j) for j in range(1, edge)]
                 least = F.least(*middle) if len(middle) > 1 else middle[0]
-                name = F.hash(*[F.get(h, i + j) for j in range(K)])
+                name = F.xxhash64(*[F.get(h, i + j) for j in range(K)])
                 value = F.struct(i.alias("position"), name.alias("hash")) if positions else name
                 return F.when(F.least(x, F.get(m, i + edge)) <= least, value)
 
@@ -52,11 +52,11 @@ def anchors(text: Column, positions: bool = True) -> Column:
             return F.array_compact(F.transform(starts, anchor))
 
         found = _let(inner, pick)
-        whole = F.hash(h)
+        whole = F.xxhash64(h)
         if positions:
             whole = F.struct(F.lit(0).alias("position"), whole.alias("hash"))
         only = F.when(F.size(h) > 0, F.array(whole)).otherwise(F.array().cast(
-            "array<struct<position:int,hash:int>>" if positions else "array<int>"
+            "array<struct<position:int,hash:bigint>>" if positions else "array<bigint>"
         ))
         return _let(found, lambda f: F.when(F.size(f) > 0, f).otherwise(only))
 

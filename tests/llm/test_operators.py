@@ -197,6 +197,8 @@ def test_syncmers(spark, docs):
         for a, (_, words) in zip(r.a, brute):
             names[words].add(a.hash)
     assert all(len(v) == 1 for v in names.values())
+    hashes = {h for v in names.values() for h in v}
+    assert len(hashes) == len(names) and max(map(abs, hashes)) >> 60  # one name each, of 64 bits
 
 
 def test_edits_follow_the_next_document(spark, docs):

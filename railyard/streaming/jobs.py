@@ -1,8 +1,8 @@
 """Streaming forms of the event-driven jobs.
 
 S01 applies the batch job to each micro-batch, and S03 the booking rule, so a stream gives
-what the batch job gives on the same rows. Reminders (S02) and seat claims (S03) live in keyed
-state with event-time timers. Results of a micro-batch go to their own
+what the batch job gives on the same rows. Reminders (S02) wait in a stored table that each
+micro-batch replaces, seat claims (S03) in keyed state with event-time timers. Results of a micro-batch go to their own
 folder, which a retry of that batch overwrites: each is stored exactly once.
 """
 
@@ -26,6 +26,9 @@ from ..plans.checkpoints import cut
 from ..plans.tables import Tables
 from . import timed
 
+# the clock of a stream before its first row
+_NO_CLOCK = -(1 << 62)
+
 
 def _batch_path(out_dir: str, name: str, batch_id: int) -> str:
     return f"{out_dir.rstrip('/')}/{name}/batch_id={batch_id}"
@@ -93,7 +96,7 @@ def reminder_stream(
     The clock is the watermark of ``arrived``, the column that tells when a booking's row came;
     rows that come more than ``lateness`` behind it are too late for the stream. Without that
     column every row comes at ``as_of``, where the clock stands still. A booking that arrives
-    days early waits in keyed state for its timer; one that has a reminder in the tables, or
+    days early waits in a stored table until it is due; one that has a reminder in the tables, or
     that a later row cancels, is not told. SentAt is the time at which a reminder fell due.
     """
     trips = (
@@ -109,28 +112,45 @@ def reminder_stream(
     )
     at = timed.millis(instant(as_of) if arrived is None else F.col(arrived))
     wanted = (F.col("BookingStatus") == "Active") & (F.col("PaymentStatus") == "Paid")
-    rows = (
-        bookings.select(
-            "BookingID",
-            F.col("UserID").alias("user"),
-            "ScheduleID",
-            F.coalesce(wanted, F.lit(False)).alias("wanted"),
-            at.alias("arrives"),
-        )
-        .join(t.hint(trips, "Schedules"), "ScheduleID")
-        .drop("ScheduleID")
-        .join(reminded, "BookingID", "left_anti")
+    arriving = bookings.select(
+        "BookingID",
+        F.col("UserID").alias("user"),
+        "ScheduleID",
+        F.coalesce(wanted, F.lit(False)).alias("wanted"),
+        at.alias("arrives"),
     )
-    if arrived is None:  # where the clock stands still, what is not due now never falls due
-        rows = rows.filter(F.floor(F.col("leaves") / timed.HOUR) * timed.HOUR - 24 * timed.HOUR <= F.col("arrives"))
-    due = timed.reminders_when_due(rows, lateness)
-    leaves = timed.from_millis(F.col("leaves"))
+    behind = F.timestamp_millis(F.max("arrives")) - F.expr(f"INTERVAL {lateness}")
+    leaves = timed.from_millis(F.col("told.leaves"))
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        told = batch.withColumn("at", timed.from_millis(F.col("told")))
-        _store(reminder_notices(told, F.col("train"), leaves, F.col("at")), out_dir, "notifications", batch_id)
+        spark = batch.sparkSession
+        before = _NO_CLOCK
+        waiting = spark.createDataFrame([], timed.WAITING)
+        if batch_id:
+            last = spark.read.parquet(_batch_path(out_dir, "clock", batch_id - 1)).first()
+            before = last["clock"]
+            # two folders in turn: a retry of this micro-batch finds what the one before it left
+            stored = spark.read.parquet(_batch_path(out_dir, "waiting", (batch_id - 1) % 2))
+            waiting = stored.filter(F.col("leaves").isNotNull()).drop("told")
+        reached = batch.agg(F.unix_millis(behind).alias("at")).first()["at"]
+        clock = before if reached is None else max(before, reached)
+        rows = (
+            batch.join(t.hint(trips, "Schedules"), "ScheduleID")
+            .drop("ScheduleID")
+            .join(reminded, "BookingID", "left_anti")
+        )
+        if arrived is None:  # where the clock stands still, what is not due now never falls due
+            rows = rows.filter(timed.opens(F.col("leaves")) <= F.col("arrives"))
+        _store(timed.settle_reminders(waiting, rows, before, clock), out_dir, "waiting", batch_id % 2)
+        settled = spark.read.parquet(_batch_path(out_dir, "waiting", batch_id % 2))
+        told = settled.select("BookingID", F.explode("told").alias("told")).select(
+            "BookingID", F.col("told.user").alias("UserID"), "told"
+        )
+        sent = reminder_notices(told, F.col("told.train"), leaves, timed.from_millis(F.col("told.told")))
+        _store(sent, out_dir, "notifications", batch_id)
+        _store(spark.range(1).select(F.lit(clock).cast("bigint").alias("clock")), out_dir, "clock", batch_id)
 
-    return timed.start_with_state(bookings.sparkSession, lambda: _start(due, work, checkpoint))
+    return _start(arriving, work, checkpoint)
 
 
 def booking_request_stream(

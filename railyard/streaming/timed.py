@@ -1,9 +1,10 @@
-"""Keyed state with event-time timers: reminders told when due, claims kept until departure.
+"""Timed state: reminders told when due, claims kept until departure.
 
-The clock of a stream is the watermark of an arrival time in its rows, never the host's. Each
-key has its own state and one timer that ends it, so the state is that of trips yet to leave,
-whatever the age of the stream. Processors are made in functions, so that they travel to the
-workers by value.
+The clock of a stream is the watermark of an arrival time in its rows, never the host's. The state
+is that of trips yet to leave, whatever the age of the stream. Reminders are settled once a
+micro-batch, over all bookings that wait, in joins and folds without Python; a claimed seat has its
+own keyed state and one timer that ends it. Processors are made in functions, so that they travel
+to the workers by value.
 """
 
 from __future__ import annotations
@@ -44,86 +45,77 @@ def start_with_state(spark: SparkSession, start) -> StreamingQuery:
 
 
 # ---------------------------------------------------------------- reminders
-def _reminder_processor() -> StatefulProcessor:
-    class Reminders(StatefulProcessor):
-        def init(self, handle) -> None:
-            self.handle = handle
-            self.state = handle.getValueState(
-                "booking", "user bigint, train string, leaves bigint, told boolean"
-            )
+WAITING = "BookingID bigint, user bigint, train string, leaves bigint, done boolean"
+_TOLD = "array<struct<user:bigint,train:string,leaves:bigint,told:bigint>>"
 
-        def _forget(self) -> None:
-            for timer in self.handle.listTimers():
-                self.handle.deleteTimer(timer)
-            self.state.clear()
 
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            told = []
-            frame = pd.concat(list(rows)).sort_values("arrives")
-            for row in frame.itertuples(index=False):
-                now = max(int(row.arrives), timerValues.getCurrentWatermarkInMs())
-                if self.state.exists():
-                    user, train, leaves, done = self.state.get()
-                    opened = leaves // HOUR * HOUR - 24 * HOUR
-                    if not done and opened <= now:  # due before this row came; its timer is behind
-                        told.append((key[0], user, train, leaves, opened))
-                        self._forget()
-                        self.state.update((user, train, leaves, True))
-                        self.handle.registerTimer(leaves // HOUR * HOUR - HOUR)
-                        done = True
-                    if done:
-                        continue
-                    self._forget()
-                if not row.wanted:  # cancelled, or not paid any more
-                    continue
-                leaves = int(row.leaves)
-                opens, past = leaves // HOUR * HOUR - 24 * HOUR, leaves // HOUR * HOUR - HOUR
-                if now >= past:
-                    continue
-                due = now >= opens
-                if due:
-                    told.append((key[0], int(row.user), row.train, leaves, now))
-                self.state.update((int(row.user), row.train, leaves, due))
-                self.handle.registerTimer(past if due else opens)
-            yield pd.DataFrame(told, columns=["BookingID", "UserID", "train", "leaves", "told"])
+def opens(leaves: Column) -> Column:
+    return F.floor(leaves / HOUR) * HOUR - 24 * HOUR
 
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            told = []
-            if self.state.exists():
-                user, train, leaves, done = self.state.get()
-                past = leaves // HOUR * HOUR - HOUR
-                if not done:
-                    told.append((key[0], user, train, leaves, expiredTimerInfo.getExpiryTimeInMs()))
-                if done or timerValues.getCurrentWatermarkInMs() >= past:
-                    self.state.clear()
-                else:
-                    self.state.update((user, train, leaves, True))
-                    self.handle.registerTimer(past)
-            yield pd.DataFrame(told, columns=["BookingID", "UserID", "train", "leaves", "told"])
 
-        def close(self) -> None:
-            pass
+def past(leaves: Column) -> Column:
+    return F.floor(leaves / HOUR) * HOUR - HOUR
 
-    return Reminders()
 
+def settle_reminders(waiting: DataFrame, bookings: DataFrame, before: int, clock: int) -> DataFrame:
+    """Bookings after a micro-batch, with what was told in it: (``WAITING``, told).
 
-def reminders_when_due(bookings: DataFrame, lateness: str) -> DataFrame:
-    """(BookingID, UserID, train, leaves, told) of each booking that is to be told, once.
-
-    ``bookings`` has BookingID, user, train, leaves and arrives (milliseconds) and wanted. One
-    that arrives within the 24 to 2 hours before departure is told at once, an earlier one by a
-    timer when they begin, a later one never. A booking that comes again before it was told is
-    taken as it comes last; after that it is left out. State ends two hours before departure.
+    ``waiting`` has the bookings of the last micro-batch (``WAITING``), ``before`` is the clock at
+    its end, ``clock`` that at the end of this one. ``bookings`` has BookingID, user, train, leaves
+    and arrives (milliseconds) and wanted. One that arrives within the 24 to 2 hours before departure
+    is told at once, an earlier one when they begin, a later one never. A booking that comes again
+    before it was told is taken as it comes last; after that it is left out. It is forgotten, with
+    leaves NULL, two hours before departure. The rows of a booking are folded in order of arrival.
     """
-    timed = bookings.withColumn("_at", F.timestamp_millis("arrives")).withWatermark("_at", lateness)
-    # rows after the end change nothing; by the watermarked column, so that they still move the clock
-    past = F.floor(F.col("leaves") / HOUR) * HOUR - HOUR
-    open_ = timed.filter(F.unix_millis("_at") < past)
-    return open_.groupBy("BookingID").transformWithStateInPandas(
-        statefulProcessor=_reminder_processor(),
-        outputStructType="BookingID bigint, UserID bigint, train string, leaves bigint, told bigint",
-        outputMode="Append",
-        timeMode="EventTime",
+    fits = (F.col("arrives") >= before) & (F.col("arrives") < past(F.col("leaves")))
+    came = bookings.filter(fits).select(
+        "BookingID", F.struct("arrives", "user", "train", "leaves", "wanted").alias("row")
+    )
+    known = waiting.select("BookingID", F.struct("user", "train", "leaves", "done").alias("state"))
+    each = known.unionByName(came, allowMissingColumns=True).groupBy("BookingID").agg(
+        F.first("state", ignorenulls=True).alias("state"), F.array_sort(F.collect_list("row")).alias("rows")
+    )
+
+    def booking(user, train, leaves, done, told) -> Column:
+        return F.struct(
+            user.alias("user"), train.alias("train"), leaves.alias("leaves"), done.alias("done"), told.alias("told")
+        )
+
+    def telling(of: Column, at: Column) -> Column:
+        told = F.struct(of["user"].alias("user"), of["train"].alias("train"), of["leaves"].alias("leaves"), at.alias("told"))
+        return F.array(told).cast(_TOLD)
+
+    def tell_due(state: Column, now: Column) -> Column:
+        opened = opens(state["leaves"]).cast("bigint")
+        due = state["leaves"].isNotNull() & ~state["done"] & (opened <= now)
+        told = F.concat(state["told"], telling(state, opened))
+        return F.when(due, booking(state["user"], state["train"], state["leaves"], F.lit(True), told)).otherwise(state)
+
+    none = {"user": "bigint", "train": "string", "leaves": "bigint"}
+    nothing = [F.lit(None).cast(kind) for kind in none.values()]
+
+    def arrive(state: Column, row: Column) -> Column:
+        now = F.greatest(row["arrives"], F.lit(before).cast("bigint"))
+        due = tell_due(state, now)  # due before this row came
+        open_ = row["wanted"] & (now < past(row["leaves"]))  # else cancelled, not paid any more or too late
+        at_once = now >= opens(row["leaves"])
+        told = F.when(at_once, F.concat(state["told"], telling(row, now))).otherwise(state["told"])
+        fresh = booking(row["user"], row["train"], row["leaves"], at_once, told)
+        return (
+            F.when(due["leaves"].isNotNull() & due["done"], due)
+            .when(open_, fresh)
+            .otherwise(booking(*nothing, F.lit(False), state["told"]))
+        )
+
+    no_told = F.array().cast(_TOLD)
+    start = booking(*(F.col("state")[name] for name in none), F.coalesce(F.col("state")["done"], F.lit(False)), no_told)
+    end = F.lit(clock).cast("bigint")
+    after = F.aggregate("rows", start, arrive, lambda state: tell_due(state, end))
+    kept = F.when(past(F.col("after.leaves")) > end, F.col("after.leaves"))
+    return (
+        each.select("BookingID", after.alias("after"))
+        .select("BookingID", "after.user", "after.train", kept.alias("leaves"), "after.done", "after.told")
+        .filter(F.col("leaves").isNotNull() | (F.size("told") > 0))
     )
 
 

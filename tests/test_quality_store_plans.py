@@ -341,3 +341,59 @@ def test_queries_are_named_without_a_session():
     code = "import __spark_entry__ as e; assert len(e.queries()) > 150"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
+def test_reminders_are_settled_without_python(spark):
+    """Random arrivals in two micro-batches against the rule applied row by row."""
+    import random
+
+    from railyard.streaming import timed
+
+    hour, dice = timed.HOUR, random.Random(5)
+    made = sorted(
+        (dice.randrange(400) * hour // 2 + i, dice.randrange(25), dice.randrange(60, 220) * hour + 7, dice.random() < 0.8)
+        for i in range(150)
+    )
+    batches, clocks = (made[:80], made[80:]), []
+    waiting, got = spark.createDataFrame([], timed.WAITING), []
+    state, expected, before = {}, [], -(1 << 62)
+    for batch in batches:
+        clock = batch[-1][0] - hour
+        clocks.append((before, clock))
+        df = spark.createDataFrame(
+            [(b, b, f"T{at}", leaves, at, ok) for at, b, leaves, ok in dice.sample(batch, len(batch))],
+            "BookingID bigint, user bigint, train string, leaves bigint, arrives bigint, wanted boolean",
+        )
+        settled = timed.settle_reminders(waiting, df, before, clock)
+        assert "Python" not in physical(settled) and "Pandas" not in physical(settled)
+        out = settled.collect()
+        got += [(r.BookingID, x.train, x.leaves, x.told) for r in out for x in r.told]
+        kept = [(r.BookingID, r.user, r.train, r.leaves, r.done) for r in out if r.leaves is not None]
+        waiting = spark.createDataFrame(kept, timed.WAITING)
+
+        def due(b, now):
+            if b in state and not state[b][2] and state[b][1] // hour * hour - 24 * hour <= now:
+                train, leaves, _ = state[b]
+                expected.append((b, train, leaves, leaves // hour * hour - 24 * hour))
+                state[b] = (train, leaves, True)
+
+        for at, b, leaves, ok in batch:
+            opens, past = leaves // hour * hour - 24 * hour, leaves // hour * hour - hour
+            now = max(at, before)
+            if at < before or at >= past:
+                continue
+            due(b, now)
+            if b in state and state[b][2]:
+                continue
+            state.pop(b, None)
+            if ok and now < past:
+                state[b] = (f"T{at}", leaves, now >= opens)
+                if now >= opens:
+                    expected.append((b, f"T{at}", leaves, now))
+        for b in list(state):
+            due(b, clock)
+            if state[b][1] // hour * hour - hour <= clock:
+                del state[b]
+        assert {k[0] for k in kept} == set(state)
+        before = clock
+    assert len(expected) > 20 and sorted(got) == sorted(expected)

@@ -7,15 +7,18 @@ Detail). ``summary`` counts them per rule, with the rules that hold at 0.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.checkpoints import cut
 from ..plans.tables import Tables
 from ..schemas import TABLES, Table
 
 FAMILIES = ("keys", "composite", "foreign", "domains", "rows", "required")
 ROW_FAMILIES = ("domains", "rows", "required")
+ROWS_OF_A_TASK = 1_000_000
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -80,26 +83,60 @@ def _row_checks(t: Tables, spec: Table, families) -> DataFrame | None:
     )
 
 
+def _dealt(t: Tables, df: DataFrame, columns: tuple[str, ...], *tables: str) -> DataFrame:
+    """Rows dealt by key to as many tasks as the rows of these tables need, so that what a task
+    holds does not grow with them. Their keys are narrow, which sizes in bytes do not tell."""
+    rows = sum(t.once(f"rows of {name}", lambda t, name=name: t[name].count()) for name in tables)
+    return df.repartition(max(1, ceil(rows / ROWS_OF_A_TASK)), *columns)
+
+
 def _duplicates(t: Tables, spec: Table, columns: tuple[str, ...]) -> DataFrame:
     given = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    counted = (
-        t[spec.name].filter(given).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    ).filter(F.col("n") > 1)
+    keys = _dealt(t, t[spec.name].filter(given).select(*columns), columns, spec.name)
+    counted = keys.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     return _shape(counted, spec.name, f"unique {', '.join(columns)}", _text(*columns), F.col("n"))
 
 
-def _orphans(t: Tables, spec: Table, column: str, parent: str, key: str) -> DataFrame:
+def _references(specs: list[Table]) -> list[tuple[Table, str, str, str]]:
+    return [(spec, column, *ref) for spec in specs for column, ref in spec.foreign.items()]
+
+
+def _bounded(t: Tables, parent: str) -> bool:
+    return t.bounds.get(parent, t.broadcast_rows + 1) <= t.broadcast_rows
+
+
+def _missing(t: Tables, references) -> DataFrame:
+    """(place, value) of the distinct unknown references to parents that are not known to be
+    small. Values, all that there should be none of, are written as text in one job."""
+
+    def one(place: int, spec: Table, column: str, parent: str, key: str) -> DataFrame:
+        given = t[spec.name].filter(F.col(column).isNotNull()).select(column)
+        asked = _dealt(t, given, (column,), spec.name, parent).distinct()
+        known = _dealt(t, t[parent].select(F.col(key).alias(column)), (column,), spec.name, parent)
+        unknown = asked.join(known.hint("merge"), column, "left_anti")
+        return unknown.select(F.lit(place).alias("place"), F.col(column).cast("string").alias("value"))
+
+    return cut(_union([one(i, *r) for i, r in enumerate(references) if not _bounded(t, r[2])]))
+
+
+def _orphans(t: Tables, specs: list[Table]) -> list[DataFrame]:
     """Rows whose reference is unknown. Against a parent that is known to be small this is
     one scan. Else only the distinct references are looked up; the rows themselves are joined
     back to the missing ones, of which there should be none."""
-    child = t[spec.name].filter(F.col(column).isNotNull()).select(_text(spec.key).alias("k"), column)
-    parents = t[parent].select(F.col(key).alias(column))
-    if t.bounds.get(parent, t.broadcast_rows + 1) <= t.broadcast_rows:
-        rows = child.join(F.broadcast(parents), column, "left_anti")
-        return _shape(rows, spec.name, f"foreign {column}", F.col("k"), F.col(column))
-    missing = child.select(column).distinct().join(parents, column, "left_anti")
-    rows = child.join(missing, column, "left_semi")
-    return _shape(rows, spec.name, f"foreign {column}", F.col("k"), F.col(column))
+    references = _references(specs)
+    missing = None
+    parts = []
+    for i, (spec, column, parent, key) in enumerate(references):
+        child = t[spec.name].filter(F.col(column).isNotNull()).select(_text(spec.key).alias("k"), column)
+        if _bounded(t, parent):
+            parents = t[parent].select(F.col(key).alias(column))
+            rows = child.join(F.broadcast(parents), column, "left_anti")
+        else:
+            missing = _missing(t, references) if missing is None else missing
+            value = missing.filter(F.col("place") == i).select("value")
+            rows = child.join(value, F.col(column).cast("string") == F.col("value"), "left_semi")
+        parts.append(_shape(rows, spec.name, f"foreign {column}", F.col("k"), F.col(column)))
+    return parts
 
 
 def violations(t: Tables, families=FAMILIES, tables=None) -> DataFrame:
@@ -111,11 +148,11 @@ def violations(t: Tables, families=FAMILIES, tables=None) -> DataFrame:
             parts += [_duplicates(t, spec, u) for u in singles]
         if "composite" in families:
             parts += [_duplicates(t, spec, u) for u in spec.unique if len(u) > 1]
-        if "foreign" in families:
-            parts += [_orphans(t, spec, c, *ref) for c, ref in spec.foreign.items()]
         checks = _row_checks(t, spec, set(families) & set(ROW_FAMILIES))
         if checks is not None:
             parts.append(checks)
+    if "foreign" in families:
+        parts += _orphans(t, specs)
     return _union(parts)
 
 

@@ -27,7 +27,7 @@ class Tables(Mapping):
     frames: dict[str, DataFrame | Callable[[], DataFrame]]
     bounds: dict[str, int] = field(default_factory=dict)
     broadcast_rows: int = BROADCAST_ROWS
-    derived: dict[str, DataFrame] = field(default_factory=dict)
+    derived: dict[str, object] = field(default_factory=dict)
     ranged: dict[str, Callable] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -42,8 +42,8 @@ class Tables(Mapping):
     def __len__(self) -> int:
         return len(self.frames)
 
-    def once(self, name: str, make: Callable[[Tables], DataFrame]) -> DataFrame:
-        """A frame derived from these tables, planned once and reused by later queries."""
+    def once(self, name: str, make: Callable[[Tables], object]):
+        """A frame or number derived from these tables, made once and reused by later queries."""
         if name not in self.derived:
             self.derived[name] = make(self)
         return self.derived[name]

@@ -397,3 +397,17 @@ def test_reminders_are_settled_without_python(spark):
         assert {k[0] for k in kept} == set(state)
         before = clock
     assert len(expected) > 20 and sorted(got) == sorted(expected)
+
+
+def test_key_checks_deal_rows_by_their_number(spark, booked, monkeypatch):
+    """Keys and references go to as many tasks as there are rows for, and what is found stays."""
+    monkeypatch.setattr(quality, "ROWS_OF_A_TASK", 2)
+    more = booked["Tickets"].withColumn("BookingID", F.when(F.col("SeatID") == 3, 999).otherwise(F.col("BookingID")))
+    twice = booked["Bookings"].unionByName(booked["Bookings"].filter("BookingID = 1"))
+    t = booked.with_frames(Tickets=more, Bookings=twice)
+    lost = {r.KeyValue for r in more.filter("SeatID = 3").withColumn("KeyValue", F.col("TicketID").cast("string")).collect()}
+    found = quality.violations(t, ("foreign",), ("Tickets",))
+    assert lost and {(r.Rule, r.KeyValue, r.Detail) for r in found.collect()} == {("foreign BookingID", k, "999") for k in lost}
+    again = quality.violations(t, ("keys",), ("Bookings",))
+    assert ("unique BookingID", "1", "2") in {(r.Rule, r.KeyValue, r.Detail) for r in again.collect()}
+    assert re.search(r"hashpartitioning\(BookingID#\d+L?, 2\), REPARTITION_BY_NUM", physical(again))

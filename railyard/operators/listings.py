@@ -266,7 +266,9 @@ def user_notifications(t: Tables, user_ids=None, ordered: bool = True) -> DataFr
 
 def user_tickets(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
     bookings = keep_ids(t["Bookings"], "UserID", user_ids)
-    rows = ticket_rows(t, bookings, *TIMES, *STATIONS, "TrainName").select(
+    keys = (F.desc("DepartureTime"), F.col("TicketID"))
+    few, order = user_ids is not None, keys if ordered else ()
+    rows = ticket_rows(t, bookings, *TIMES, *STATIONS, "TrainName", few=few, order=order).select(
         "TicketID",
         "PassengerName",
         "PassengerIDNumber",
@@ -281,7 +283,7 @@ def user_tickets(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:
         "CoachNumber",
         "SeatNumber",
     )
-    return _sorted(rows, ordered, F.desc("DepartureTime"), "TicketID")
+    return _sorted(rows, ordered, *keys)
 
 
 def user_payments(t: Tables, user_ids=None, ordered: bool = True) -> DataFrame:

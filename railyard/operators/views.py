@@ -67,19 +67,30 @@ def customer_bookings(t: Tables, bookings: DataFrame | None = None) -> DataFrame
     )
 
 
-def ticket_rows(t: Tables, bookings: DataFrame, *trip_columns: str) -> DataFrame:
+def ticket_rows(
+    t: Tables, bookings: DataFrame, *trip_columns: str, few: bool = False, order: tuple = ()
+) -> DataFrame:
     """Tickets with their booking, trip, seat, coach and class (all inner joins).
 
-    Bookings meet the small trip dimensions first; each of the two large joins that
-    follow has a unique key on one side, so AQE can split a hot booking or seat.
+    Tickets meet the seats first, of which they take but numbers, then the bookings with their
+    codes; what small tables tell comes last, so no shuffle carries it. ``few`` says that the
+    bookings are a small part of all: tickets of others are then left out first. Each of the two
+    large joins has a unique key on one side, so AQE can split a hot booking or seat. Rows that
+    are to be sorted are dealt in that ``order`` of DepartureTime and ticket columns before the
+    small tables are joined, where these are known to be small.
     """
-    booked = bookings.select("BookingID", "BookingCode", "ScheduleID").join(
-        trips_for(t, *trip_columns), "ScheduleID"
-    )
-    seats = seat_dims(t).select(
-        "SeatID", "CoachNumber", "SeatNumber", "SeatType", F.col("ClassName").alias("SeatClass")
-    )
-    return t["Tickets"].join(booked, "BookingID").join(seats, "SeatID")
+    booked = bookings.select("BookingID", "BookingCode", "ScheduleID")
+    seats = t["Seats"].select("SeatID", "CoachID", "SeatNumber", "SeatType")
+    if few:
+        rows = t["Tickets"].join(booked, "BookingID").join(seats, "SeatID")
+    else:
+        rows = t["Tickets"].join(seats, "SeatID").join(booked, "BookingID")
+    coaches = class_of_coach(t, "CoachNumber", F.col("ClassName").alias("SeatClass"))
+    if order and all(t.bounds.get(n, t.broadcast_rows + 1) <= t.broadcast_rows for n in ("Schedules", "Coaches")):
+        leaves = t.hint(t["Schedules"].select("ScheduleID", "DepartureTime"), "Schedules")
+        rows = rows.join(leaves, "ScheduleID").repartitionByRange(*order)
+        trip_columns = tuple(c for c in trip_columns if c != "DepartureTime")
+    return rows.join(trips_for(t, *trip_columns), "ScheduleID").join(coaches, "CoachID")
 
 
 def ticket_details(t: Tables) -> DataFrame:

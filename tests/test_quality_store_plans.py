@@ -411,3 +411,29 @@ def test_key_checks_deal_rows_by_their_number(spark, booked, monkeypatch):
     again = quality.violations(t, ("keys",), ("Bookings",))
     assert ("unique BookingID", "1", "2") in {(r.Rule, r.KeyValue, r.Detail) for r in again.collect()}
     assert re.search(r"hashpartitioning\(BookingID#\d+L?, 2\), REPARTITION_BY_NUM", physical(again))
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="star files are not here")
+def test_ticket_listings_shuffle_no_texts_of_trips(spark):
+    """Station and train names are joined after the last shuffle, by broadcast, and sorting adds none."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, keys in (
+            ("v03_ticket_details", ["BookingID", "SeatID"]),
+            ("l09_user_tickets", ["DepartureTime", "BookingID", "SeatID"]),
+        ):
+            text = physical(all_queries()[name](spark, SF))
+            found = re.findall(r"Exchange (?:hash|range)partitioning\((\w+)#", text)
+            assert found[: len(keys)] == keys and found.count("DepartureTime") == len(keys) - 2, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="star files are not here")
+def test_mixed_requests_carry_no_arrays_of_seats(spark):
+    """A request meets the seats that it asks for, not all of its train."""
+    from railyard.sources import commands
+
+    text = physical(commands.mixed_booking_requests(star_tables(spark, SF), spark, SF))
+    assert "collect_list" not in text and "SeatID" in text

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import instant
-from ..plans.joins import class_of_coach, seat_dims, tickets_per_booking, trips_for
+from ..plans.joins import class_of_coach, tickets_per_booking, trips_for
 from ..plans.tables import Tables
 
 STATIONS = ("DepartureStation", "ArrivalStation")

@@ -411,6 +411,16 @@ def test_longest_common_subsequence():
         assert len(extract.shared_lines(a, b)) == best[-1, -1]
 
 
+def test_every_page_is_compared(spark):
+    page = "<nav><a>Home</a></nav><p>Shop</p><article><p>One {0}</p><p>Shared</p></article><div class='ad'>buy {0}</div><footer>end</footer>"
+    rows = [(i, f"http://a.org/x/{i}", page.format(i)) for i in range(3)] + [(9, "http://b.org/x", page.format(9))]
+    got = rows_of(extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    # menu, shop name and footer are the site's; the check by elements keeps the article and drops the advert
+    assert [(got[i].text, got[i].n_site_lines) for i in range(3)] == [(f"One {i} Shared", 3) for i in range(3)]
+    assert (got[9].text, got[9].n_site_lines) == ("One 9 Shared", 0)
+    assert queries.op7_main_text(spark, SF).agg(F.sum("n_site_lines")).first()[0] > 0
+
+
 # ---------------------------------------------------------------- op8
 def test_token_counts(spark, docs):
     import sentencepiece

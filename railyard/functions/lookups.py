@@ -117,13 +117,17 @@ def schedules_with_travel_time(t: Tables) -> DataFrame:
     )
 
 
-def taken_seats(t: Tables, trips: DataFrame | None = None) -> DataFrame:
+def taken_seats(
+    t: Tables, trips: DataFrame | None = None, seats: DataFrame | None = None
+) -> DataFrame:
     """Distinct (SeatID, ScheduleID) held by a Valid ticket of an Active booking, of the
-    given trips (distinct ScheduleID) only."""
+    given trips (distinct ScheduleID) and, if these are few, seats (distinct SeatID) only."""
     valid = t["Tickets"].filter(F.col("TicketStatus") == "Valid").select("BookingID", "SeatID")
     active = (
         t["Bookings"].filter(F.col("BookingStatus") == "Active").select("BookingID", "ScheduleID")
     )
+    if seats is not None:
+        valid = valid.join(seats, "SeatID", "left_semi")
     if trips is not None:
         active = active.join(t.hint(trips, "Schedules"), "ScheduleID", "left_semi")
     return valid.join(active, "BookingID").select("SeatID", "ScheduleID").distinct()

@@ -38,23 +38,36 @@ def split_late(t: Tables, rows: DataFrame, as_of) -> tuple[DataFrame, DataFrame]
     return checked.filter(~F.col("_late")).select(*keep), checked.filter("_late").select(*keep)
 
 
-def _parsed(requests: DataFrame) -> DataFrame:
-    """Seat and name lists as arrays, paired by position."""
-    no_text = F.array().cast("array<string>")
-    seats = F.transform(
-        F.coalesce(F.split("seat_ids", ","), no_text), lambda s: F.trim(s).try_cast("bigint")
-    )
-    names = F.transform(F.coalesce(F.split("passenger_names", ","), no_text), lambda n: F.trim(n))
+# all that a cast to bigint takes, and too large numbers
+WHOLE_NUMBER = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+
+
+def _asked(requests: DataFrame) -> DataFrame:
     return requests.select(
         "request_id",
         F.col("user_id").cast("bigint").alias("UserID"),
         F.col("schedule_id").cast("bigint").alias("ScheduleID"),
-        seats.alias("seats"),
-        names.alias("names"),
+        "seat_ids",
+        "passenger_names",
         F.col("payment_method").alias("PaymentMethod"),
     )
 
 
+def _with_lists(asked: DataFrame) -> DataFrame:
+    """Seat and name lists as arrays, paired by position. Names are trimmed where they are used.
+
+    A failing try_cast throws and catches an exception, so only what looks like a number meets it.
+    """
+    no_text = F.array().cast("array<string>")
+
+    def number(text):
+        return F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
+
+    seats = F.transform(F.coalesce(F.split("seat_ids", ","), no_text), number)
+    names = F.coalesce(F.split("passenger_names", ","), no_text)
+    return asked.select("*", seats.alias("seats"), names.alias("names")).drop("seat_ids", "passenger_names")
+
+
 def first_new_ids(t: Tables) -> dict[str, int]:
     return {
         "bookings": next_id(t["Bookings"], "BookingID"),
@@ -83,7 +96,7 @@ def create_bookings(
     that leave within two hours. A caller that knows them can give the held seats
     (SeatID, ScheduleID) and the first new ids, which otherwise come from the tables.
     """
-    asked = _parsed(requests)
+    asked = _asked(requests)
     open_trips = t.hint(
         t["Schedules"]
         .filter(F.col("Status") == "Scheduled")
@@ -102,43 +115,47 @@ def create_bookings(
         (F.size(F.array_distinct("seats")) < F.size("seats"), msg.SEAT_TAKEN),
         (~F.col("PaymentMethod").isin(*PAYMENT_METHODS), "unknown PaymentMethod"),
     )
+    # lists are split after the joins: a lambda copies the row it stands on, and requests may come
+    # with all that they were made from
     checked = cut(
-        asked.join(open_trips, "ScheduleID", "left")
-        .join(users, "UserID", "left")
+        _with_lists(asked.join(open_trips, "ScheduleID", "left").join(users, "UserID", "left"))
         .select("*", code.alias("code"), reason.alias("reason"))
     )
     sound = checked.filter(F.col("reason").isNull()).drop("code", "reason", "known_user")
 
-    # one row per asked seat, with its price; each join has a unique key on its right
+    # what there is to know of an asked seat is found once per trip and seat, of which there may
+    # be far fewer than requests; each join has a unique key on its right
+    asked_seats = cut(sound.select("ScheduleID", F.explode("seats").alias("SeatID")).distinct())
     coaches = class_of_coach(t, F.col("TrainID").alias("seat_train"), "PriceMultiplier")
     places = t["Seats"].select("SeatID", "CoachID").join(coaches, "CoachID", "left")
     places = places.select("SeatID", "seat_train", "PriceMultiplier", F.lit(True).alias("known"))
     if held is None:  # of the asked trips only, not of all history
-        held = taken_seats(t, sound.select("ScheduleID").distinct())
-    taken = held.withColumn("taken", F.lit(True))
-    rows = cut(
-        sound.select(
-            "request_id",
-            "ScheduleID",
-            "TrainID",
-            "BasePrice",
-            F.posexplode("seats").alias("pos", "SeatID"),
-            "names",
+        seats = asked_seats.select("SeatID").distinct()
+        few = seats.count() <= t.broadcast_rows
+        held = taken_seats(
+            t, asked_seats.select("ScheduleID").distinct(), F.broadcast(seats) if few else None
         )
-        .withColumn("PassengerName", F.get("names", F.col("pos")))
-        .drop("names")
-        .join(places, "SeatID", "left")
-        .join(taken, ["SeatID", "ScheduleID"], "left")
-        .withColumn(
-            "TicketPrice",
-            ticket_price(F.col("BasePrice"), F.coalesce("PriceMultiplier", F.lit(1))),
+    wrong_train = F.lit(check_train) & ~F.col("seat_train").eqNullSafe(F.col("TrainID"))
+    price = ticket_price(F.col("BasePrice"), F.coalesce("PriceMultiplier", F.lit(1)))
+    judged_seats = cut(
+        asked_seats.join(places, "SeatID", "left")
+        .join(held.withColumn("taken", F.lit(True)), ["SeatID", "ScheduleID"], "left")
+        .join(open_trips, "ScheduleID")
+        .select(
+            "ScheduleID",
+            "SeatID",
+            price.alias("TicketPrice"),
+            F.col("known").isNull().alias("unknown"),
+            wrong_train.alias("wrong_train"),
+            F.col("taken").isNotNull().alias("taken"),
         )
     )
-    wrong_train = F.lit(check_train) & ~F.col("seat_train").eqNullSafe(F.col("TrainID"))
-    faults = rows.groupBy("request_id").agg(
-        F.bool_or(F.col("known").isNull()).alias("unknown"),
-        F.bool_or(wrong_train).alias("wrong_train"),
-        F.bool_or(F.col("taken").isNotNull()).alias("taken"),
+    refusing = judged_seats.filter("unknown OR wrong_train OR taken").drop("TicketPrice")
+    faults = (
+        sound.select("request_id", "ScheduleID", F.explode("seats").alias("SeatID"))
+        .join(refusing, ["ScheduleID", "SeatID"])
+        .groupBy("request_id")
+        .agg(*[F.bool_or(flag).alias(flag) for flag in ("unknown", "wrong_train", "taken")])
     )
     code, reason = first_failure(
         (F.col("unknown"), "unknown SeatID"),
@@ -160,14 +177,19 @@ def create_bookings(
         .unionByName(checked.filter("reason is not null").select("request_id", "code", "reason"))
     )
 
-    sold = rows.join(winners, "request_id", "left_semi")
+    served = cut(candidates.join(winners, "request_id", "left_semi"))
+    sold = (
+        served.select("request_id", "ScheduleID", F.posexplode("seats").alias("pos", "SeatID"), "names")
+        .withColumn("PassengerName", F.trim(F.get("names", F.col("pos"))))
+        .drop("names")
+        .join(judged_seats.select("ScheduleID", "SeatID", "TicketPrice"), ["ScheduleID", "SeatID"])
+    )
     totals = sold.groupBy("request_id").agg(
         F.sum("TicketPrice").cast("decimal(10,2)").alias("TotalAmount")
     )
     accepted = number_rows(
-        candidates.join(winners, "request_id", "left_semi")
-        .join(totals, "request_id", "left")
-        .select("request_id", "UserID", "ScheduleID", "PaymentMethod", "TotalAmount"),
+        served.join(totals, "request_id", "left").select("request_id", "UserID", "ScheduleID", "PaymentMethod", "TotalAmount"
+        ),
         "request_id",
     )
     ids = first_ids or first_new_ids(t)

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from railyard import messages as msg
 from railyard.functions.ids import number_rows
-from railyard.operators import claims
+from railyard.functions.lookups import taken_seats
+from railyard.operators import booking_jobs, claims
 from railyard.operators.booking_jobs import create_bookings
 from railyard.operators.claims import distinct_claims, first_by_key, first_come
 from railyard.plans.checkpoints import cut
+from railyard.sources.commands import mixed_booking_requests
 from railyard.sources.seed import seed_tables
+from railyard.sources.star import star_tables
 
 
 def replay(requests):
@@ -211,3 +214,29 @@ def test_invariants_under_heavy_conflict(spark, seed):
     free = t["Schedules"].agg(F.sum("AvailableSeats")).first()[0]
     before = seed["Schedules"].agg(F.sum("AvailableSeats")).first()[0]
     assert free + t["Tickets"].count() == before
+
+
+def test_only_what_looks_like_a_number_is_cast(spark):
+    texts = ["1", " 2 ", "+3", "-4", "x7", "-", "", "1.5", "1e3", "99999999999999999999", "\t5\n", "6 7", "٣"]
+    asked = spark.createDataFrame([(",".join(texts), "An, Binh"), (None, None)], "seat_ids string, passenger_names string")
+    plain = F.transform(F.split("seat_ids", ","), lambda s: F.trim(s).try_cast("bigint"))
+    want = [r[0] or [] for r in asked.select(plain).collect()]
+    got = booking_jobs._with_lists(asked).collect()
+    assert [r.seats for r in got] == want and want[0][:4] == [1, 2, 3, -4] and want[0][4] is None
+    # a try_cast that fails throws an exception, which costs more than the whole request
+    assert "RLIKE" in booking_jobs._with_lists(asked)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_requests_copy_no_seat_lists(spark):
+    sf = "/root/testdata/sf0.001"
+    made = mixed_booking_requests(star_tables(spark, sf, "1990-01-01 00:00:00"), spark, sf)
+    # Spark copies the row that a lambda stands on, here with all seats of a train
+    top = made._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+    assert "own" in top and "lambda" not in top
+
+
+def test_taken_seats_of_few_seats(spark):
+    t = star_tables(spark, "/root/testdata/sf0.001", "1990-01-01 00:00:00")
+    every = set(rows(taken_seats(t)))
+    some = spark.range(3, 9).withColumnRenamed("id", "SeatID")
+    assert set(rows(taken_seats(t, seats=some))) == {r for r in every if 3 <= r[0] < 9} != set()

@@ -12,7 +12,7 @@ from helpers import AS_OF, BOOKING_REQUEST, FLOW_REQUESTS, apply, fix, rows
 from pyspark.sql import functions as F
 
 from railyard.catalog import all_queries
-from railyard.operators import booking_jobs, lifecycle_jobs, payment_jobs, quality, reports, views
+from railyard.operators import booking_jobs, lifecycle_jobs, payment_jobs, quality, reports, timelines, views
 from railyard.plans.checkpoints import scratch_dir
 from railyard.sources import store
 from railyard.sources.seed import seed_tables
@@ -428,3 +428,17 @@ def test_ticket_listings_shuffle_no_texts_of_trips(spark):
             assert found[: len(keys)] == keys and found.count("DepartureTime") == len(keys) - 2, name
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_changes_that_free_nothing_stay_out_of_the_ordered_pass(spark):
+    start = [(1, ["0a", "1p"]), (2, ["0b", "1q"])]
+    asked = [(10, 1, ["0n10", "1n10"])]  # frees p
+    asked += [(20, 2, ["0n20", "1p"])]  # takes it
+    asked += [(r, 2, [f"0n{r}", f"1n{r}"]) for r in range(21, 60)]  # the first of these frees it
+    asked += [(70, 1, ["0n70", "1p"]), (71, 2, ["0n71", "1p"])]  # taken again, refused
+    changes = spark.createDataFrame(asked, "request_id bigint, key bigint, items array<string>")
+    holders = spark.createDataFrame(start, "key bigint, items array<string>")
+    ordered = timelines._in_question(changes, holders).select("request_id").collect()
+    assert sorted(r[0] for r in ordered) == [timelines.START, 10, 20, 21, 70, 71]
+    got = timelines.refused_changes(changes, holders).collect()
+    assert [tuple(r) for r in got] == [(71, "1p", False)]

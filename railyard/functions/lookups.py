@@ -49,15 +49,16 @@ def price_list(t: Tables) -> DataFrame:
 
 
 def ticket_prices(t: Tables) -> DataFrame:
-    """List price of every ticket's class on its schedule."""
-    sold = (
-        t["Tickets"]
-        .select("TicketID", "BookingID", "SeatID")
-        .join(t["Bookings"].select("BookingID", "ScheduleID"), "BookingID")
-        .join(t["Seats"].select("SeatID", "CoachID"), "SeatID")
-        .join(t.hint(t["Coaches"].select("CoachID", "SeatClassID"), "Coaches"), "CoachID")
+    """List price of every ticket's class on its schedule. The seats have their class before they
+    meet the tickets, and the text of a TicketID is made after the last shuffle."""
+    tickets, ticket_id = t.in_parts("Tickets", "TicketID")
+    coaches = t.hint(t["Coaches"].select("CoachID", "SeatClassID"), "Coaches")
+    seats = t["Seats"].select("SeatID", "CoachID").join(coaches, "CoachID").drop("CoachID")
+    booked = t["Bookings"].select("BookingID", "ScheduleID")
+    sold = tickets.join(booked, "BookingID").join(seats, "SeatID")
+    return with_ticket_price(t, sold).select(
+        ticket_id.alias("TicketID"), "ScheduleID", "SeatClassID", "Price"
     )
-    return with_ticket_price(t, sold).select("TicketID", "ScheduleID", "SeatClassID", "Price")
 
 
 def refund_by_schedule(t: Tables, as_of) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import keep_days
@@ -29,6 +29,7 @@ class Tables(Mapping):
     broadcast_rows: int = BROADCAST_ROWS
     derived: dict[str, object] = field(default_factory=dict)
     ranged: dict[str, Callable] = field(default_factory=dict)
+    parts: dict[str, dict[str, tuple[Callable[[], DataFrame], Column]]] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         frame = self.frames[name]
@@ -59,6 +60,17 @@ class Tables(Mapping):
             return keep_days(self.ranged[name](start, end), column, start, end)
         return keep_days(self[name], column, start, end)
 
+    def in_parts(self, name: str, text: str) -> tuple[DataFrame, Column]:
+        """A table with what its column ``text`` is made of instead of that column, and the column
+        as made of it. Joins that shuffle the rows carry the parts, which are shorter.
+
+        ``parts`` may name a maker and the column for a table. One without keeps the text.
+        """
+        if text not in self.parts.get(name, {}):
+            return self[name], F.col(text)
+        make, column = self.parts[name][text]
+        return self.once(f"{name} in parts of {text}", lambda _: make()), column
+
     def hint(self, df: DataFrame, *bounded_by: str) -> DataFrame:
         """Broadcast ``df`` if the product of these tables' row bounds is known and small."""
         rows = 1
@@ -79,6 +91,7 @@ class Tables(Mapping):
             bounds={**kept, **(bounds or {})},
             derived={},
             ranged={n: m for n, m in self.ranged.items() if n not in frames},
+            parts={n: m for n, m in self.parts.items() if n not in frames},
         )
 
     def register_views(self, prefix: str = "") -> None:

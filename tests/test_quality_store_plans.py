@@ -5,6 +5,7 @@ import os
 import re
 import subprocess
 import sys
+import types
 import uuid
 
 import pytest
@@ -12,8 +13,10 @@ from helpers import AS_OF, BOOKING_REQUEST, FLOW_REQUESTS, apply, fix, rows
 from pyspark.sql import functions as F
 
 from railyard.catalog import all_queries
+from railyard.functions import lookups
 from railyard.operators import booking_jobs, lifecycle_jobs, payment_jobs, quality, reports, timelines, views
 from railyard.plans.checkpoints import scratch_dir
+from railyard.sources import star as star_source
 from railyard.sources import store
 from railyard.sources.seed import seed_tables
 from railyard.sources.star import star_tables
@@ -430,6 +433,37 @@ def test_ticket_listings_shuffle_no_texts_of_trips(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="star files are not here")
+def test_ticket_prices_shuffle_no_texts_of_tickets(spark):
+    """A TicketID is made after the last shuffle, of numbers; a table without them keeps its own."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        prices = all_queries()["f01_ticket_price"](spark, SF)
+        text = physical(prices)
+        assert text.count("concat_ws") == 1 and text.index("concat_ws") < text.index("Exchange hashpartitioning")
+        t = star_tables(spark, SF)
+        named = t.with_frames(Tickets=t["Tickets"])
+        assert named.in_parts("Tickets", "TicketID")[0] is named["Tickets"]
+        plain = lookups.ticket_prices(named)
+        assert sorted(rows(prices)) == sorted(rows(plain)) and not prices.isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_parts_of_a_ticket_give_its_text_even_if_one_is_missing(spark):
+    asked = "1 l_orderkey, 2 l_partkey, 3 l_suppkey, 4 l_linenumber, timestamp_ntz'1999-12-31 23:59:59' l_shipdate"
+    line = spark.range(1).selectExpr(*asked.split(", "))
+    whole = {"1-4-2-3-19991231"}
+    for lost, text in ((None, whole), ("l_linenumber", {"1-2-3-19991231"}), ("l_shipdate", {"1-4-2-3"})):
+        some = line.withColumn(lost, F.lit(None)) if lost else line
+        star = types.SimpleNamespace(lineitem=some.withColumns({
+            c: F.lit(None).cast("string") for c in ("l_returnflag", "l_linestatus", "l_extendedprice")
+        }))
+        made = star_source._ticket_parts(star).select(star_source._ticket_id().alias("TicketID"))
+        assert {r[0] for r in made.collect()} == {r[0] for r in star_source._tickets(star).select("TicketID").collect()} == text
+
+
 def test_changes_that_free_nothing_stay_out_of_the_ordered_pass(spark):
     start = [(1, ["0a", "1p"]), (2, ["0b", "1q"])]
     asked = [(10, 1, ["0n10", "1n10"])]  # frees p

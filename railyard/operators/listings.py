@@ -374,11 +374,12 @@ def booking_tickets(t: Tables, booking_ids=None) -> DataFrame:
     seats = seat_dims(t).select(
         "SeatID", "CoachNumber", "SeatNumber", "SeatType", F.col("ClassName").alias("SeatClass")
     )
+    tickets, ticket_id = t.in_parts("Tickets", "TicketID")
     return (
-        keep_ids(t["Tickets"], "BookingID", booking_ids)
+        keep_ids(tickets, "BookingID", booking_ids)
         .join(seats, "SeatID")
         .select(
-            "TicketID",
+            ticket_id.alias("TicketID"),
             "PassengerName",
             "PassengerIDNumber",
             "PassengerPhone",

@@ -73,18 +73,21 @@ def ticket_rows(
     """Tickets with their booking, trip, seat, coach and class (all inner joins).
 
     Tickets meet the seats first, of which they take but numbers, then the bookings with their
-    codes; what small tables tell comes last, so no shuffle carries it. ``few`` says that the
-    bookings are a small part of all: tickets of others are then left out first. Each of the two
-    large joins has a unique key on one side, so AQE can split a hot booking or seat. Rows that
-    are to be sorted are dealt in that ``order`` of DepartureTime and ticket columns before the
-    small tables are joined, where these are known to be small.
+    codes; what small tables tell comes last, so no shuffle carries it, nor do these joins carry
+    the text of a TicketID. ``few`` says that the bookings are a small part of all: tickets of
+    others are then left out first. Each of the two large joins has a unique key on one side, so
+    AQE can split a hot booking or seat. Rows that are to be sorted are dealt in that ``order`` of
+    DepartureTime and ticket columns before the small tables are joined, where these are known to
+    be small.
     """
     booked = bookings.select("BookingID", "BookingCode", "ScheduleID")
     seats = t["Seats"].select("SeatID", "CoachID", "SeatNumber", "SeatType")
+    tickets, ticket_id = t.in_parts("Tickets", "TicketID")
     if few:
-        rows = t["Tickets"].join(booked, "BookingID").join(seats, "SeatID")
+        rows = tickets.join(booked, "BookingID").join(seats, "SeatID")
     else:
-        rows = t["Tickets"].join(seats, "SeatID").join(booked, "BookingID")
+        rows = tickets.join(seats, "SeatID").join(booked, "BookingID")
+    rows = rows.withColumn("TicketID", ticket_id)
     coaches = class_of_coach(t, "CoachNumber", F.col("ClassName").alias("SeatClass"))
     if order and all(t.bounds.get(n, t.broadcast_rows + 1) <= t.broadcast_rows for n in ("Schedules", "Coaches")):
         leaves = t.hint(t["Schedules"].select("ScheduleID", "DepartureTime"), "Schedules")

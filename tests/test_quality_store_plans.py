@@ -451,6 +451,18 @@ def test_ticket_prices_shuffle_no_texts_of_tickets(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="star files are not here")
+def test_ticket_listings_join_numbers_of_tickets(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("v03_ticket_details", "l12b_booking_tickets", "l09_user_tickets"):
+            text = physical(all_queries()[name](spark, SF))
+            assert text.index("concat_ws(-") < text.index("Exchange hashpartitioning"), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_parts_of_a_ticket_give_its_text_even_if_one_is_missing(spark):
     asked = "1 l_orderkey, 2 l_partkey, 3 l_suppkey, 4 l_linenumber, timestamp_ntz'1999-12-31 23:59:59' l_shipdate"
     line = spark.range(1).selectExpr(*asked.split(", "))
